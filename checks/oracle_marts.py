@@ -26,7 +26,7 @@ def mean2_pct(column: str, scale: int = 2) -> str:
 DAY = "d.full_date, d.day_name, d.day_of_week, d.month_name, d.month_number, d.quarter, d.year, d.is_weekend, d.is_holiday"
 
 DAILY = f"""
-SELECT {DAY}, s.station_name, s.borough, s.latitude, s.longitude, l.line_name, l.line_color, l.line_group,
+SELECT {DAY}, s.station_name, s.borough, CAST(s.latitude AS DOUBLE) AS latitude, CAST(s.longitude AS DOUBLE) AS longitude, l.line_name, l.line_color, l.line_group,
   {total('r.entries', 'total_entries')}, {total('r.exits', 'total_exits')}, {total('r.total_traffic', 'total_traffic')},
   avg(r.entries) AS avg_entries, count(*) AS record_count
 FROM fact_ridership r
@@ -46,7 +46,7 @@ LEFT JOIN dim_lines l USING (line_id)
 LEFT JOIN dim_stations s USING (station_id)"""
 
 STATION_ORACLE = """
-SELECT s.station_id, s.station_name, s.borough, s.latitude, s.longitude, s.lines_served, s.ada_accessible,
+SELECT s.station_id, s.station_name, s.borough, CAST(s.latitude AS DOUBLE) AS latitude, CAST(s.longitude AS DOUBLE) AS longitude, s.lines_served, s.ada_accessible,
   count(DISTINCT r.date_key) AS days_with_data, CAST(sum(r.entries) AS BIGINT) AS total_entries,
   CAST(sum(r.exits) AS BIGINT) AS total_exits, CAST(sum(r.total_traffic) AS BIGINT) AS total_traffic,
   avg(r.entries) AS avg_daily_entries, max(r.entries) AS peak_entries,
@@ -233,8 +233,4 @@ FROM fact_performance p JOIN dim_date d USING (date_key) JOIN dim_lines l USING
 
 
 def texts() -> dict[str, str]:
-    out = {}
-    for name, text in _TEXTS.items():
-        # latitude and longitude leave Spark as decimals; both sides compare them as doubles.
-        out[name] = with_parts(text)
-    return out
+    return {name: with_parts(text) for name, text in _TEXTS.items()}

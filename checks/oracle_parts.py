@@ -67,7 +67,9 @@ def with_parts(query: str, extra: dict[str, str] | None = None) -> str:
     visit(query)
     if not order:
         return query
-    return "WITH " + ",\n".join(f"{n} AS ({parts[n]})" for n in order) + "\n" + query
+    head = "WITH " + ",\n".join(f"{n} AS ({parts[n]})" for n in order)
+    body = query.lstrip()
+    return f"{head},\n{body[5:]}" if body.startswith("WITH ") else f"{head}\n{body}"
 
 
 def half_up(num: str, den: str, scale: int, times: int = 1) -> str:

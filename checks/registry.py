@@ -2,21 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from railmart import adapters
-from railmart.plans import marts
-from railmart.plans.star import Star
+from railmart.functions import calendar, text
+from railmart.operators import clean, dims, load, quality
+from railmart.plans import exports, marts, metrics, reports
+from railmart.sources import landing, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = "2024-01-30"
 
 
+def plain_types(df: DataFrame) -> DataFrame:
+    """Decimals as doubles, so both engines hand out the same type."""
+    return df.withColumns({c: F.col(c).cast("double") for c, t in df.dtypes if t.startswith("decimal")})
+
+
 def on_star(mart: Callable[..., DataFrame], *args, long: bool = False, **kwargs) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return mart(adapters.star(spark, sf_dir, long=long), *args, **kwargs)
+        return plain_types(mart(adapters.star(spark, sf_dir, long=long), *args, **kwargs))
 
     return run
 
@@ -56,5 +64,337 @@ MARTS: dict[str, Query] = {
 }
 
 
+# --- Measures and visuals ---------------------------------------------------------------------------------------
+
+WEEKDAYS = metrics.Slice(weekend=False, lines=("NATION_1", "NATION_2", "NATION_3"), start="2024-01-03", end="2024-01-28")
+RUSH = metrics.Slice(boroughs=("ASIA", "EUROPE"), time_periods=("Morning Rush", "Evening Rush"))
+
+
+def of_fact(fact: str) -> list[str]:
+    return [name for name, m in metrics.MEASURES.items() if m.fact == fact]
+
+
+def rounded(query: Query, columns: Sequence[str], places: int) -> Query:
+    """For results whose last digits depend on the order of addition."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(spark, sf_dir).withColumns({c: F.round(c, places) for c in columns})
+
+    return run
+
+
+MEASURES: dict[str, Query] = {
+    "ridership_measures_by_borough": on_star(metrics.measure, of_fact("ridership"), ["borough"]),
+    "delay_measures_by_line": on_star(metrics.measure, of_fact("delays"), ["line_name"]),
+    "performance_measures_by_group": on_star(metrics.measure, of_fact("performance"), ["line_group"]),
+    "measures_across_facts": on_star(
+        metrics.measure, ["total_ridership", "total_delays", "otp_rate", "otp_status"], ["line_name"], WEEKDAYS
+    ),
+    "measures_in_total": on_star(metrics.measure, ["total_ridership", "avg_delay_minutes", "otp_vs_target"]),
+    "rush_hour_slice": on_star(metrics.measure, ["total_entries", "active_stations"], ["line_group", "hour"], RUSH),
+    "severity_slice": on_star(
+        metrics.measure, ["total_delays", "passengers_affected"], ["borough"], metrics.Slice(severities=("High",))
+    ),
+    "avg_daily_ridership": on_star(metrics.avg_daily_ridership, ["borough"]),
+    "rolling_seven_days": on_star(metrics.rolling_seven_days, long=True),
+    "rolling_seven_days_by_borough": on_star(metrics.rolling_seven_days, ["borough"]),
+    "year_to_date": on_star(metrics.year_to_date, long=True),
+    "month_over_month": on_star(metrics.month_over_month, long=True),
+    "year_over_year": on_star(metrics.year_over_year, ["borough"], long=True),
+    "entries_trend": rounded(on_star(metrics.entries_trend, ["borough"], long=True), ["slope", "intercept"], 4),
+    "delays_by_line_and_severity": on_star(metrics.delays_by_line_and_severity),
+    "ridership_trend_by_month": on_star(metrics.ridership_trend, "month", long=True),
+    "ridership_trend_by_quarter": on_star(metrics.ridership_trend, "quarter", ["borough"], long=True),
+    "ridership_trend_by_year": on_star(metrics.ridership_trend, "year", long=True),
+    "ridership_trend_by_day": on_star(metrics.ridership_trend, "day", ["borough"]),
+    "station_map": on_star(metrics.station_map),
+    "borough_by_weekday": on_star(metrics.borough_by_weekday),
+    "kpi_cards": on_star(metrics.kpi_cards),
+    "ridership_by_hour": on_star(metrics.ridership_by_hour),
+    "delay_scatter": on_star(metrics.delay_scatter),
+    "line_delay_profile": on_star(metrics.line_delay_profile),
+    "delay_clusters": on_star(metrics.delay_clusters),
+    "delay_scatter_clusters": on_star(metrics.delay_clusters, 4, "point"),
+}
+
+# --- Exports ----------------------------------------------------------------------------------------------------
+
+EXPORTS: dict[str, Query] = {f"export_{name}": on_star(build) for name, build in exports.EXPORTS.items()}
+
+
+def sql_call(call: str) -> Query:
+    """SQL text over the registered views and functions."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        exports.register(spark, adapters.star(spark, sf_dir), views=["vw_line_performance"])
+        return plain_types(spark.sql(call))
+
+    return run
+
+
+SQL_NAMES: dict[str, Query] = {
+    "sql_station_summary": sql_call("SELECT * FROM get_station_summary('mer#0000001')"),
+    "sql_line_performance": sql_call(
+        "SELECT * FROM get_line_performance('NATION_7', DATE'2024-01-10', DATE'2024-01-20')"
+    ),
+    "sql_view": sql_call("SELECT performance_category, count(*) AS days FROM vw_line_performance GROUP BY 1"),
+}
+
+# --- Cleaning ---------------------------------------------------------------------------------------------------
+
+CLEAN_COLUMNS = {
+    "stations": ["ingest_seq", "station_name", "borough", "latitude", "longitude", "lines_served"],
+    "ridership": ["ingest_seq", "datetime", "date", "time", "hour", "station_name", "line_name", "entries", "exits"],
+    "delays": [
+        "ingest_seq", "incident_datetime", "date", "time", "line_name", "station_name", "delay_reason",
+        "delay_duration_minutes", "delay_category", "severity_level", "passenger_impact_estimate",
+    ],
+    "performance": [
+        "ingest_seq", "date", "line_name", "on_time_percentage", "wait_assessment", "scheduled_trips", "on_time_trips",
+    ],
+}
+
+
+def cleaned(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return clean.CLEANERS[name](adapters.feed(spark, sf_dir, name), order_by="ingest_seq")
+
+
+def cleaner(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = cleaned(spark, sf_dir, name).select(*CLEAN_COLUMNS[name])
+        if name == "ridership":
+            df = df.withColumns({c: F.round(c, 4) for c in ("entries", "exits")})
+        return df
+
+    return run
+
+
+def null_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.null_rates(cleaned(spark, sf_dir, "delays").select(*CLEAN_COLUMNS["delays"]))
+
+
+def duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.duplicate_count(adapters.feed(spark, sf_dir, "ridership").drop("ingest_seq", "entries", "exits"))
+
+
+CLEANING: dict[str, Query] = {
+    **{f"clean_{name}": cleaner(name) for name in clean.CLEANERS},
+    "null_rates": null_rates,
+    "duplicate_rows": duplicate_rows,
+}
+
+# --- Loads ------------------------------------------------------------------------------------------------------
+
+
+def dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    star = adapters.star(spark, sf_dir)
+    return star.lines, star.stations
+
+
+def load_ridership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load.load_ridership(cleaned(spark, sf_dir, "ridership"), *dimensions(spark, sf_dir), row_id="ingest_seq")
+    return rows.drop("ridership_id", "created_at")
+
+
+def load_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load.load_delays(cleaned(spark, sf_dir, "delays"), *dimensions(spark, sf_dir), row_id="ingest_seq")
+    return rows.drop("delay_id", "created_at", "affected_services", "resolution_time_minutes")
+
+
+def load_performance(update: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        existing = adapters.view(spark, sf_dir, adapters.EXISTING["performance"])
+        lines, _ = dimensions(spark, sf_dir)
+        rows = load.load_performance(cleaned(spark, sf_dir, "performance"), lines, existing, "ingest_seq", update)
+        return plain_types(
+            rows.select(
+                "date_key", "line_id", "scheduled_trips", "actual_trips", "on_time_trips", "late_trips",
+                "canceled_trips", "on_time_percentage",
+            )
+        )
+
+    return run
+
+
+def load_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    existing = adapters.view(spark, sf_dir, adapters.EXISTING["stations"])
+    rows = load.load_stations(cleaned(spark, sf_dir, "stations"), existing, "ingest_seq")
+    old = F.when(F.col("division") == "IND", F.col("station_id")).alias("kept_id")
+    return plain_types(rows.select(old, "station_name", "borough", "latitude", "longitude", "lines_served", "division"))
+
+
+def daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star = adapters.star(spark, sf_dir)
+    rows = load.daily_summary(star.ridership, star.times)
+    return plain_types(rows.drop("daily_ridership_id", "created_at", "data_source"))
+
+
+def date_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days orders were placed on."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    days = orders.select(F.to_date("o_orderdate").alias("full_date")).distinct()
+    return dims.date_attributes(days)
+
+
+def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order days with the year-end holidays marked."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    days = orders.select(F.to_date("o_orderdate").alias("full_date")).distinct()
+    marked = days.filter(calendar.sample_holiday(F.col("full_date"))).withColumn("holiday_name", F.lit("Year End"))
+    return dims.date_attributes(days, marked).select("date_key", "is_holiday", "holiday_name")
+
+
+def time_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per minute of the day on the time dimension."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    per_minute = events.groupBy(calendar.time_key(F.hour("ts"), F.minute("ts")).alias("time_key")).agg(
+        F.count(F.lit(1)).alias("events")
+    )
+    return dims.time_dimension(spark).join(per_minute, "time_key", "left")
+
+
+def insert_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days with shipments added to the days with orders."""
+    orders, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "lineitem"))
+    have = orders.select(F.to_date("o_orderdate").alias("full_date")).distinct().withColumn("origin", F.lit("order"))
+    new = items.select(F.to_date("l_shipdate").alias("full_date"), F.lit("shipment").alias("origin"))
+    return dims.insert_absent(have, new, ["full_date"])
+
+
+def text_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    return customers.select("c_name", text.text_key(F.col("c_name")).alias("text_key"))
+
+
+def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star = adapters.star(spark, sf_dir)
+    return sinks.row_counts({n: getattr(star, a) for n, a in exports.TABLES.items()})
+
+
+LOADS: dict[str, Query] = {
+    "load_stations": load_stations,
+    "load_ridership": load_ridership,
+    "load_delays": load_delays,
+    "load_performance": load_performance("listed"),
+    "load_performance_all_columns": load_performance("all"),
+    "daily_summary": daily_summary,
+    "date_dimension": date_dimension,
+    "date_dimension_holidays": holidays,
+    "time_dimension": time_dimension,
+    "insert_absent": insert_absent,
+    "text_keys": text_keys,
+    "row_counts": row_counts,
+}
+
+# --- Sources and sinks ------------------------------------------------------------------------------------------
+
+
+def landed_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ridership pages landed as JSON, read back with a source-side window."""
+    root = sinks.shared_folder(spark, "landing")
+    adapters.feed(spark, sf_dir, "ridership").drop("ingest_seq").write.json(f"{root}/subway_ridership")
+    df = landing.read_dataset(spark, root, "subway_ridership", "2024-01-10", "2024-01-20")
+    return df.groupBy("station").agg(F.count(F.lit(1)).alias("records"), F.max("transit_timestamp").alias("latest"))
+
+
+def landed_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record cap of a landed data set: a report of its first 500 rows."""
+    root = sinks.shared_folder(spark, "landing")
+    adapters.feed(spark, sf_dir, "performance").drop("ingest_seq").write.json(f"{root}/performance_subway")
+    columns = ["period_year", "period_month", "line", "on_time_percentage"]
+    df = landing.read_dataset(spark, root, "performance_subway", year=1997)
+    return landing.first_rows(df.select(*columns, "wait_assessment", "scheduled_trips"), 500)
+
+
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean delays written as CSV and read back with their schema."""
+    folder = sinks.shared_folder(spark, "processed")
+    df = cleaned(spark, sf_dir, "delays").select(*CLEAN_COLUMNS["delays"]).drop("ingest_seq", "incident_datetime")
+    path = sinks.write_frames({"delays": df}, folder, "_cleaned")["delays"]
+    return landing.read_csv(spark, path, dict(df.dtypes))
+
+
+def delimited_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delays with gaps written for a bulk loader, NULL as backslash N, and read back."""
+    path = sinks.shared_folder(spark, "bulk")
+    df = adapters.star(spark, sf_dir).delays
+    columns = ["delay_id", "line_id", "delay_category", "delay_reason"]
+    sinks.write_delimited(df, path, columns)
+    return sinks.read_delimited(spark, path, {c: t for c, t in df.dtypes if c in columns})
+
+
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ridership rows that cannot be loaded, by reason."""
+    feed = adapters.feed(spark, sf_dir, "ridership")
+    timed = feed.withColumn("datetime", calendar.to_datetime(F.col("transit_timestamp")))
+    _, rejected = sinks.split_rejected(timed, sinks.required_error(["datetime", "exits"]), "ridership")
+    rejected = rejected.withColumn("line", F.get_json_object("raw_data", "$.line"))
+    return rejected.groupBy("dataset", "processed", "error_message", "line").agg(F.count(F.lit(1)).alias("records"))
+
+
+def refreshed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly ridership stored by year, then the partitions of two years replaced from doubled facts."""
+    path = sinks.shared_folder(spark, "monthly")
+    star = adapters.star(spark, sf_dir, long=True)
+    months = marts.monthly_trends(star).select("year", "month_number", "total_entries")
+    sinks.refresh_partitions(months, path, ["year"])
+    late = months.filter(F.col("year") >= 2000).withColumn("total_entries", F.col("total_entries") * 2)
+    sinks.refresh_partitions(late, path, ["year"])
+    return spark.read.schema("month_number INT, total_entries BIGINT, year INT").parquet(path)
+
+
+def parameterised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    adapters.star(spark, sf_dir).delays.createOrReplaceTempView("fact_delays")
+    return sinks.run_query(
+        spark,
+        "SELECT delay_reason, count(*) AS delays FROM fact_delays WHERE delay_duration_minutes >= :least GROUP BY 1",
+        {"least": 30},
+    )
+
+
+def last_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order value of the default extract window."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    recent = landing.in_window(orders, "o_orderdate", "2000-12-31")
+    return recent.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"), F.min("o_orderdate").alias("first"))
+
+
+STORES: dict[str, Query] = {
+    "landed_window": landed_window,
+    "landed_cap": landed_cap,
+    "csv_round_trip": csv_round_trip,
+    "delimited_round_trip": delimited_round_trip,
+    "quarantine": quarantine,
+    "refreshed_months": refreshed_months,
+    "parameterised": parameterised,
+    "last_year": last_year,
+}
+
+# --- Reports ----------------------------------------------------------------------------------------------------
+
+
+def on_clean(report: Callable[..., DataFrame], *names: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        frames = [cleaned(spark, sf_dir, n) for n in names]
+        for i, n in enumerate(names):
+            if n == "ridership":
+                frames[i] = frames[i].withColumns({c: F.col(c).cast("long") for c in ("entries", "exits")})
+        return report(*frames)
+
+    return run
+
+
+REPORTS: dict[str, Query] = {
+    "report_top_stations": on_clean(reports.top_stations_report, "ridership"),
+    "report_boroughs": on_clean(reports.borough_report, "ridership", "stations"),
+    "report_peaks": on_clean(reports.peak_report, "ridership"),
+    "report_on_time": rounded(on_clean(reports.on_time_report, "performance"), ["avg_otp"], 6),
+    "report_causes": rounded(on_clean(reports.causes_report, "delays"), ["avg_minutes"], 9),
+    "report_line_delays": rounded(on_clean(reports.line_delays_report, "delays"), ["avg_minutes"], 9),
+    "report_weekend": on_clean(reports.weekend_report, "ridership"),
+    "report_summary": on_clean(reports.summary_report, "stations", "ridership", "delays", "performance"),
+}
+
+
 def all_queries() -> dict[str, Query]:
-    return {**MARTS}
+    return {**MARTS, **MEASURES, **EXPORTS, **SQL_NAMES, **CLEANING, **LOADS, **STORES, **REPORTS}

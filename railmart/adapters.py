@@ -99,6 +99,21 @@ SELECT o_orderkey AS ingest_seq, CAST(year(o_orderdate) AS STRING) AS period_yea
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey""",
 }
 
+# Earlier versions of the upserted tables.
+EXISTING = {
+    "stations": """
+SELECT s_suppkey AS station_id, concat('Customer#', lpad(CAST(s_suppkey * 3 AS STRING), 9, '0')) AS station_name,
+  'Old' AS borough, 'X' AS lines_served, 'IND' AS division
+FROM {supplier}""",
+    "performance": """
+SELECT min(o_orderkey) AS performance_id, CAST(year(o_orderdate)*10000+month(o_orderdate)*100+1 AS INT) AS date_key,
+  CAST(c_nationkey AS BIGINT) AS line_id, CAST(count(*) AS INT) AS scheduled_trips, CAST(count(*) AS INT) AS actual_trips,
+  0 AS on_time_trips, 1 AS late_trips, 2 AS canceled_trips
+FROM {orders} JOIN {customer} ON o_custkey = c_custkey
+WHERE o_orderstatus = 'F'
+GROUP BY 2, 3""",
+}
+
 
 def tables_in(text: str) -> list[str]:
     return sorted(set(re.findall(r"\{(\w+)\}", text)))
