@@ -1,9 +1,9 @@
-"""All oracle texts by query name."""
+"""All oracle texts by query name. Clustering has none: its result is not a SQL query."""
 
 from __future__ import annotations
 
-from checks import oracle_marts
+from checks import oracle_marts, oracle_rest
 
 
 def texts() -> dict[str, str]:
-    return {**oracle_marts.texts()}
+    return {**oracle_marts.texts(), **oracle_rest.texts()}

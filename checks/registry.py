@@ -320,7 +320,7 @@ def delimited_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = adapters.star(spark, sf_dir).delays
     columns = ["delay_id", "line_id", "delay_category", "delay_reason"]
     sinks.write_delimited(df, path, columns)
-    return sinks.read_delimited(spark, path, {c: t for c, t in df.dtypes if c in columns})
+    return sinks.read_delimited(spark, path, {c: dict(df.dtypes)[c] for c in columns})
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:

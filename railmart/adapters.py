@@ -83,7 +83,7 @@ SELECT event_id AS ingest_seq, CASE WHEN value < 2 THEN 'not a time' ELSE CAST(d
 FROM {events} JOIN {customer} ON user_id = c_custkey JOIN {nation} ON c_nationkey = n_nationkey
 WHERE event_type <> 'error'""",
     "delays": """
-SELECT event_id AS ingest_seq, CAST(date_trunc('day', ts) AS STRING) AS start_date, concat(' ', lower(n_name)) AS route,
+SELECT event_id AS ingest_seq, CAST(date_trunc('day', ts) AS STRING) AS start_date, ' ' || lower(n_name) AS route,
   concat(' reason ', CAST(event_id % 18 AS STRING), ' ') AS cause,
   CASE WHEN value < 3 THEN 'n/a' WHEN value < 10 THEN '0' ELSE CAST(CAST(floor(least(value,120.0)) AS INT) AS STRING) END AS delay_minutes,
   CAST(floor(value) AS INT)*100 AS passenger_impact_estimate, c_name AS station_name
