@@ -11,6 +11,7 @@ from railmart import adapters
 from railmart.functions import calendar, text
 from railmart.operators import clean, dims, load, quality
 from railmart.plans import exports, marts, metrics, reports
+from railmart.plans.star import Star
 from railmart.sources import landing, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,9 +23,20 @@ def plain_types(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c, t in df.dtypes if t.startswith("decimal")})
 
 
+_stars: dict[tuple, Star] = {}
+
+
+def star_of(spark: SparkSession, sf_dir: str, long: bool = False) -> Star:
+    """The star is only a set of plans; one per session and folder serves all queries."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, long)
+    if key not in _stars:
+        _stars[key] = adapters.star(spark, sf_dir, long=long)
+    return _stars[key]
+
+
 def on_star(mart: Callable[..., DataFrame], *args, long: bool = False, **kwargs) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return plain_types(mart(adapters.star(spark, sf_dir, long=long), *args, **kwargs))
+        return plain_types(mart(star_of(spark, sf_dir, long), *args, **kwargs))
 
     return run
 
@@ -126,7 +138,7 @@ def sql_call(call: str) -> Query:
     """SQL text over the registered views and functions."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        exports.register(spark, adapters.star(spark, sf_dir), views=["vw_line_performance"])
+        exports.register(spark, star_of(spark, sf_dir), views=["vw_line_performance"])
         return plain_types(spark.sql(call))
 
     return run
@@ -186,26 +198,26 @@ CLEANING: dict[str, Query] = {
 # --- Loads ------------------------------------------------------------------------------------------------------
 
 
-def dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    star = adapters.star(spark, sf_dir)
-    return star.lines, star.stations
-
-
 def load_ridership(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = load.load_ridership(cleaned(spark, sf_dir, "ridership"), *dimensions(spark, sf_dir), row_id="ingest_seq")
+    star = star_of(spark, sf_dir)
+    feed = cleaned(spark, sf_dir, "ridership")
+    rows = load.load_ridership(feed, star.lines, star.stations, row_id="ingest_seq", small=star.small)
     return rows.drop("ridership_id", "created_at")
 
 
 def load_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = load.load_delays(cleaned(spark, sf_dir, "delays"), *dimensions(spark, sf_dir), row_id="ingest_seq")
+    star = star_of(spark, sf_dir)
+    feed = cleaned(spark, sf_dir, "delays")
+    rows = load.load_delays(feed, star.lines, star.stations, row_id="ingest_seq", small=star.small)
     return rows.drop("delay_id", "created_at", "affected_services", "resolution_time_minutes")
 
 
 def load_performance(update: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         existing = adapters.view(spark, sf_dir, adapters.EXISTING["performance"])
-        lines, _ = dimensions(spark, sf_dir)
-        rows = load.load_performance(cleaned(spark, sf_dir, "performance"), lines, existing, "ingest_seq", update)
+        star = star_of(spark, sf_dir)
+        feed = cleaned(spark, sf_dir, "performance")
+        rows = load.load_performance(feed, star.lines, existing, "ingest_seq", update, star.small)
         return plain_types(
             rows.select(
                 "date_key", "line_id", "scheduled_trips", "actual_trips", "on_time_trips", "late_trips",
@@ -224,21 +236,21 @@ def load_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = adapters.star(spark, sf_dir)
+    star = star_of(spark, sf_dir)
     rows = load.daily_summary(star.ridership, star.times)
     return plain_types(rows.drop("daily_ridership_id", "created_at", "data_source"))
 
 
 def date_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The days orders were placed on."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = adapters.table(spark, sf_dir, "orders")
     days = orders.select(F.to_date("o_orderdate").alias("full_date")).distinct()
     return dims.date_attributes(days)
 
 
 def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order days with the year-end holidays marked."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = adapters.table(spark, sf_dir, "orders")
     days = orders.select(F.to_date("o_orderdate").alias("full_date")).distinct()
     marked = days.filter(calendar.sample_holiday(F.col("full_date"))).withColumn("holiday_name", F.lit("Year End"))
     return dims.date_attributes(days, marked).select("date_key", "is_holiday", "holiday_name")
@@ -246,7 +258,7 @@ def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def time_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events per minute of the day on the time dimension."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = adapters.table(spark, sf_dir, "events")
     per_minute = events.groupBy(calendar.time_key(F.hour("ts"), F.minute("ts")).alias("time_key")).agg(
         F.count(F.lit(1)).alias("events")
     )
@@ -255,19 +267,19 @@ def time_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def insert_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days with shipments added to the days with orders."""
-    orders, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "lineitem"))
+    orders, items = (adapters.table(spark, sf_dir, t) for t in ("orders", "lineitem"))
     have = orders.select(F.to_date("o_orderdate").alias("full_date")).distinct().withColumn("origin", F.lit("order"))
     new = items.select(F.to_date("l_shipdate").alias("full_date"), F.lit("shipment").alias("origin"))
     return dims.insert_absent(have, new, ["full_date"])
 
 
 def text_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    customers = adapters.table(spark, sf_dir, "customer")
     return customers.select("c_name", text.text_key(F.col("c_name")).alias("text_key"))
 
 
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = adapters.star(spark, sf_dir)
+    star = star_of(spark, sf_dir)
     return sinks.row_counts({n: getattr(star, a) for n, a in exports.TABLES.items()})
 
 
@@ -317,7 +329,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def delimited_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delays with gaps written for a bulk loader, NULL as backslash N, and read back."""
     path = sinks.shared_folder(spark, "bulk")
-    df = adapters.star(spark, sf_dir).delays
+    df = star_of(spark, sf_dir).delays
     columns = ["delay_id", "line_id", "delay_category", "delay_reason"]
     sinks.write_delimited(df, path, columns)
     return sinks.read_delimited(spark, path, {c: dict(df.dtypes)[c] for c in columns})
@@ -335,7 +347,7 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def refreshed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly ridership stored by year, then the partitions of two years replaced from doubled facts."""
     path = sinks.shared_folder(spark, "monthly")
-    star = adapters.star(spark, sf_dir, long=True)
+    star = star_of(spark, sf_dir, True)
     months = marts.monthly_trends(star).select("year", "month_number", "total_entries")
     sinks.refresh_partitions(months, path, ["year"])
     late = months.filter(F.col("year") >= 2000).withColumn("total_entries", F.col("total_entries") * 2)
@@ -344,7 +356,7 @@ def refreshed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parameterised(spark: SparkSession, sf_dir: str) -> DataFrame:
-    adapters.star(spark, sf_dir).delays.createOrReplaceTempView("fact_delays")
+    star_of(spark, sf_dir).delays.createOrReplaceTempView("fact_delays")
     return sinks.run_query(
         spark,
         "SELECT delay_reason, count(*) AS delays FROM fact_delays WHERE delay_duration_minutes >= :least GROUP BY 1",
@@ -354,7 +366,7 @@ def parameterised(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def last_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order value of the default extract window."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = adapters.table(spark, sf_dir, "orders")
     recent = landing.in_window(orders, "o_orderdate", "2000-12-31")
     return recent.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"), F.min("o_orderdate").alias("first"))
 

@@ -16,6 +16,20 @@ from railmart.functions.bins import delay_category, delay_severity
 from railmart.operators.dims import date_dimension, time_dimension
 from railmart.plans.star import Star
 
+# Given, so that opening a table does not start a job to look for its schema.
+SOURCES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
 FIRST_DAY, LAST_DAY = dt.date(1995, 1, 1), dt.date(2024, 12, 31)
 
 DAY_KEY = "CAST(year({0})*10000+month({0})*100+day({0}) AS INT)"
@@ -119,9 +133,13 @@ def tables_in(text: str) -> list[str]:
     return sorted(set(re.findall(r"\{(\w+)\}", text)))
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SOURCES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
 def view(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Run one of the texts on the Parquet tables below ``sf_dir``."""
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables_in(text)}
+    tables = {t: table(spark, sf_dir, t) for t in tables_in(text)}
     return spark.sql(text.replace('"', "`"), **tables)
 
 
@@ -133,8 +151,8 @@ def star(spark: SparkSession, sf_dir: str, *, long: bool = False) -> Star:
     """The star over the event tables; ``long`` takes ridership from ``lineitem``, which covers seven years."""
     delays = view(spark, sf_dir, STAR["fact_delays_raw"])
     minutes = F.col("delay_duration_minutes")
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name", "c_nationkey")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    nation = table(spark, sf_dir, "nation")
     return Star.of(
         sized_by={"stations": customer, "lines": nation},
         lines=view(spark, sf_dir, STAR["dim_lines"]),

@@ -154,10 +154,10 @@ def dated(df: DataFrame) -> DataFrame:
 
 def load_ridership(
     df: DataFrame, lines: DataFrame, stations: DataFrame, source: str = "api", row_id: str | None = None,
-    existing: DataFrame | None = None,
+    existing: DataFrame | None = None, small: frozenset[str] | None = None,
 ) -> DataFrame:
     """Ridership rows of the star. The clock is hour and, where there is one, minute."""
-    rows = with_ids(dated(df), lines, stations, row_id)
+    rows = with_ids(dated(df), lines, stations, row_id, small)
     hour, minute = column_or(rows, "hour", F.lit(0)), column_or(rows, "minute", F.lit(0))
     entries, exits = column_or(rows, "entries", F.lit(0)).cast("int"), column_or(rows, "exits", F.lit(0)).cast("int")
     out = rows.select(
@@ -175,10 +175,11 @@ def load_ridership(
 
 
 def load_delays(
-    df: DataFrame, lines: DataFrame, stations: DataFrame, row_id: str | None = None, existing: DataFrame | None = None
+    df: DataFrame, lines: DataFrame, stations: DataFrame, row_id: str | None = None,
+    existing: DataFrame | None = None, small: frozenset[str] | None = None,
 ) -> DataFrame:
     """Delay rows of the star, keyed to the full hour, with the stated defaults for what is missing."""
-    rows = with_ids(dated(df), lines, stations, row_id)
+    rows = with_ids(dated(df), lines, stations, row_id, small)
     hour = F.lit(0)
     if "incident_datetime" in rows.columns:
         hour = F.coalesce(F.hour("incident_datetime"), hour)
@@ -212,14 +213,15 @@ def on_time_percentage() -> Column:
 
 
 def load_performance(
-    df: DataFrame, lines: DataFrame, existing: DataFrame, order_by: str | None = None, update: str = "listed"
+    df: DataFrame, lines: DataFrame, existing: DataFrame, order_by: str | None = None, update: str = "listed",
+    small: frozenset[str] | None = None,
 ) -> DataFrame:
     """Upsert by day and line; the last row of a key in the batch wins.
 
     On a match scheduled, actual and on-time trips change; ``update='all'`` changes every measure. Rows whose line is
     unknown never match and are all kept.
     """
-    rows = with_ids(dated(df), lines)
+    rows = with_ids(dated(df), lines, small=small)
     zero = F.lit(0)
     trips = ("scheduled_trips", "actual_trips", "on_time_trips", "late_trips", "canceled_trips")
     rates = ("mean_distance_between_failures", "wait_assessment", "customer_journey_time_performance")

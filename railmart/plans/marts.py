@@ -519,6 +519,7 @@ def delays_in_month(star: Star, as_of: Day = None) -> DataFrame:
 def busiest_station_on(star: Star, as_of: Day = None) -> DataFrame:
     rows = _on_day(star, star.ridership, as_of)
     named = star.attach_station(rows, [], ["station_name"], {"traffic": F.sum("total_traffic")}, how="inner")
+    named = named.groupBy("station_name").agg(F.sum("traffic").alias("traffic"))
     return named.orderBy(F.col("traffic").desc_nulls_first(), "station_name").limit(1)
 
 

@@ -238,7 +238,8 @@ def station_map(star: Star, where: Slice = ALL) -> DataFrame:
     plain = [c for c in conditions if c != "borough"]
     rows = fact_rows(star, "ridership", plain, Slice(**{**vars(where), "boroughs": ()}))
     about = ["station_name", "borough", "latitude", "longitude"]
-    out = star.attach_station(rows, [], about, {"total_traffic": F.sum("total_traffic")})
+    parts = star.attach_station(rows, [], about, {"traffic": F.sum("total_traffic")})
+    out = parts.groupBy(*about).agg(F.sum("traffic").alias("total_traffic"))
     return out.filter(conditions["borough"]) if "borough" in conditions else out
 
 

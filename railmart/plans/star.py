@@ -52,18 +52,17 @@ class Star:
         self,
         rows: DataFrame,
         keys: Sequence[str],
-        station_columns: Sequence[str],
+        columns: Sequence[str],
         totals: Mapping[str, Column],
         how: str = "left",
     ) -> DataFrame:
-        """Additive ``totals`` of raw fact ``rows`` by ``keys`` and station attributes.
+        """Additive ``totals`` of raw fact ``rows`` with station ``columns``, as partial sums the caller adds up.
 
-        A small station table is broadcast and the rows grouped once. Otherwise the rows are summed per station id
-        first, which also takes the weight out of a hot station, and only the sums meet the station table.
+        Coarse columns of a small station table are attached by broadcast before the one grouping. Otherwise rows
+        are summed per station id first: that groups by whole numbers, takes the weight out of a hot station and
+        leaves only sums to meet a large station table.
         """
-        totals = dict(totals)
-        if "stations" not in self.small:
-            rows = rows.groupBy(*keys, "station_id").agg(*[c.alias(a) for a, c in totals.items()])
-            totals = {a: F.sum(a) for a in totals}
-        named = self.attach(rows, "stations", station_columns, how)
-        return named.groupBy(*keys, *station_columns).agg(*[c.alias(a) for a, c in totals.items()])
+        aggs = [c.alias(a) for a, c in totals.items()]
+        if "stations" in self.small and "station_name" not in columns:
+            return self.attach(rows, "stations", columns, how).groupBy(*keys, *columns).agg(*aggs)
+        return self.attach(rows.groupBy(*keys, "station_id").agg(*aggs), "stations", columns, how)
