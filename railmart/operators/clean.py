@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railmart.functions import bins
@@ -44,46 +44,53 @@ DELAY_TIME = ("start_date", "incident_datetime", "incident_date", "timestamp", "
 DELAY_TIME_DATE_FIRST = ("start_date", "incident_date", "date", "timestamp")
 
 
-class NoStats:
-    """Counts nothing and leaves the plan as it is."""
+class CleaningStats:
+    """Counters of one cleaning, computed when asked for.
 
-    def raw(self, df: DataFrame, filled: Sequence[Column] = ()) -> DataFrame:
-        return df
-
-    def distinct(self, df: DataFrame) -> DataFrame:
-        return df
-
-    def clean(self, df: DataFrame) -> DataFrame:
-        return df
-
-
-class CleaningStats(NoStats):
-    """Counters of one cleaning run, filled by the action that writes or counts its result."""
+    They are a query of their own over the key columns, not metrics of the run: a re-executed task would count twice.
+    """
 
     def __init__(self) -> None:
-        self._raw = Observation()
-        self._distinct = Observation()
-        self._clean = Observation()
+        self.frame: DataFrame | None = None
 
-    def raw(self, df: DataFrame, filled: Sequence[Column] = ()) -> DataFrame:
+    def of(self, df: DataFrame, keys: Sequence[str], filled: Sequence[Column] = (), required: str | None = None) -> None:
+        """Set up the counters for ``df``, the rows just before copies are removed."""
         gaps = sum((F.count_if(c) for c in filled), F.lit(0))
-        return df.observe(self._raw, F.count(F.lit(1)).alias("rows"), gaps.alias("filled"))
+        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), gaps.alias("_gaps"))
+        if not keys:
+            per_key = per_key.withColumn("_groups", F.col("_rows"))
+        groups = F.coalesce(F.sum("_groups"), F.lit(0)) if not keys else F.count(F.lit(1))
+        complete = F.count_if(F.col(required).isNotNull()) if required else groups
+        total = F.coalesce(F.sum("_rows"), F.lit(0))
+        self.frame = per_key.agg(
+            total.alias("total_records"),
+            complete.alias("cleaned_records"),
+            (groups - complete).alias("dropped_records"),
+            F.coalesce(F.sum("_gaps"), F.lit(0)).alias("nulls_filled"),
+            (total - groups).alias("duplicates_removed"),
+        )
 
-    def distinct(self, df: DataFrame) -> DataFrame:
-        return df.observe(self._distinct, F.count(F.lit(1)).alias("rows"))
+    def get(self) -> dict[str, int]:
+        return self.frame.first().asDict()
 
-    def clean(self, df: DataFrame) -> DataFrame:
-        return df.observe(self._clean, F.count(F.lit(1)).alias("rows"))
 
-    def get(self) -> dict[str, int]:
-        raw, distinct, clean = self._raw.get, self._distinct.get["rows"], self._clean.get["rows"]
-        return {
-            "total_records": raw["rows"],
-            "cleaned_records": clean,
-            "dropped_records": distinct - clean,
-            "nulls_filled": raw["filled"],
-            "duplicates_removed": raw["rows"] - distinct,
-        }
+def finish(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: str | None,
+    stats: CleaningStats | None,
+    filled: Sequence[Column] = (),
+    required: str | None = None,
+    last: bool = False,
+) -> DataFrame:
+    """Remove copies by the keys the frame has, then rows without ``required``."""
+    keys = [k for k in keys if k in df.columns]
+    required = required if required in df.columns else None
+    if stats is not None:
+        stats.of(df, keys, filled, required)
+    if keys:
+        df = keep_one(df, keys, order_by, last)
+    return df.na.drop(subset=[required]) if required else df
 
 
 # --- Steps ------------------------------------------------------------------------------------------------------
@@ -151,8 +158,7 @@ def fill_counts(c: Column) -> Column:
 
 def clean_stations(df: DataFrame, order_by: str | None = None, stats: CleaningStats | None = None) -> DataFrame:
     """Names, boroughs, coordinates and routes; one row per station name, the first by ``order_by``."""
-    stats = stats or NoStats()
-    df = stats.raw(normalise_names(df))
+    df = normalise_names(df)
     df = derive(df, "station_name", ("stop_name", "station_name"), text.clean_name)
     df = derive(df, "borough", ("borough",), text.borough_name)
     df = derive(df, "latitude", LATITUDE, lambda c: num.within(num.to_number(c), *LATITUDE_RANGE))
@@ -161,11 +167,7 @@ def clean_stations(df: DataFrame, order_by: str | None = None, stats: CleaningSt
         df = df.withColumn("lines_served", text.route_list(F.col("daytime_routes")))
     elif "line" in df.columns:
         df = df.withColumn("lines_served", F.col("line"))
-    if "station_name" in df.columns:
-        df = stats.distinct(keep_one(df, ["station_name"], order_by)).na.drop(subset=["station_name"])
-    else:
-        df = stats.distinct(df)
-    return stats.clean(df)
+    return finish(df, ["station_name"], order_by, stats, required="station_name")
 
 
 def clean_ridership(
@@ -175,7 +177,6 @@ def clean_ridership(
     time_columns: Sequence[str] = RIDERSHIP_TIME,
 ) -> DataFrame:
     """Times, counts and names; outliers cut; one row per time, station and line; rows without a time dropped."""
-    stats = stats or NoStats()
     df = split_time(normalise_names(df), "datetime", time_columns, hour=True)
     numeric = [c for c in dict.fromkeys([*COUNTS, *ENTRIES, *EXITS]) if c in df.columns]
     df = df.withColumns({c: num.non_negative(num.to_number(F.col(c))) for c in numeric})
@@ -186,12 +187,9 @@ def clean_ridership(
     df = df.withColumns({**gaps, **{c: fill_counts(F.col(c)) for c in filled}})
     df = derive(df, "station_name", ("station", "station_name"), text.clean_name)
     df = derive(df, "line_name", ("line", "line_name"), text.clean_code)
-    df = stats.raw(winsorise(df, filled), [F.col(g) for g in gaps]).drop(*gaps)
-    keys = [c for c in ("datetime", "station_name", "line_name") if c in df.columns]
-    df = stats.distinct(keep_one(df, keys, order_by) if keys else df)
-    if "datetime" in df.columns:
-        df = df.na.drop(subset=["datetime"])
-    return stats.clean(df)
+    df = winsorise(df, filled)
+    keys = ["datetime", "station_name", "line_name"]
+    return finish(df, keys, order_by, stats, [F.col(g) for g in gaps], required="datetime").drop(*gaps)
 
 
 def delay_minutes(df: DataFrame) -> Column | None:
@@ -213,7 +211,6 @@ def clean_delays(
     profile: str = "cleaner",
 ) -> DataFrame:
     """Times, names and durations; bins from the durations as reported; gaps then take the median; copies removed."""
-    stats = stats or NoStats()
     df = split_time(normalise_names(df), "incident_datetime", time_columns, hour=False)
     df = derive(df, "resolution_datetime", DELAY_END, cal.to_datetime)
     df = derive(df, "line_name", DELAY_LINE, text.clean_code)
@@ -233,16 +230,13 @@ def clean_delays(
             }
         )
         gaps = [F.col("_gap")]
-    df = stats.raw(df, gaps).drop("_gap")
-    keys = [c for c in ("incident_datetime", "line_name", "delay_reason") if c in df.columns]
-    return stats.clean(stats.distinct(keep_one(df, keys, order_by) if keys else df))
+    return finish(df, ["incident_datetime", "line_name", "delay_reason"], order_by, stats, gaps).drop("_gap")
 
 
 def clean_performance(
     df: DataFrame, order_by: str | None = None, stats: CleaningStats | None = None
 ) -> DataFrame:
     """Periods, names, percentages and trip counts; one row per date and line, the last by ``order_by``."""
-    stats = stats or NoStats()
     df = normalise_names(df)
     if {"period_year", "period_month"} <= set(df.columns):
         df = df.withColumn("date", cal.first_of_month(F.col("period_year"), F.col("period_month")))
@@ -254,9 +248,7 @@ def clean_performance(
     numbers = {c: num.to_number(F.col(c)) for c in trips}
     gaps = {f"_gap_{c}": v.isNull() for c, v in numbers.items()}
     df = df.withColumns({**gaps, **{c: fill_counts(v) for c, v in numbers.items()}})
-    df = stats.raw(df, [F.col(g) for g in gaps]).drop(*gaps)
-    keys = [c for c in ("date", "line_name") if c in df.columns]
-    return stats.clean(stats.distinct(keep_one(df, keys, order_by, last=True) if keys else df))
+    return finish(df, ["date", "line_name"], order_by, stats, [F.col(g) for g in gaps], last=True).drop(*gaps)
 
 
 CLEANERS = {

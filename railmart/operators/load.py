@@ -129,12 +129,13 @@ def with_ids(
     row_id: str | None = None,
     small: frozenset[str] | None = None,
 ) -> DataFrame:
-    """Add line and station ids by name; a name without an entry gives NULL.
+    """Add line and station ids by name, in place of ids the feed may carry; a name without an entry gives NULL.
 
     Tables of a checked size are broadcast; a larger station table is joined by shuffle with hot names spread out.
     """
     if small is None:
         small = frozenset(n for n, d in (("lines", lines), ("stations", stations)) if d is not None and fits_broadcast(d))
+    df = df.drop("line_id", "station_id")
     df = df.withColumns({c: F.lit(None).cast("string") for c in ("line_name", "station_name") if c not in df.columns})
     keep = df
     if row_id is None:

@@ -23,6 +23,11 @@ def unique_by(dim: DataFrame, key: str, order_by: str) -> DataFrame:
     return dim.groupBy(key).agg(F.min_by(F.struct(*dim.columns), F.col(order_by)).alias("_row")).select("_row.*")
 
 
+def hot_keys(counts: DataFrame, key: str, n: str) -> DataFrame:
+    """Keys with more than ``HOT_SHARE`` of all rows. There can be no more than ``1 / HOT_SHARE`` of them."""
+    return counts.filter(F.col(n) > counts.agg(F.sum(n)).scalar() * F.lit(HOT_SHARE)).select(key)
+
+
 def lookup(
     rows: DataFrame,
     dim: DataFrame,
@@ -31,6 +36,7 @@ def lookup(
     small: bool,
     how: str = "left",
     spread_by: str | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``dim`` on ``key``; ``how`` is ``left`` or ``inner``.
 
@@ -38,7 +44,7 @@ def lookup(
     A large ``dim`` is joined by a shuffle. Rows already grouped by the key shuffle evenly as they are. Raw rows
     pass ``spread_by``, an id that differs from row to row: keys with more than ``HOT_SHARE`` of all rows (so at
     most ``1 / HOT_SHARE`` of them) get their dimension row by broadcast, and they and NULL keys are spread over
-    all tasks instead of meeting in one.
+    all tasks instead of meeting in one. ``hot`` hands in those keys where the caller has counted already.
     """
     if small:
         return rows.join(F.broadcast(dim), key, how)
@@ -47,8 +53,8 @@ def lookup(
 
     extra = [c for c in dim.columns if c != key]
     packed = dim.select(F.col(key).alias("_key"), F.struct(F.lit(True).alias("_hit"), *extra).alias("_dim"))
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > counts.agg(F.sum("_n")).scalar() * F.lit(HOT_SHARE)).select(key)
+    if hot is None:
+        hot = hot_keys(rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), key, "_n")
     hot_dim = packed.join(F.broadcast(hot), F.col("_key") == F.col(key), "left_semi").select(
         F.col("_key").alias(key), F.col("_dim").alias("_hot")
     )

@@ -7,12 +7,12 @@ double has a bounded exponent) are accumulated in one small window, and each buc
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from railmart.operators.lookup import lookup
+from railmart.operators.lookup import hot_keys, lookup
 
 STEPS_PER_OCTAVE = 256
 
@@ -46,64 +46,77 @@ def running_counts(values: DataFrame, value: str, n: str, by: Sequence[str] = ()
     )
 
 
+def rank_table(df: DataFrame, value: str, alias: str, by: Sequence[str] = (), nulls: str = "first") -> DataFrame:
+    """Rank of every distinct value: ``_rank_key`` (group and value), the rank and how many rows share it."""
+    by = list(by)
+    counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    if nulls == "first":
+        ranks = running_counts(counts, value, "_n", by, descending=True)
+    else:
+        present = running_counts(counts.filter(F.col(value).isNotNull()), value, "_n", by, descending=True)
+        known = F.coalesce(F.sum(F.when(F.col(value).isNotNull(), F.col("_n"))), F.lit(0))
+        ahead = counts.groupBy(*by).agg(known.alias("before"))
+        ranks = present.unionByName(with_group_value(counts.filter(F.col(value).isNull()), ahead, "before", by))
+    return ranks.select(F.struct(*by, value).alias("_rank_key"), (F.col("before") + 1).cast("int").alias(alias), "_n")
+
+
+def with_group_value(df: DataFrame, per_group: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
+    """Add a column of a one-row-per-group frame; NULL groups match."""
+    if not by:
+        return df.withColumn(column, per_group.select(column).scalar())
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in by]
+    return df.alias("l").join(per_group.alias("r"), same).select("l.*", f"r.{column}")
+
+
 def rank_desc(
     df: DataFrame,
     value: str,
-    alias: str,
+    ranks: Mapping[str, Sequence[str]],
     *,
     row_id: str,
-    by: Sequence[str] = (),
     nulls: str = "first",
     one_task: bool = False,
 ) -> DataFrame:
-    """RANK by ``value`` descending, gaps kept. ``nulls='first'`` ranks missing values 1, ``'last'`` ranks them last.
+    """RANK by ``value`` descending, gaps kept: one column per entry of ``ranks``, alias → columns to rank within.
 
-    ``one_task`` allows a plain window where the number of rows is known to be small.
+    ``nulls='first'`` ranks missing values 1, ``'last'`` ranks them last. ``one_task`` allows a plain window where
+    the number of rows is known to be small.
     """
+    out = df
+    for alias, by in ranks.items():
+        if one_task:
+            ordering = F.col(value).desc_nulls_first() if nulls == "first" else F.col(value).desc_nulls_last()
+            out = out.withColumn(alias, F.rank().over(Window.partitionBy(*by).orderBy(ordering)))
+            continue
+        table = rank_table(df, value, alias, by, nulls)
+        out = lookup(
+            out.withColumn("_rank_key", F.struct(*by, value)),
+            table.select("_rank_key", alias),
+            "_rank_key",
+            small=False,
+            spread_by=row_id,
+            hot=hot_keys(table, "_rank_key", "_n"),
+        ).drop("_rank_key")
+    return out
+
+
+def median_of_counts(counts: DataFrame, value: str, n: str, alias: str, by: Sequence[str] = ()) -> DataFrame:
+    """Exact continuous median per group from distinct non-null values and their counts."""
     by = list(by)
-    first = nulls == "first"
-    if one_task:
-        ordering = F.col(value).desc_nulls_first() if first else F.col(value).desc_nulls_last()
-        return df.withColumn(alias, F.rank().over(Window.partitionBy(*by).orderBy(ordering)))
-
-    counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    if first:
-        ranks = running_counts(counts, value, "_n", by, descending=True)
-    else:
-        present = running_counts(counts.filter(F.col(value).isNotNull()), value, "_n", by, descending=True)
-        filled = counts.groupBy(*by).agg(F.coalesce(F.sum(F.when(F.col(value).isNotNull(), F.col("_n"))), F.lit(0)).alias("before"))
-        missing = counts.filter(F.col(value).isNull())
-        if by:
-            missing = missing.alias("l").join(
-                filled.alias("r"), [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in by]
-            ).select("l.*", "r.before")
-        else:
-            missing = missing.withColumn("before", filled.scalar())
-        ranks = present.unionByName(missing)
-    key = F.struct(*by, value)
-    ranks = ranks.select(key.alias("_rank_key"), (F.col("before") + 1).cast("int").alias(alias))
-    keyed = df.withColumn("_rank_key", key)
-    return lookup(keyed, ranks, "_rank_key", small=False, spread_by=row_id).drop("_rank_key")
-
-
-def median(df: DataFrame, value: str, alias: str, by: Sequence[str] = ()) -> DataFrame:
-    """Exact continuous median of the non-null values per group; groups without values are absent."""
-    by = list(by)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    placed = running_counts(counts, value, "_n", by)
-    totals = counts.groupBy(*by).agg(F.sum("_n").alias("_total"))
-    if by:
-        placed = placed.alias("l").join(
-            totals.alias("r"), [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in by]
-        ).select("l.*", "r._total")
-    else:
-        placed = placed.withColumn("_total", totals.scalar())
+    totals = counts.groupBy(*by).agg(F.sum(n).alias("_total"))
+    placed = with_group_value(running_counts(counts, value, n, by), totals, "_total", by)
 
     def covers(position: Column) -> Column:
-        return (F.col("before") <= position) & (position < F.col("before") + F.col("_n"))
+        return (F.col("before") <= position) & (position < F.col("before") + F.col(n))
 
     low = F.floor((F.col("_total") - 1) / 2)
     high = F.floor(F.col("_total") / 2)
     middle = placed.filter(covers(low) | covers(high))
     out = ((F.min(value).cast("double") + F.max(value).cast("double")) / 2).alias(alias)
     return middle.groupBy(*by).agg(out) if by else middle.agg(out)
+
+
+def median(df: DataFrame, value: str, alias: str, by: Sequence[str] = ()) -> DataFrame:
+    """Exact continuous median of the non-null values per group; groups without values are absent."""
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    return median_of_counts(counts, value, "_n", alias, by)

@@ -18,7 +18,7 @@ from railmart.functions.numbers import ratio, rounded_mean, rounded_ratio
 from railmart.operators import fanout
 from railmart.operators.dims import PERIOD_ORDER
 from railmart.operators.fanout import Fact, fan_out
-from railmart.operators.ordered import median, rank_desc
+from railmart.operators.ordered import median_of_counts, rank_desc
 from railmart.operators.windows import change_from_previous_row
 from railmart.plans.star import Star
 
@@ -135,12 +135,14 @@ def station_performance(star: Star, nulls: str = "first") -> DataFrame:
     about = ["station_id", "station_name", "borough", "latitude", "longitude", "lines_served", "ada_accessible"]
     all_stations = star.stations.select(*about).join(per_station, "station_id", "left")
     all_stations = all_stations.withColumn("days_with_data", F.coalesce("days_with_data", F.lit(0)))
-    small = "stations" in star.small
-    for alias, by in (("traffic_rank", []), ("borough_rank", ["borough"])):
-        all_stations = rank_desc(
-            all_stations, "total_traffic", alias, row_id="station_id", by=by, nulls=nulls, one_task=small
-        )
-    return all_stations
+    return rank_desc(
+        all_stations,
+        "total_traffic",
+        {"traffic_rank": [], "borough_rank": ["borough"]},
+        row_id="station_id",
+        nulls=nulls,
+        one_task="stations" in star.small,
+    )
 
 
 def line_performance(star: Star) -> DataFrame:
@@ -319,18 +321,24 @@ def line_performance_between(star: Star, line: str, start: Day, end: Day) -> Dat
 
 
 def avg_delays_per_line(star: Star) -> DataFrame:
-    """Delay statistics per line, with the exact median."""
+    """Delay statistics per line, with the exact median, all from the counts of distinct durations."""
     by = ["line_name", "line_color"]
-    minutes = F.col("delay_duration_minutes")
-    named = star.attach(star.delays, "lines", by, "inner")
-    stats = named.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("delay_count"),
-        rounded_mean(F.sum(minutes), F.count(minutes)).alias("avg_delay_minutes"),
-        F.round(F.stddev_samp(minutes), 2).alias("stddev_delay"),
+    minutes, n = F.col("delay_duration_minutes"), F.col("n")
+    per_id = star.delays.groupBy("line_id", "delay_duration_minutes").agg(F.count(F.lit(1)).alias("n"))
+    counts = star.attach(per_id, "lines", by, "inner").groupBy(*by, "delay_duration_minutes").agg(F.sum("n").alias("n"))
+    wide = minutes.cast("decimal(10,0)")
+    total = F.sum(wide * n).cast("decimal(38,0)")
+    squares = F.sum(wide * wide * n).cast("decimal(38,0)")
+    timed = F.sum(F.when(minutes.isNotNull(), n))
+    variance = F.try_divide((squares * timed - total * total).cast("double"), (timed * (timed - 1)).cast("double"))
+    stats = counts.groupBy(*by).agg(
+        F.sum("n").alias("delay_count"),
+        rounded_mean(total, timed).alias("avg_delay_minutes"),
+        F.round(F.sqrt(variance), 2).alias("stddev_delay"),
         F.min(minutes).alias("min_delay"),
         F.max(minutes).alias("max_delay"),
     )
-    middle = median(named, "delay_duration_minutes", "median_delay", by)
+    middle = median_of_counts(counts.filter(minutes.isNotNull()), "delay_duration_minutes", "n", "median_delay", by)
     same = [F.col(f"s.{c}").eqNullSafe(F.col(f"m.{c}")) for c in by]
     return (
         stats.alias("s")

@@ -27,12 +27,12 @@ def scores(spark):
 def test_bucketed_rank_equals_plain_window(scores, nulls, by):
     ordering = F.col("v").desc_nulls_first() if nulls == "first" else F.col("v").desc_nulls_last()
     plain = scores.withColumn("r", F.rank().over(Window.partitionBy(*by).orderBy(ordering)))
-    assert bag(rank_desc(scores, "v", "r", row_id="id", by=by, nulls=nulls)) == bag(plain)
-    assert bag(rank_desc(scores, "v", "r", row_id="id", by=by, nulls=nulls, one_task=True)) == bag(plain)
+    assert bag(rank_desc(scores, "v", {"r": by}, row_id="id", nulls=nulls)) == bag(plain)
+    assert bag(rank_desc(scores, "v", {"r": by}, row_id="id", nulls=nulls, one_task=True)) == bag(plain)
 
 
 def test_rank_has_no_window_over_the_rows(scores):
-    plan = planned(rank_desc(scores, "v", "r", row_id="id"))
+    plan = planned(rank_desc(scores, "v", {"r": []}, row_id="id"))
     windows = [line for line in plan.splitlines() if "Window [" in line]
     assert windows
     # The only window without partitions runs over the bucket totals.
