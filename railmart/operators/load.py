@@ -53,6 +53,11 @@ def with_serial(df: DataFrame, name: str, after: DataFrame | None = None) -> Dat
     return df.withColumn(name, start + 1 + F.monotonically_increasing_id())
 
 
+def aligned(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of ``like`` in order; those ``df`` lacks become NULL."""
+    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in like.dtypes])
+
+
 def upsert(
     existing: DataFrame,
     incoming: DataFrame,
@@ -61,22 +66,22 @@ def upsert(
     stamp: str | None = None,
     serial: str | None = None,
     recompute: dict[str, Column] | None = None,
+    append: DataFrame | None = None,
 ) -> DataFrame:
-    """Merge ``incoming`` (one row per key) into ``existing``.
+    """Merge ``incoming`` (each key once, no NULL keys) into ``existing``.
 
-    A match takes ``updates`` from the incoming row and keeps the rest; new keys are appended with an id in ``serial``.
-    Rows with a NULL key never match: they skip the join, so they cannot pile up in one of its tasks. ``recompute``
-    holds stored generated columns, evaluated on the merged row.
+    A match takes ``updates`` from the incoming row and keeps the rest; new keys are added with an id in ``serial``.
+    Rows with a NULL key never match. New ones come in ``append``; they and stored ones skip the join, so they cannot
+    pile up in one of its tasks. ``recompute`` holds stored generated columns, evaluated on the merged row.
     """
     keys = list(keys)
     columns = existing.columns
-    incoming = incoming.drop(serial) if serial else incoming
-    incoming = incoming.select(*[F.col(c) if c in incoming.columns else F.lit(None).cast(t).alias(c) for c, t in existing.dtypes])
+    incoming = aligned(incoming.drop(serial) if serial else incoming, existing)
     has_keys = F.lit(True)
     for k in keys:
         has_keys = has_keys & F.col(k).isNotNull()
     old = existing.filter(has_keys).select(*keys, F.struct(*columns).alias("_old"))
-    new = incoming.filter(has_keys).select(*keys, F.struct(*columns).alias("_new"))
+    new = incoming.select(*keys, F.struct(*columns).alias("_new"))
     matched = F.col("_old").isNotNull() & F.col("_new").isNotNull()
     merged = []
     for c in columns:
@@ -88,10 +93,11 @@ def upsert(
         else:
             value = F.when(F.col("_old").isNull(), after).otherwise(before)
         merged.append(value.alias(c))
-    out = old.join(new, keys, "full_outer").select(*merged)
-    out = out.unionByName(existing.filter(~has_keys)).unionByName(incoming.filter(~has_keys))
+    out = old.join(new, keys, "full_outer").select(*merged).unionByName(existing.filter(~has_keys))
+    if append is not None:
+        out = out.unionByName(aligned(append.drop(serial) if serial else append, existing))
     if serial:
-        # Numbered last and once: the branches above may see the incoming rows in different orders.
+        # Numbered once, after the branches have met.
         start = F.coalesce(existing.agg(F.max(serial)).scalar(), F.lit(0))
         out = out.withColumn(serial, F.coalesce(F.col(serial), start + 1 + F.monotonically_increasing_id()))
     if recompute:
@@ -234,13 +240,12 @@ def load_performance(
         }
     )
     known = keep_one(rows.filter(F.col("line_id").isNotNull()), ["date_key", "line_id"], order_by, last=True)
-    batch = known.unionByName(rows.filter(F.col("line_id").isNull()))
-    share = on_time_percentage()
-    batch = conform(batch.withColumn("on_time_percentage", share), FACT_PERFORMANCE)
+    unknown = rows.filter(F.col("line_id").isNull())
     updates = (*trips, *rates) if update == "all" else PERFORMANCE_UPDATES
     return upsert(
-        conform(existing, FACT_PERFORMANCE), batch, ["date_key", "line_id"], updates, serial="performance_id",
-        recompute={"on_time_percentage": share},
+        conform(existing, FACT_PERFORMANCE), conform(known, FACT_PERFORMANCE), ["date_key", "line_id"], updates,
+        serial="performance_id", recompute={"on_time_percentage": on_time_percentage()},
+        append=conform(unknown, FACT_PERFORMANCE),
     )
 
 

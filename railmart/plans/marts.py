@@ -313,7 +313,9 @@ def line_days(star: Star) -> DataFrame:
 def line_performance_between(star: Star, line: str, start: Day, end: Day) -> DataFrame:
     """One line's days from ``start`` to ``end``, both included."""
     first, last = cal.as_of_date(start), cal.as_of_date(end)
-    days = line_days(star).filter((F.col("line_name") == line) & F.col("date_val").between(first, last))
+    in_range = F.col("date_key").between(cal.date_key(first), cal.date_key(last))
+    cut = replace(star, performance=star.performance.filter(in_range), delays=star.delays.filter(in_range))
+    days = line_days(cut).filter((F.col("line_name") == line) & F.col("date_val").between(first, last))
     return days.orderBy("date_val")
 
 

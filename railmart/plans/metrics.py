@@ -131,7 +131,7 @@ def fact_rows(star: Star, fact: str, columns: Iterable[str], where: Slice = ALL)
 
     Only dimensions in use are joined. All relationships are many-to-one and keep rows without a match.
     """
-    rows = getattr(star, fact)
+    rows = in_days(getattr(star, fact), where.start, where.end)
     if fact == "delays":
         rows = optional(rows, {"resolution_time_minutes": "int"})
     reach = {c: d for d in FACT_DIMS[fact] for c in DIM_COLUMNS[d]}
@@ -149,6 +149,15 @@ def fact_rows(star: Star, fact: str, columns: Iterable[str], where: Slice = ALL)
     return rows
 
 
+def in_days(rows: DataFrame, start: dt.date | str | None, end: dt.date | str | None) -> DataFrame:
+    """Cut fact rows by their own date key, so the bound reaches the scan and prunes its partitions."""
+    if start is not None:
+        rows = rows.filter(F.col("date_key") >= int(str(start).replace("-", "")))
+    if end is not None:
+        rows = rows.filter(F.col("date_key") <= int(str(end).replace("-", "")))
+    return rows
+
+
 def measure(star: Star, names: Sequence[str], by: Sequence[str] = (), where: Slice = ALL) -> DataFrame:
     """The named measures by any dimension columns.
 
