@@ -56,9 +56,9 @@ def load_frames(
         if name == "stations":
             rows = load.load_stations(df, stations, order_by)
         elif name == "ridership":
-            rows = load.load_ridership(df, lines, stations, source)
+            rows = load.laid_out(load.load_ridership(df, lines, stations, source), "ridership_id")
         elif name == "delays":
-            rows = load.load_delays(df, lines, stations)
+            rows = load.laid_out(load.load_delays(df, lines, stations), "delay_id")
         else:
             before = stored(spark, existing.get("fact_performance"), FACT_PERFORMANCE)
             rows = load.load_performance(df, lines, before, order_by)

@@ -106,6 +106,17 @@ def upsert(
     return out
 
 
+def laid_out(rows: DataFrame, serial: str, by: Sequence[str] = ("date_key", "time_key", "station_id")) -> DataFrame:
+    """Order a fact for storage: each file holds a narrow range of days, so a date filter skips most files.
+
+    The range is over several columns, so a day with most of the rows is still cut up. Ids are given after the shuffle,
+    by the task that writes them: a repeated task cannot hand out an id another task has stored.
+    """
+    columns = rows.columns
+    ordered = rows.drop(serial).repartitionByRange(*by).sortWithinPartitions(*by)
+    return with_serial(ordered, serial).select(*columns)
+
+
 # --- Stations ---------------------------------------------------------------------------------------------------
 
 
@@ -187,11 +198,12 @@ def load_delays(
 ) -> DataFrame:
     """Delay rows of the star, keyed to the full hour, with the stated defaults for what is missing."""
     rows = with_ids(dated(df), lines, stations, row_id, small)
-    hour = F.lit(0)
+    hours = []
     if "incident_datetime" in rows.columns:
-        hour = F.coalesce(F.hour("incident_datetime"), hour)
-    elif "time" in rows.columns:
-        hour = F.coalesce(F.substring(F.col("time"), 1, 2).try_cast("int"), hour)
+        hours.append(F.hour("incident_datetime"))
+    if "time" in rows.columns:
+        hours.append(F.substring(F.col("time"), 1, 2).try_cast("int"))
+    hour = F.coalesce(*hours, F.lit(0))
     minutes = column_or(rows, "delay_duration_minutes", F.lit(0)).cast("int")
     carried = [c for c in ("affected_services", "is_resolved", "resolution_time_minutes") if c in rows.columns]
     out = rows.select(

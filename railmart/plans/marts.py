@@ -21,6 +21,7 @@ from railmart.operators.fanout import Fact, fan_out
 from railmart.operators.ordered import median_of_counts, rank_desc
 from railmart.operators.windows import change_from_previous_row
 from railmart.plans.star import Star
+from railmart.sources.sinks import stored
 
 Day = dt.date | str | None
 
@@ -122,7 +123,11 @@ def hourly_ridership(star: Star) -> DataFrame:
 
 
 def station_performance(star: Star, nulls: str = "first") -> DataFrame:
-    """Totals and ranks of every station. Stations without ridership rank first, or last with ``nulls='last'``."""
+    """Totals and ranks of every station. Stations without ridership rank first, or last with ``nulls='last'``.
+
+    Ranking a large station table looks at the totals several times, so they are written to the shared folder first
+    and the facts are read once.
+    """
     star = _stations(star)
     per_station = star.ridership.groupBy("station_id").agg(
         F.countDistinct("date_key").alias("days_with_data"),
@@ -135,13 +140,14 @@ def station_performance(star: Star, nulls: str = "first") -> DataFrame:
     about = ["station_id", "station_name", "borough", "latitude", "longitude", "lines_served", "ada_accessible"]
     all_stations = star.stations.select(*about).join(per_station, "station_id", "left")
     all_stations = all_stations.withColumn("days_with_data", F.coalesce("days_with_data", F.lit(0)))
+    small = "stations" in star.small
     return rank_desc(
-        all_stations,
+        all_stations if small else stored(all_stations, "station_totals"),
         "total_traffic",
         {"traffic_rank": [], "borough_rank": ["borough"]},
         row_id="station_id",
         nulls=nulls,
-        one_task="stations" in star.small,
+        one_task=small,
     )
 
 
@@ -422,7 +428,7 @@ def delay_causes(star: Star) -> DataFrame:
         rounded_mean(F.sum("delay_duration_minutes"), F.count("delay_duration_minutes")).alias("avg_duration"),
         F.sum("passenger_impact_estimate").alias("total_passengers_affected"),
     )
-    total = causes.agg(F.sum("incident_count")).scalar()
+    total = star.delays.agg(F.count(F.lit(1))).scalar()
     return causes.withColumn(
         "pct_of_all_delays", rounded_ratio(F.col("incident_count"), total, 2, 100)
     ).orderBy(F.col("incident_count").desc_nulls_first())
@@ -452,7 +458,7 @@ def borough_traffic(star: Star) -> DataFrame:
     per_station = star.ridership.groupBy("station_id").agg(
         F.sum("total_traffic").alias("traffic"), F.count("total_traffic").alias("counted")
     )
-    total = per_station.agg(F.sum("traffic")).scalar()
+    total = star.ridership.agg(F.sum("total_traffic")).scalar()
     return (
         star.attach(per_station, "stations", ["borough"], "inner")
         .groupBy("borough")

@@ -23,6 +23,21 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result and read it back: computed once, and still there when an executor is lost."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def create_tables(spark: SparkSession, tables: Mapping[str, Mapping[str, str]]) -> list[str]:
+    """Create the empty catalog tables that do not exist yet; returns their names."""
+    missing = [t for t in tables if not spark.catalog.tableExists(t)]
+    for table in missing:
+        spark.createDataFrame([], read_schema(dict(tables[table]))).write.saveAsTable(table)
+    return missing
+
+
 def write_frames(frames: Mapping[str, DataFrame], folder: str, suffix: str = "", fmt: str = "csv") -> dict[str, str]:
     """One folder per frame; returns name → path."""
     paths = {}

@@ -111,6 +111,21 @@ def test_performance_upsert(spark):
     assert second.select("performance_id").distinct().count() == 5
 
 
+def test_layout_keeps_rows_and_narrows_files(spark, tmp_path):
+    # Half of all rows fall on one day.
+    days = F.when(F.col("id") % 2 == 0, 20240101).otherwise(20240101 + F.col("id") % 28).cast("int")
+    rides = spark.range(0, 4000, 1, 8).select(
+        F.col("id").alias("ridership_id"), days.alias("date_key"), (F.col("id") % 1440).cast("int").alias("time_key"),
+        (F.col("id") % 50).alias("station_id"),
+    )
+    out = load.laid_out(rides, "ridership_id").write.mode("overwrite")
+    out.option("compression", "none").parquet(str(tmp_path / "f"))
+    stored = spark.read.parquet(str(tmp_path / "f"))
+    assert stored.columns == rides.columns
+    assert stored.select("ridership_id").distinct().count() == 4000
+    assert bag(stored.drop("ridership_id")) == bag(rides.drop("ridership_id"))
+
+
 def test_upsert_is_idempotent(spark):
     old = spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "id BIGINT, k STRING, v INT")
     new = spark.createDataFrame([("b", 7), ("c", 8)], "k STRING, v INT")

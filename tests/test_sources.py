@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from railmart import full_load
 from railmart.operators.dims import keep_one
+from railmart.schemas import STAR_TABLES, read_schema
 from railmart.sources import landing, sinks
 from tests.helpers import bag, rows
 
@@ -97,6 +98,17 @@ def test_tables(spark):
     assert bag(sinks.row_counts({"x": spark.range(3), "y": spark.range(0)})) == [("x", 3), ("y", 0)]
 
 
+def test_star_tables_are_created_once(spark):
+    assert sinks.create_tables(spark, STAR_TABLES) == list(STAR_TABLES)
+    assert sinks.create_tables(spark, STAR_TABLES) == []
+    alert = (1, 20240105, None, None, 8, "Delay", "h", "d", ["Penn", "Canal"], False, None, None, None)
+    rows_in = spark.createDataFrame([alert], read_schema(STAR_TABLES["fact_service_alerts"]))
+    sinks.append_rows(rows_in, "fact_service_alerts")
+    assert spark.table("fact_service_alerts").first().affected_stations == ["Penn", "Canal"]
+    for table in STAR_TABLES:
+        spark.sql(f"DROP TABLE {table}")
+
+
 def test_partition_refresh_leaves_other_months(spark, tmp_path):
     path = str(tmp_path / "months")
     sinks.refresh_partitions(spark.createDataFrame([(1, 10), (2, 20)], "m INT, v INT"), path, ["m"])
@@ -148,6 +160,7 @@ def test_full_load(spark, sample_folder, tmp_path):
         (20250105, 800, 8, 100, "sample"), (20250106, 900, None, 50, "sample"),
     ]
     assert rides.filter("station_id IS NULL").count() == 0
+    assert rides.select("ridership_id").distinct().count() == 2
     delay = spark.read.parquet(f"{out}/fact_delays").first()
     assert (delay.time_key, delay.severity_level, delay.resolution_time_minutes) == (1700, "Medium", 20)
     log = full_load.read_log(spark, out)
