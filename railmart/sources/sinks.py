@@ -30,11 +30,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def create_tables(spark: SparkSession, tables: Mapping[str, Mapping[str, str]]) -> list[str]:
-    """Create the empty catalog tables that do not exist yet; returns their names."""
-    missing = [t for t in tables if not spark.catalog.tableExists(t)]
+def create_tables(
+    spark: SparkSession, tables: Mapping[str, Mapping[str, str]], database: str = "default"
+) -> list[str]:
+    """Create the empty catalog tables that do not exist yet; returns their names. Temp views do not count."""
+    missing = [t for t in tables if not spark.catalog.tableExists(f"{database}.{t}")]
     for table in missing:
-        spark.createDataFrame([], read_schema(dict(tables[table]))).write.saveAsTable(table)
+        empty = spark.createDataFrame([], read_schema(dict(tables[table])))
+        empty.write.saveAsTable(f"{database}.{table}")
     return missing
 
 

@@ -99,14 +99,14 @@ def test_tables(spark):
 
 
 def test_star_tables_are_created_once(spark):
-    assert sinks.create_tables(spark, STAR_TABLES) == list(STAR_TABLES)
-    assert sinks.create_tables(spark, STAR_TABLES) == []
+    spark.sql("CREATE DATABASE transit")
+    assert sinks.create_tables(spark, STAR_TABLES, "transit") == list(STAR_TABLES)
+    assert sinks.create_tables(spark, STAR_TABLES, "transit") == []
     alert = (1, 20240105, None, None, 8, "Delay", "h", "d", ["Penn", "Canal"], False, None, None, None)
     rows_in = spark.createDataFrame([alert], read_schema(STAR_TABLES["fact_service_alerts"]))
-    sinks.append_rows(rows_in, "fact_service_alerts")
-    assert spark.table("fact_service_alerts").first().affected_stations == ["Penn", "Canal"]
-    for table in STAR_TABLES:
-        spark.sql(f"DROP TABLE {table}")
+    sinks.append_rows(rows_in, "transit.fact_service_alerts")
+    assert spark.table("transit.fact_service_alerts").first().affected_stations == ["Penn", "Canal"]
+    spark.sql("DROP DATABASE transit CASCADE")
 
 
 def test_partition_refresh_leaves_other_months(spark, tmp_path):
