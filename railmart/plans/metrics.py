@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from railmart.functions.bins import performance_band
 from railmart.functions.numbers import divide_or_zero, ratio
 from railmart.operators import windows
 from railmart.operators.dims import DAY_NAMES
-from railmart.plans.marts import exact, optional, rows_where
+from railmart.plans.marts import exact, optional
 from railmart.plans.star import ROW_IDS, Star
 
 OTP_TARGET = 85
@@ -76,53 +76,110 @@ class Slice:
 ALL = Slice()
 
 
+@dataclass(frozen=True)
+class Part:
+    """A value per fact row whose sum a measure is made of, and the dimension columns it looks at."""
+
+    value: Callable[[], Column]
+    needs: tuple[str, ...] = ()
+
+
+def when_true(condition: Callable[[], Column]) -> Callable[[], Column]:
+    return lambda: F.when(condition(), 1).otherwise(0)
+
+
+def counted(column: str) -> Callable[[], Column]:
+    return when_true(lambda: F.col(column).isNotNull())
+
+
+def entries_when(condition: Callable[[], Column]) -> Callable[[], Column]:
+    return lambda: F.when(condition(), F.col("entries"))
+
+
+PARTS: dict[str, Part] = {
+    "entries": Part(lambda: F.col("entries")),
+    "exits": Part(lambda: F.col("exits")),
+    "traffic": Part(lambda: F.col("total_traffic")),
+    "peak_entries": Part(entries_when(lambda: F.col("is_peak_hour")), ("is_peak_hour",)),
+    "morning_entries": Part(entries_when(lambda: F.col("peak_type") == "Morning"), ("peak_type",)),
+    "evening_entries": Part(entries_when(lambda: F.col("peak_type") == "Evening"), ("peak_type",)),
+    "delays": Part(counted("delay_id")),
+    "minutes": Part(lambda: F.col("delay_duration_minutes")),
+    "timed": Part(counted("delay_duration_minutes")),
+    "severe": Part(when_true(lambda: F.col("severity_level") == "High")),
+    "peak_delays": Part(when_true(lambda: F.col("is_peak_hour")), ("is_peak_hour",)),
+    "affected": Part(lambda: F.col("passenger_impact_estimate")),
+    "resolution": Part(lambda: F.col("resolution_time_minutes")),
+    "resolved": Part(counted("resolution_time_minutes")),
+    "on_time": Part(lambda: F.col("on_time_trips")),
+    "scheduled": Part(lambda: F.col("scheduled_trips")),
+    "otp": Part(lambda: exact("on_time_percentage")),
+    "rated": Part(counted("on_time_percentage")),
+}
+
+
 @dataclass(frozen=True)
 class Measure:
+    """A measure of one fact: the parts it sums and the expression over those sums.
+
+    Sums of sums are the same sums, so the rows may be reduced by any finer key first. ``distinct`` names fact keys
+    the measure counts; a first reduction keeps them.
+    """
+
     fact: str
+    parts: tuple[str, ...]
     column: Callable[[], Column]
-    needs: tuple[str, ...] = ()
+    distinct: tuple[str, ...] = ()
+
+
+def part_sum(part: str) -> Column:
+    return F.sum(f"_{part}")
+
+
+def part_count(part: str) -> Column:
+    return F.coalesce(part_sum(part), F.lit(0))
 
 
 def otp_rate() -> Column:
-    return divide_or_zero(F.sum("on_time_trips"), F.sum("scheduled_trips")) * 100
+    return divide_or_zero(part_sum("on_time"), part_sum("scheduled")) * 100
+
 
+def rides(part: str) -> Measure:
+    return Measure("ridership", (part,), lambda: part_sum(part))
 
-def peak_entries() -> Column:
-    return F.sum(F.when(F.col("is_peak_hour"), F.col("entries")))
 
+def delay_count(part: str) -> Measure:
+    return Measure("delays", (part,), lambda: part_count(part))
 
-def rush(kind: str) -> Callable[[], Column]:
-    return lambda: F.sum(F.when(F.col("peak_type") == kind, F.col("entries")))
 
+TRIPS = ("on_time", "scheduled")
 
 MEASURES: dict[str, Measure] = {
-    "total_ridership": Measure("ridership", lambda: F.sum("entries") + F.sum("exits")),
-    "total_entries": Measure("ridership", lambda: F.sum("entries")),
-    "total_exits": Measure("ridership", lambda: F.sum("exits")),
-    "total_traffic": Measure("ridership", lambda: F.sum("total_traffic")),
-    "active_stations": Measure("ridership", lambda: F.countDistinct("station_id")),
-    "peak_hour_ridership": Measure("ridership", peak_entries, ("is_peak_hour",)),
+    "total_ridership": Measure("ridership", ("entries", "exits"), lambda: part_sum("entries") + part_sum("exits")),
+    "total_entries": rides("entries"),
+    "total_exits": rides("exits"),
+    "total_traffic": rides("traffic"),
+    "active_stations": Measure("ridership", (), lambda: F.countDistinct("station_id"), ("station_id",)),
+    "peak_hour_ridership": rides("peak_entries"),
     "peak_hour_pct": Measure(
-        "ridership", lambda: divide_or_zero(peak_entries(), F.sum("entries")) * 100, ("is_peak_hour",)
+        "ridership",
+        ("peak_entries", "entries"),
+        lambda: divide_or_zero(part_sum("peak_entries"), part_sum("entries")) * 100,
     ),
-    "morning_rush_riders": Measure("ridership", rush("Morning"), ("peak_type",)),
-    "evening_rush_riders": Measure("ridership", rush("Evening"), ("peak_type",)),
-    "total_delays": Measure("delays", lambda: F.count("delay_id")),
-    "avg_delay_minutes": Measure(
-        "delays", lambda: ratio(F.sum("delay_duration_minutes"), F.count("delay_duration_minutes"))
-    ),
-    "severe_delays": Measure("delays", lambda: rows_where(F.col("severity_level") == "High")),
-    "peak_hour_delays": Measure("delays", lambda: rows_where(F.col("is_peak_hour")), ("is_peak_hour",)),
-    "passengers_affected": Measure("delays", lambda: F.sum("passenger_impact_estimate")),
+    "morning_rush_riders": rides("morning_entries"),
+    "evening_rush_riders": rides("evening_entries"),
+    "total_delays": delay_count("delays"),
+    "avg_delay_minutes": Measure("delays", ("minutes", "timed"), lambda: ratio(part_sum("minutes"), part_sum("timed"))),
+    "severe_delays": delay_count("severe"),
+    "peak_hour_delays": delay_count("peak_delays"),
+    "passengers_affected": Measure("delays", ("affected",), lambda: part_sum("affected")),
     "avg_resolution_minutes": Measure(
-        "delays", lambda: ratio(F.sum("resolution_time_minutes"), F.count("resolution_time_minutes"))
-    ),
-    "otp_rate": Measure("performance", otp_rate),
-    "otp_vs_target": Measure("performance", lambda: otp_rate() - OTP_TARGET),
-    "otp_status": Measure("performance", lambda: performance_band(otp_rate())),
-    "avg_otp": Measure(
-        "performance", lambda: ratio(F.sum(exact("on_time_percentage")), F.count("on_time_percentage"))
+        "delays", ("resolution", "resolved"), lambda: ratio(part_sum("resolution"), part_sum("resolved"))
     ),
+    "otp_rate": Measure("performance", TRIPS, otp_rate),
+    "otp_vs_target": Measure("performance", TRIPS, lambda: otp_rate() - OTP_TARGET),
+    "otp_status": Measure("performance", TRIPS, lambda: performance_band(otp_rate())),
+    "avg_otp": Measure("performance", ("otp", "rated"), lambda: ratio(part_sum("otp"), part_sum("rated"))),
 }
 
 
@@ -158,6 +215,32 @@ def in_days(rows: DataFrame, start: dt.date | str | None, end: dt.date | str | N
     return rows
 
 
+def fact_measures(star: Star, fact: str, names: Sequence[str], by: Sequence[str], where: Slice) -> DataFrame:
+    """Measures of one fact. With a large station table the rows are summed per station id before they meet it."""
+    own = [MEASURES[n] for n in names]
+    parts = list(dict.fromkeys(p for m in own for p in m.parts))
+    distinct = list(dict.fromkeys(c for m in own for c in m.distinct))
+    needs = [c for p in parts for c in PARTS[p].needs]
+    values = {f"_{p}": PARTS[p].value() for p in parts}
+    final = [MEASURES[n].column().alias(n) for n in names]
+
+    def grouped(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*by).agg(*final) if by else rows.agg(*final)
+
+    station = [c for c in by if c in DIM_COLUMNS["stations"]]
+    late = where.boroughs and "stations" in FACT_DIMS[fact]
+    if "stations" in star.small or not (station or late) or "stations" not in FACT_DIMS[fact]:
+        return grouped(fact_rows(star, fact, [*by, *needs], where).withColumns(values))
+
+    early = [c for c in by if c not in station]
+    rows = fact_rows(star, fact, [*early, *needs], replace(where, boroughs=())).withColumns(values)
+    keys = list(dict.fromkeys([*early, "station_id", *distinct]))
+    sums = [F.sum(v).alias(v) for v in values] or [F.count(F.lit(1)).alias("_rows")]
+    columns = list(dict.fromkeys([*station, *(["borough"] if late else [])]))
+    rows = star.attach(rows.groupBy(*keys).agg(*sums), "stations", columns)
+    return grouped(rows.filter(F.col("borough").isin(list(where.boroughs))) if late else rows)
+
+
 def measure(star: Star, names: Sequence[str], by: Sequence[str] = (), where: Slice = ALL) -> DataFrame:
     """The named measures by any dimension columns.
 
@@ -168,17 +251,12 @@ def measure(star: Star, names: Sequence[str], by: Sequence[str] = (), where: Sli
     per_fact: dict[str, list[str]] = {}
     for name in names:
         per_fact.setdefault(MEASURES[name].fact, []).append(name)
-    parts = []
-    for fact, own in per_fact.items():
-        needs = [c for n in own for c in MEASURES[n].needs]
-        rows = fact_rows(star, fact, [*by, *needs], where)
-        aggs = [MEASURES[n].column().alias(n) for n in own]
-        parts.append(rows.groupBy(*by).agg(*aggs) if by else rows.agg(*aggs))
-    if len(parts) == 1:
-        return parts[0].select(*by, *names)
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    results = [fact_measures(star, fact, own, by, where) for fact, own in per_fact.items()]
+    if len(results) == 1:
+        return results[0].select(*by, *names)
+    stacked = results[0]
+    for result in results[1:]:
+        stacked = stacked.unionByName(result, allowMissingColumns=True)
     folded = [F.max(n).alias(n) for n in names]
     return stacked.groupBy(*by).agg(*folded) if by else stacked.agg(*folded)
 
@@ -188,8 +266,8 @@ def measure(star: Star, names: Sequence[str], by: Sequence[str] = (), where: Sli
 
 def daily_entries(star: Star, by: Sequence[str] = (), where: Slice = ALL) -> DataFrame:
     """Entries per day, on days with ridership only."""
-    rows = fact_rows(star, "ridership", ["full_date", *by], where).filter(F.col("full_date").isNotNull())
-    return rows.groupBy(*by, "full_date").agg(F.sum("entries").alias("entries"))
+    days = measure(star, ["total_entries"], [*by, "full_date"], where).filter(F.col("full_date").isNotNull())
+    return days.withColumnRenamed("total_entries", "entries")
 
 
 def avg_daily_ridership(star: Star, by: Sequence[str] = (), where: Slice = ALL) -> DataFrame:
@@ -254,8 +332,8 @@ def station_map(star: Star, where: Slice = ALL) -> DataFrame:
 
 def borough_by_weekday(star: Star, where: Slice = ALL) -> DataFrame:
     """One row per borough, one column per weekday. The names are fixed, so no pass collects them."""
-    rows = fact_rows(star, "ridership", ["borough", "day_name"], where)
-    return rows.groupBy("borough").pivot("day_name", DAY_NAMES).agg(F.sum("entries"))
+    cells = measure(star, ["total_entries"], ["borough", "day_name"], where)
+    return cells.groupBy("borough").pivot("day_name", DAY_NAMES).agg(F.sum("total_entries"))
 
 
 def kpi_cards(star: Star, where: Slice = ALL) -> DataFrame:

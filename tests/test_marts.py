@@ -37,6 +37,11 @@ STATION_MARTS = [
     lambda s: marts.busiest_station_on(s, "2024-01-30"),
     metrics.station_map,
     lambda s: metrics.measure(s, ["total_ridership", "total_delays"], ["borough"]),
+    lambda s: metrics.measure(s, registry.of_fact("ridership"), ["borough", "hour"], registry.RUSH),
+    lambda s: metrics.measure(s, registry.of_fact("delays"), ["line_name"], Slice(boroughs=("ASIA",))),
+    lambda s: metrics.measure(s, ["active_stations", "otp_rate", "severe_delays"], (), Slice(boroughs=("ASIA",))),
+    lambda s: metrics.rolling_seven_days(s, ["borough"]),
+    metrics.borough_by_weekday,
 ]
 
 
@@ -107,6 +112,20 @@ def test_slicers_skip_facts_they_cannot_reach(star):
     assert severe.otp_rate == metrics.measure(star, ["otp_rate"]).first().otp_rate
 
 
+def test_raw_rows_never_meet_a_large_station_table(large):
+    plan = planned(metrics.measure(large, ["total_entries"], ["borough"]))
+    # The first shuffle already carries sums per station.
+    first = [line for line in plan.splitlines() if "Exchange hashpartitioning(station_id" in line or "HashAggregate(keys=[station_id" in line]
+    assert first
+    assert "partial_sum(_entries" in plan
+
+
+def test_nothing_selected(star):
+    nowhere = Slice(boroughs=("Atlantis",))
+    got = metrics.measure(star, ["total_delays", "total_entries", "active_stations"], (), nowhere).first()
+    assert got.asDict() == {"total_delays": 0, "total_entries": None, "active_stations": 0}
+
+
 def test_unknown_column_is_named(star):
     with pytest.raises(ValueError, match="performance has no column borough"):
         metrics.measure(star, ["otp_rate"], ["borough"])
