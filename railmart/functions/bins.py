@@ -36,7 +36,7 @@ def delay_severity(minutes: Column, profile: str = "cleaner") -> Column:
 
 def performance_band(pct: Column) -> Column:
     """NULL falls in the lowest band."""
-    out = F
+    out = F.when(F.lit(False), F.lit(LOWEST_BAND))
     for floor, label in PERFORMANCE_BANDS:
         out = out.when(pct >= floor, F.lit(label))
     return out.otherwise(F.lit(LOWEST_BAND))

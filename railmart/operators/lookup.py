@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_SHARE = 0.001
 
 
@@ -15,7 +15,8 @@ def plan_bytes(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    return plan_bytes(df) <= limit
+    """Whether the estimate is known and small. A remote client does not see it, so nothing counts as small there."""
+    return hasattr(df, "_jdf") and plan_bytes(df) <= limit
 
 
 def unique_by(dim: DataFrame, key: str, order_by: str) -> DataFrame:

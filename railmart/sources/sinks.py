@@ -12,6 +12,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from railmart.operators.dims import keep_one
 from railmart.schemas import ETL_LOG, QUARANTINE, conform, read_schema
 
 NULL_TEXT = "\\N"
@@ -53,9 +54,13 @@ def write_frames(frames: Mapping[str, DataFrame], folder: str, suffix: str = "",
 
 
 def export_results(results: Mapping[str, DataFrame], folder: str) -> list[str]:
-    """CSV per result set; empty ones are skipped. Returns the names written."""
+    """CSV per result set; empty ones are skipped. Returns the names written.
+
+    Each result is stored first: asking an aggregate whether it is empty would compute it twice.
+    """
     written = []
-    for name, df in results.items():
+    for name, result in results.items():
+        df = stored(result, name)
         if not df.isEmpty():
             df.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
             written.append(name)
@@ -75,8 +80,6 @@ def append_rows(df: DataFrame, table: str, columns: Sequence[str] | None = None)
 
 def insert_ignoring(df: DataFrame, table: str, keys: Sequence[str]) -> None:
     """Append rows whose key the table lacks, one per key."""
-    from railmart.operators.dims import keep_one
-
     existing = df.sparkSession.table(table).select(*keys)
     append_rows(keep_one(df, keys).join(existing, list(keys), "left_anti"), table)
 
