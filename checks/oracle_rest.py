@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.oracle_marts import LINE_DAYS, STATION_SEARCH, mean_pct, total
+from checks.oracle_marts import KPI_LITERAL, LINE_DAYS, STATION_SEARCH, mean_pct, total
 from checks.oracle_parts import plain, with_parts
 from railmart.adapters import EXISTING
 
@@ -341,6 +341,7 @@ FROM feed_ridership WHERE TRY_CAST(transit_timestamp AS TIMESTAMP) IS NULL OR ex
     "refreshed_months": """
 SELECT d.year, d.month_number, CAST(sum(entries) * CASE WHEN d.year >= 2000 THEN 2 ELSE 1 END AS BIGINT) AS total_entries
 FROM fact_ridership_long JOIN dim_date d USING (date_key) GROUP BY d.year, d.month_number""",
+    "refreshed_daily_kpis": KPI_LITERAL,
     "parameterised": """
 SELECT delay_reason, count(*) AS delays FROM fact_delays WHERE delay_duration_minutes >= 30 GROUP BY 1""",
     "last_year": """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -355,6 +356,17 @@ def refreshed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("month_number INT, total_entries BIGINT, year INT").parquet(path)
 
 
+def refreshed_daily_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily KPIs stored by month in the independent mode, then January 2024 replaced in the literal one."""
+    path = sinks.shared_folder(spark, "kpis")
+    star = star_of(spark, sf_dir)
+    exports.refresh_daily_kpis(star, path, mode="independent")
+    exports.refresh_daily_kpis(star, path, dt.date(2024, 1, 10), dt.date(2024, 1, 20))
+    schema = "full_date DATE, day_name STRING, is_weekend BOOLEAN, total_entries BIGINT, total_exits BIGINT, " \
+        "active_stations BIGINT, delay_count BIGINT, avg_delay_minutes DOUBLE, system_avg_otp DOUBLE, year INT, month_number INT"
+    return spark.read.schema(schema).parquet(path)
+
+
 def parameterised(spark: SparkSession, sf_dir: str) -> DataFrame:
     star_of(spark, sf_dir).delays.createOrReplaceTempView("fact_delays")
     return sinks.run_query(
@@ -378,6 +390,7 @@ STORES: dict[str, Query] = {
     "delimited_round_trip": delimited_round_trip,
     "quarantine": quarantine,
     "refreshed_months": refreshed_months,
+    "refreshed_daily_kpis": refreshed_daily_kpis,
     "parameterised": parameterised,
     "last_year": last_year,
 }

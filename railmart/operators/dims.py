@@ -130,7 +130,7 @@ def line_dimension(spark: SparkSession) -> DataFrame:
 
 
 def insert_absent(existing: DataFrame, new: DataFrame, keys: Sequence[str], order_by: str | None = None) -> DataFrame:
-    """``existing`` plus the first ``new`` row of every key it lacks."""
+    """``existing`` plus the first ``new`` row of every key it lacks. Keys are primary keys, so never NULL."""
     keys = list(keys)
     first = keep_one(new, keys, order_by)
     return existing.unionByName(first.join(existing, keys, "left_anti"), allowMissingColumns=True)

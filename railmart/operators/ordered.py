@@ -19,7 +19,7 @@ STEPS_PER_OCTAVE = 256
 
 def bucket(v: Column) -> Column:
     """Monotone step function of a number: equal or larger values never land in a smaller bucket."""
-    x = v.cast("double")
+    x = F.when(v.isNotNull(), F.least(F.greatest(v.cast("double"), F.lit(-1e308)), F.lit(1e308)))
     return (F.signum(x) * F.floor(F.log2(F.abs(x) + 1) * STEPS_PER_OCTAVE)).cast("int")
 
 

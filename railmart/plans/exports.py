@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from calendar import monthrange
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railmart.plans import marts
+from railmart.plans.metrics import in_days
 from railmart.plans.star import Star
-from railmart.sources.sinks import export_results
+from railmart.sources.sinks import export_results, refresh_partitions
 
 
 def ridership_summary(star: Star) -> DataFrame:
@@ -99,6 +103,20 @@ TABLES = {
 }
 
 
+def refresh_daily_kpis(
+    star: Star, path: str, start: dt.date | None = None, end: dt.date | None = None, mode: str = "literal"
+) -> None:
+    """Store the daily KPIs by month: all of them, or only the months from ``start`` to ``end``.
+
+    A partial refresh reads just the facts of those months and leaves the other months alone.
+    """
+    first = start.replace(day=1) if start else None
+    last = end.replace(day=monthrange(end.year, end.month)[1]) if end else None
+    tables = ("dates", "ridership", "delays", "performance")
+    cut = replace(star, **{t: in_days(getattr(star, t), first, last) for t in tables})
+    refresh_partitions(marts.daily_kpis(cut, mode), path, ["year", "month_number"])
+
+
 def register(spark: SparkSession, star: Star, views: Sequence[str] | None = None) -> None:
     """Temp views for tables and marts, and the two table functions, so that SQL text can use them."""
     for name, attribute in TABLES.items():

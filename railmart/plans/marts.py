@@ -172,7 +172,7 @@ def delay_analysis(star: Star) -> DataFrame:
     """Every delay with all its dimensions."""
     rows = star.attach(_delay_rows(star), "dates", ["full_date", "day_name", "month_name", "year", "is_weekend"], "inner")
     rows = star.attach(rows, "times", ["hour", "time_period", "is_peak_hour"])
-    rows = star.attach(rows, "lines", LINE_COLUMNS)
+    rows = star.attach(rows, "lines", LINE_COLUMNS, spread_by="delay_id")
     rows = star.attach(rows, "stations", ["station_name", "borough"], spread_by="delay_id")
     return rows.select(
         "full_date", "day_name", "month_name", "year", "is_weekend", "hour", "time_period", "is_peak_hour",

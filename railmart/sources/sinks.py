@@ -174,9 +174,12 @@ def refresh_table(df: DataFrame, table: str) -> None:
 
 
 def refresh_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
-    """Replace only the partitions ``df`` holds rows for, e.g. the current month of a daily result."""
+    """Replace only the partitions ``df`` holds rows for, e.g. the current month of a daily result.
+
+    Rows of a partition are brought together in few files; a partition too large for one task is split over several.
+    """
     (
-        df.repartition(*by)
+        df.hint("rebalance", *by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)

@@ -91,3 +91,9 @@ def test_spread_lookup_balances_hot_and_missing_keys(spark, skewed):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_extreme_values_keep_their_order(spark):
+    values = [float("inf"), float("-inf"), 1.7e308, -1.7e308, 0.0, 5e-324]
+    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+    assert median(df, "v", "m").first().m == pytest.approx(0.0)

@@ -116,6 +116,19 @@ def test_partition_refresh_leaves_other_months(spark, tmp_path):
     assert bag(spark.read.parquet(path).select("m", "v")) == [(1, 10), (2, 25)]
 
 
+def test_large_partition_is_written_by_several_tasks(spark, tmp_path):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    try:
+        spark.conf.set(size, "64k")
+        df = spark.range(0, 200000, 1, 8).select(F.lit(1).alias("m"), F.xxhash64("id").alias("v"))
+        sinks.refresh_partitions(df, str(tmp_path / "big"), ["m"])
+    finally:
+        spark.conf.set(size, before)
+    assert len(list((tmp_path / "big" / "m=1").glob("*.parquet"))) > 1
+    assert spark.read.parquet(str(tmp_path / "big")).count() == 200000
+
+
 def test_rejected_rows_keep_their_payload(spark):
     df = spark.createDataFrame([(1, "a"), (None, "b")], "id INT, v STRING")
     good, bad = sinks.split_rejected(df, sinks.required_error(["id", "v"]), "demo")
