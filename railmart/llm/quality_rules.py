@@ -23,7 +23,7 @@ COMMON = 50
 MIN_WORDS = 50
 MIN_CHARS = 200
 MOST_CHAR_DISTANCE = 0.33
-MOST_WORD_DISTANCE = 0.6
+MOST_WORD_DISTANCE = 0.48
 MIN_REFERENCE_WORDS = 1_000
 MOST_LANGUAGES = 256
 FLUSH = 1 << 21
