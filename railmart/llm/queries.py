@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from railmart.llm import common, language_id, mixing, packing, quality_rules, toxicity, url_filter
-
+from railmart.llm import common, language_id, mixing, ngram_join, one_bit_ann, packing, quality_rules, suffix_dedup, toxicity, url_filter
 
 
 def shipped(query: Callable) -> Callable:
@@ -17,11 +16,14 @@ def shipped(query: Callable) -> Callable:
 
 
 QUERIES = {
+    "op1_one_bit_ann": shipped(one_bit_ann.query),
     "op3_mixing": shipped(mixing.query),
     "op4_toxicity": shipped(toxicity.query),
     "op5_url_filter": shipped(url_filter.query),
     "op6_quality_rules": shipped(quality_rules.query),
     "op7_packing": shipped(packing.query),
     "op8_language_id": shipped(language_id.query),
+    "op9_suffix_dedup": shipped(suffix_dedup.query),
+    "op10_ngram_join": shipped(ngram_join.query),
 }
 SQL = {"op3_mixing": mixing.SQL}
