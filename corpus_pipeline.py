@@ -1,4 +1,4 @@
-"""The corpus pipeline: toxicity, mixing, packing, each over all that the stage before kept.
+"""The corpus pipeline: toxicity, n-gram Jaccard join, suffix-array dedup, mixing, packing, each over all that the stage before kept.
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of `documents`. Each result is written to
 the shared folder and read again as the next stage's documents.
@@ -8,14 +8,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railmart.llm import common, mixing, packing, toxicity
+from railmart.llm import common, mixing, ngram_join, packing, suffix_dedup, toxicity
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is under the threshold. The labels of sf_dir teach, but for held-out rows."""
     common.ship(spark)
-    scored = toxicity.scored(docs, toxicity.trained_on(spark, docs, sf_dir))
-    return scored.filter(scored["score"] < toxicity.THRESHOLD).select(*docs.columns)
+    return toxicity.kept(docs, toxicity.trained_on(spark, docs, sf_dir))
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    common.ship(spark)
+    return ngram_join.kept(docs)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the long byte strings that occur elsewhere too."""
+    common.ship(spark)
+    return suffix_dedup.cleaned(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +41,13 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed(docs, packing.default_tokenizer())
 
 
-STAGES = [("toxicity", not_toxic), ("mixing", mixed), ("packing", packed)]
+STAGES = [
+    ("toxicity", not_toxic),
+    ("ngram_join", one_of_each_group),
+    ("suffix_dedup", without_repeats),
+    ("mixing", mixed),
+    ("packing", packed),
+]
 ORACLE_SQL = None
 
 

@@ -75,11 +75,26 @@ def broadcast_up_to(df: DataFrame, rows: int, count: int | None = None) -> DataF
     return F.broadcast(df) if n <= rows else df
 
 
+def packed(docs: DataFrame, *own: str) -> DataFrame:
+    """The own columns, and all others in one struct `rest`, so names that a step adds can't clash with them."""
+    return docs.select(*own, F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`") for c in docs.columns if c not in own]).alias("rest"))
+
+
+def unpacked(df: DataFrame, columns: list[str], *own: str) -> DataFrame:
+    """The columns again as they were before `packed`."""
+    return df.select(*[F.col(c) if c in own else F.col("rest").getField(c).alias(c) for c in columns])
+
+
 def held_out(doc_id: str = "doc_id"):
     """True for rows whose crc32(doc_id as text) mod 4 is 2; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % 4 == 2
 
 
+def text_key():
+    """md5 of the text, which names equal texts; null counts as empty."""
+    return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """splitmix64's finish, on uint64."""
     x = x.astype(np.uint64, copy=True)

@@ -92,10 +92,10 @@ def with_copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, seed: str =
 
 def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, seed: str = SEED) -> DataFrame:
     """The mix itself: the columns of docs, each document as often as it is taken."""
-    own = [F.col(f"doc.{c}").alias(c) for c in docs.columns]
-    packed = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("doc"))
-    taken = with_copies(packed, weights, seed)
-    return taken.filter("copies > 0").select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*own)
+    own = ("doc_id", "source", "text")
+    taken = with_copies(common.packed(docs, *own), weights, seed).filter("copies > 0")
+    copies = taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return common.unpacked(copies, docs.columns, *own)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

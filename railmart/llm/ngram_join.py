@@ -106,7 +106,7 @@ def bits_of(items: np.ndarray) -> bytes:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, n, node, bits, words; a task writes the words of a set once."""
+    """doc_id, key, n, node, bits, words; a task writes the words of a set once."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -123,12 +123,13 @@ def sketched(docs: DataFrame) -> DataFrame:
                 offsets = np.append(0, np.cumsum([len(w) for w in words])).astype(np.int32)
                 keys = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(words)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(bits, pa.binary()), keys],
-                    names=["doc_id", "n", "node", "bits", "words"],
+                    [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(bits, pa.binary()), keys],
+                    names=["doc_id", "key", "n", "node", "bits", "words"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(sketch, f"doc_id {kind}, n long, node long, bits binary, words array<long>")
+    ddl = f"doc_id {kind}, key binary, n long, node long, bits binary, words array<long>"
+    return docs.select("doc_id", "text", common.text_key().alias("key")).mapInArrow(sketch, ddl)
 
 
 def meetings(nodes: DataFrame) -> DataFrame:
@@ -338,23 +339,38 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return found.union(extra)
 
 
-def grouped(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id for each row."""
+def placed(docs: DataFrame) -> DataFrame:
+    """doc_id, key (of the text), n, node and root (of its component; null without shingles) for each row, stored."""
     nodes = common.stored(sketched(docs), "sketches")
     roots = components(links(docs, nodes))
-    placed = nodes.select("doc_id", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = common.stored(placed, "placed")
-    least = placed.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"), F.count("*").alias("members")).filter("members > 1")
-    out = placed.join(least.drop("members"), "root", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), "node")
+    rooted = nodes.select("doc_id", "key", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return common.stored(rooted, "placed")
 
 
-def query(spark, sf_dir: str) -> DataFrame:
-    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return grouped(docs).select("doc_id", "n_shingles", "component_id")
+def grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id for each row."""
+    rows = placed(docs).select("doc_id", "n", "root")
+    least = rows.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"), F.count("*").alias("members")).filter("members > 1")
+    out = rows.join(least.drop("members"), "root", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
 
 
 def kept(docs: DataFrame) -> DataFrame:
-    """One document of each group: the row with the smallest doc_id; of rows with that id, one text. Rows without shingles all stay."""
-    key = F.xxhash64(F.coalesce("text", F.lit("")), F.octet_length(F.coalesce("text", F.lit(""))))
-    raise NotImplementedError
+    """The rows of docs, of each group only the one with the smallest doc_id (then text key); rows without shingles all stay."""
+    rows = placed(docs).filter("root IS NOT NULL")
+    times = rows.groupBy("root", "doc_id", "key").agg(F.count("*").alias("times"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "times")
+    best = common.stored(times.groupBy("root").agg(F.min(order).alias("best")).select("best.*"), "group-heads")
+    best = best.select(F.col("doc_id").alias("id"), F.col("key").alias("of"), "times")
+    own = ("doc_id", "text")
+    mine = common.packed(docs, *own)
+    heads = mine.withColumn("key", common.text_key()).join(best, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("of")))
+    has_word = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    once, again = heads.filter("times = 1"), heads.filter("times > 1").dropDuplicates(["doc_id", "key"])
+    columns = [*own, "rest"]
+    return common.unpacked(once.select(*columns).union(again.select(*columns)).union(mine.filter(~has_word)), docs.columns, *own)
+
+
+def query(spark, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return grouped(docs).select("doc_id", "n_shingles", "component_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from railmart.llm import common, language_id, mixing, ngram_join, one_bit_ann, packing, quality_rules, suffix_dedup, toxicity, url_filter
+from railmart.llm import chat_turns, common, language_id, mixing, ngram_join, one_bit_ann, packing, quality_rules, suffix_dedup, toxicity, url_filter
 
 
 def shipped(query: Callable) -> Callable:
@@ -17,6 +17,7 @@ def shipped(query: Callable) -> Callable:
 
 QUERIES = {
     "op1_one_bit_ann": shipped(one_bit_ann.query),
+    "op2_chat_turns": shipped(chat_turns.query),
     "op3_mixing": shipped(mixing.query),
     "op4_toxicity": shipped(toxicity.query),
     "op5_url_filter": shipped(url_filter.query),

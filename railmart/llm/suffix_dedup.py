@@ -21,8 +21,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from railmart.llm import common, induced
 
@@ -33,10 +34,6 @@ MOST_CONTEXTS = 300
 BETWEEN = 0xFF
 
 
-def text_key() -> Column:
-    return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
-
-
 def gram_hashes(data: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the n bytes from each place on; n is a power of two."""
     out, width, base = common.TABLES[False][data], 1, np.uint64(0x9E3779B97F4A7C15)
@@ -92,7 +89,7 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
                     )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", text_key().alias("key")).mapInArrow(
+    return docs.select("doc_id", "text", common.text_key().alias("key")).mapInArrow(
         find, f"doc_id {kind}, key binary, anchor long, context long, lo long, hi long"
     )
 
@@ -118,7 +115,7 @@ def read_again(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
     by_text = wanted.groupBy("doc_id", "key").agg(F.collect_list(F.struct("anchor", "context", "lo", "hi")).alias("want"))
     by_text = by_text.select(F.col("doc_id").alias("id"), F.col("key").alias("of"), "want")
-    own = docs.select("doc_id", F.col("text").cast("binary").alias("text"), text_key().alias("key"))
+    own = docs.select("doc_id", F.col("text").cast("binary").alias("text"), common.text_key().alias("key"))
     found = own.join(by_text, (F.col("key") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")))
     return found.select("text", "key", "want").mapInArrow(cut, "anchor long, context long, key binary, lo long, hi long, data binary")
 
@@ -211,7 +208,7 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     few, many = texts.join(crowd, "anchor", "left_anti"), texts.join(crowd, "anchor", "left_semi")
     few, many = by_suffixes(few, max(1, -(-total // SHARD)), length), by_counts(many, length)
 
-    copies = docs.groupBy(text_key().alias("key")).agg(F.count("*").alias("n"), F.max(F.octet_length("text")).cast("long").alias("end"))
+    copies = docs.groupBy(common.text_key().alias("key")).agg(F.count("*").alias("n"), F.max(F.octet_length("text")).cast("long").alias("end"))
     copies = copies.filter((F.col("n") > 1) & (F.col("end") >= length)).select("key", F.lit(0).cast("long").alias("first"), "end")
     every = equal.union(same).union(few).union(many).union(copies)
     every = every.groupBy("key", "first").agg(F.max("end").alias("end"))
@@ -219,12 +216,13 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """The columns of docs with the text left over (no longer than it was; null stays null), and n_bytes, n_removed, n_spans, kept_sha256.
+    """doc_id, the rest of the columns in a struct, the text left over (null stays null), n_bytes, n_removed, n_spans, kept_sha256.
 
     What is left may not be valid UTF-8 where a range cuts a character; such bytes are dropped from the text, not from the hash."""
     found = repeats(docs, length).select(F.col("key").alias("of"), "ranges")
-    own = [c for c in docs.columns if c != "text"]
-    joined = docs.withColumn("key", text_key()).join(found, F.col("key") == F.col("of"), "left")
+    own = ["doc_id", "rest"]
+    mine = common.packed(docs, "doc_id", "text")
+    joined = mine.withColumn("key", common.text_key()).join(found, F.col("key") == F.col("of"), "left")
     joined = joined.select(*own, F.col("text").cast("binary").alias("text"), "ranges")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,8 +250,18 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 names=[*own, "text", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name != "text")
-    return joined.mapInArrow(remove, f"{ddl}text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    longs = [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")]
+    texts = [T.StructField(n, T.StringType()) for n in ("text", "kept_sha256")]
+    return joined.mapInArrow(remove, T.StructType([mine.schema["doc_id"], mine.schema["rest"], texts[0], *longs, texts[1]]))
+
+
+def cleaned(docs: DataFrame) -> DataFrame:
+    """The columns of docs; text is what is left, and n_chars, if there, its length. Every row stays."""
+    left = common.unpacked(without_repeats(docs), docs.columns, "doc_id", "text")
+    if "n_chars" in docs.columns:
+        changed = F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType)
+        left = left.withColumn("n_chars", F.when(F.col("n_chars").isNull(), F.col("n_chars")).otherwise(changed))
+    return left
 
 
 def query(spark, sf_dir: str) -> DataFrame:

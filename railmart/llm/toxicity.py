@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from railmart.llm import common
 
@@ -210,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """The columns of docs, with score."""
+    """The columns of docs, with score; docs must not have a column of that name."""
     kept = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
@@ -221,8 +222,13 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
                 [*batch.columns, pa.array(kept.value.scores(finder, batch.column(at).to_pylist()))], names=[*batch.schema.names, "score"]
             )
 
-    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(score, f"{own}, score double")
+    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
+
+
+def kept(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs whose score is under the threshold."""
+    own = ("doc_id", "text")
+    return common.unpacked(scored(common.packed(docs, *own), model).filter(F.col("score") < THRESHOLD), docs.columns, *own)
 
 
 def trained_on(spark, docs: DataFrame, sf_dir: str) -> Model:
