@@ -233,4 +233,8 @@ FROM fact_performance p JOIN dim_date d USING (date_key) JOIN dim_lines l USING
 
 
 def texts() -> dict[str, str]:
-    return {name: with_parts(text) for name, text in _TEXTS.items()}
+    out = {name: with_parts(text) for name, text in _TEXTS.items()}
+    large = (
+        "daily_ridership", "hourly_ridership", "station_performance", "delay_analysis", "top_stations", "borough_traffic", "station_summary",
+    )
+    return out | {f"{name}_large": out[name] for name in large}

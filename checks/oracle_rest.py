@@ -245,7 +245,9 @@ CLEANING = {
     ),
     "duplicate_rows": """
 SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_count
-FROM (SELECT transit_timestamp, station, line, count(*) AS n FROM feed_ridership GROUP BY 1, 2, 3)""",
+FROM (SELECT transit_timestamp, station, line, entries, exits, count(*) AS n FROM feed_ridership GROUP BY ALL)""",
+    "duration_from_times": """
+SELECT event_id AS ingest_seq, CAST(floor(value) AS DOUBLE) AS delay_duration_minutes FROM events WHERE event_type = 'error'""",
 }
 
 # --- Loads ------------------------------------------------------------------------------------------------------
@@ -292,6 +294,17 @@ SELECT {KEY} AS date_key, CAST(hour(incident_datetime) * 100 AS INT) AS time_key
   coalesce(delay_category, 'Unknown') AS delay_category, coalesce(delay_reason, '') AS delay_reason, TRUE AS is_resolved,
   passenger_impact_estimate, coalesce(severity_level, 'Medium') AS severity_level
 FROM c_delays LEFT JOIN dim_lines l USING (line_name) LEFT JOIN dim_stations s USING (station_name)""",
+    "full_load_two_days": " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, {KEY} AS date_key, count(*) AS records, count(*) AS ids FROM {rows} WHERE date IS NOT NULL GROUP BY 1, 2"
+        for table, rows in (("fact_ridership", "c_ridership"), ("fact_delays", "c_delays"))
+    ),
+    "sample_severity": """
+SELECT CASE WHEN delay_duration_minutes <= 5 THEN 'Low' WHEN delay_duration_minutes <= 30 THEN 'Medium'
+  WHEN delay_duration_minutes > 30 THEN 'High' END AS severity_level,
+  count(*) AS delays, min(delay_duration_minutes) AS least, max(delay_duration_minutes) AS most FROM fact_delays GROUP BY 1""",
+    "cleaning_counts": """
+SELECT total_records, cleaned_records, CAST(0 AS BIGINT) AS dropped_records, total_records - cleaned_records AS duplicates_removed
+FROM (SELECT (SELECT count(*) FROM feed_delays) AS total_records, (SELECT count(*) FROM c_delays) AS cleaned_records)""",
     "load_performance": merged_performance(False),
     "load_performance_all_columns": merged_performance(True),
     "daily_summary": f"""
@@ -393,4 +406,6 @@ SELECT count(*) AS ridership_records, min(date) AS first_date, max(date) AS last
 def texts() -> dict[str, str]:
     extra = {**MEASURE_PARTS, **CLEAN_PARTS, **LOAD_PARTS, **REPORT_PARTS}
     groups = (MEASURES, EXPORTS, CLEANING, LOADS, STORES, REPORTS)
-    return {name: with_parts(text, extra) for group in groups for name, text in group.items()}
+    out = {name: with_parts(text, extra) for group in groups for name, text in group.items()}
+    large = ("load_ridership", "load_delays", "ridership_measures_by_borough")
+    return out | {f"{name}_large": out[name] for name in large}

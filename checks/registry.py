@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railmart import adapters
+from railmart import adapters, full_load
 from railmart.functions import calendar, text
 from railmart.operators import clean, dims, load, quality
 from railmart.plans import exports, marts, metrics, reports
@@ -25,6 +26,7 @@ def plain_types(df: DataFrame) -> DataFrame:
 
 
 _stars: dict[tuple, Star] = {}
+NOTHING_SMALL: frozenset[str] = frozenset()
 
 
 def star_of(spark: SparkSession, sf_dir: str, long: bool = False) -> Star:
@@ -35,9 +37,12 @@ def star_of(spark: SparkSession, sf_dir: str, long: bool = False) -> Star:
     return _stars[key]
 
 
-def on_star(mart: Callable[..., DataFrame], *args, long: bool = False, **kwargs) -> Query:
+def on_star(mart: Callable[..., DataFrame], *args, long: bool = False, large: bool = False, **kwargs) -> Query:
+    """``large`` treats every dimension as too large for a broadcast."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return plain_types(mart(star_of(spark, sf_dir, long), *args, **kwargs))
+        star = star_of(spark, sf_dir, long)
+        return plain_types(mart(replace(star, small=NOTHING_SMALL) if large else star, *args, **kwargs))
 
     return run
 
@@ -76,6 +81,20 @@ MARTS: dict[str, Query] = {
     "avg_otp_by_line": on_star(marts.avg_otp_by_line),
 }
 
+# The same results with every dimension joined by a shuffle.
+LARGE: dict[str, Query] = {
+    "daily_ridership_large": on_star(marts.daily_ridership, large=True),
+    "hourly_ridership_large": on_star(marts.hourly_ridership, large=True),
+    "station_performance_large": on_star(marts.station_performance, large=True),
+    "delay_analysis_large": on_star(marts.delay_analysis, large=True),
+    "top_stations_large": on_star(marts.top_stations, large=True),
+    "borough_traffic_large": on_star(marts.borough_traffic, large=True),
+    "station_summary_large": on_star(marts.station_summary, "CUSTOMER#00000_1", large=True),
+    "ridership_measures_by_borough_large": on_star(
+        lambda star: metrics.measure(star, of_fact("ridership"), ["borough"]), large=True
+    ),
+}
+
 
 # --- Measures and visuals ---------------------------------------------------------------------------------------
 
@@ -187,30 +206,88 @@ def null_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.duplicate_count(adapters.feed(spark, sf_dir, "ridership").drop("ingest_seq", "entries", "exits"))
+    return quality.duplicate_count(adapters.feed(spark, sf_dir, "ridership").drop("ingest_seq"))
+
+
+def duration_from_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delays that carry an end instead of a duration."""
+    events = adapters.table(spark, sf_dir, "events").filter("event_type = 'error'")
+    later = F.expr("timestampadd(MINUTE, CAST(floor(value) AS INT), date_trunc('minute', ts))")
+    feed = events.select(
+        F.col("event_id").alias("ingest_seq"), F.date_trunc("minute", "ts").cast("string").alias("start_date"),
+        later.cast("string").alias("end_date"), F.lit("a line").alias("route"), F.concat(F.lit("cause "), "event_id").alias("cause"),
+    )
+    out = clean.CLEANERS["delays"](feed, "ingest_seq")
+    return out.select("ingest_seq", F.col("delay_duration_minutes").cast("double").alias("delay_duration_minutes"))
 
 
 CLEANING: dict[str, Query] = {
     **{f"clean_{name}": cleaner(name) for name in clean.CLEANERS},
     "null_rates": null_rates,
     "duplicate_rows": duplicate_rows,
+    "duration_from_times": duration_from_times,
 }
 
 # --- Loads ------------------------------------------------------------------------------------------------------
 
 
-def load_ridership(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = star_of(spark, sf_dir)
-    feed = cleaned(spark, sf_dir, "ridership")
-    rows = load.load_ridership(feed, star.lines, star.stations, row_id="ingest_seq", small=star.small)
-    return rows.drop("ridership_id", "created_at")
+def load_ridership(large: bool) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        star = star_of(spark, sf_dir)
+        feed = cleaned(spark, sf_dir, "ridership")
+        small = NOTHING_SMALL if large else star.small
+        rows = load.load_ridership(feed, star.lines, star.stations, row_id="ingest_seq", small=small)
+        return rows.drop("ridership_id", "created_at")
 
+    return run
 
-def load_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = star_of(spark, sf_dir)
-    feed = cleaned(spark, sf_dir, "delays")
-    rows = load.load_delays(feed, star.lines, star.stations, row_id="ingest_seq", small=star.small)
-    return rows.drop("delay_id", "created_at", "affected_services", "resolution_time_minutes")
+
+def load_delays(large: bool) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        star = star_of(spark, sf_dir)
+        feed = cleaned(spark, sf_dir, "delays")
+        small = NOTHING_SMALL if large else star.small
+        rows = load.load_delays(feed, star.lines, star.stations, row_id="ingest_seq", small=small)
+        return rows.drop("delay_id", "created_at", "affected_services", "resolution_time_minutes")
+
+    return run
+
+
+def full_load_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full job run for the first half of the ridership and delay feeds, for the second, and for the second again."""
+    folder = sinks.shared_folder(spark, "full_load")
+    feeds = {name: adapters.feed(spark, sf_dir, name) for name in ("stations", "ridership", "delays", "performance")}
+    for late in (False, True, True):
+        part = dict(feeds)
+        for name, at in (("ridership", "transit_timestamp"), ("delays", "start_date")):
+            part[name] = feeds[name].filter((F.col(at) >= "2024-01-16") == F.lit(late))
+        result = full_load.run(spark, part, folder, order_by="ingest_seq")
+        if result["status"] != "completed":
+            raise RuntimeError(result["errors"])
+    counts = []
+    for table, serial in (("fact_ridership", "ridership_id"), ("fact_delays", "delay_id")):
+        rows = spark.read.parquet(f"{folder}/{table}")
+        counts.append(
+            rows.groupBy(F.lit(table).alias("table_name"), "date_key").agg(
+                F.count(F.lit(1)).alias("records"), F.countDistinct(serial).alias("ids")
+            )
+        )
+    return counts[0].unionByName(counts[1])
+
+
+def sample_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delays binned again by the sample profile."""
+    rows = load.rebin(star_of(spark, sf_dir).delays, "sample")
+    return rows.groupBy("severity_level").agg(
+        F.count(F.lit(1)).alias("delays"), F.min("delay_duration_minutes").alias("least"), F.max("delay_duration_minutes").alias("most")
+    )
+
+
+def cleaning_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters of cleaning the delay feed."""
+    stats = clean.CleaningStats()
+    clean.CLEANERS["delays"](adapters.feed(spark, sf_dir, "delays"), "ingest_seq", stats)
+    return stats.frame.select("total_records", "cleaned_records", "dropped_records", "duplicates_removed")
 
 
 def load_performance(update: str) -> Query:
@@ -286,8 +363,13 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LOADS: dict[str, Query] = {
     "load_stations": load_stations,
-    "load_ridership": load_ridership,
-    "load_delays": load_delays,
+    "load_ridership": load_ridership(large=False),
+    "load_delays": load_delays(large=False),
+    "load_ridership_large": load_ridership(large=True),
+    "load_delays_large": load_delays(large=True),
+    "full_load_two_days": full_load_two_days,
+    "sample_severity": sample_severity,
+    "cleaning_counts": cleaning_counts,
     "load_performance": load_performance("listed"),
     "load_performance_all_columns": load_performance("all"),
     "daily_summary": daily_summary,
@@ -362,9 +444,9 @@ def refreshed_daily_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = star_of(spark, sf_dir)
     exports.refresh_daily_kpis(star, path, mode="independent")
     exports.refresh_daily_kpis(star, path, dt.date(2024, 1, 10), dt.date(2024, 1, 20))
-    schema = "full_date DATE, day_name STRING, is_weekend BOOLEAN, total_entries BIGINT, total_exits BIGINT, " \
+    schema = "full_date DATE, day_name STRING, is_weekend BOOLEAN, total_entries DECIMAL(38,0), total_exits DECIMAL(38,0), " \
         "active_stations BIGINT, delay_count BIGINT, avg_delay_minutes DOUBLE, system_avg_otp DOUBLE, year INT, month_number INT"
-    return spark.read.schema(schema).parquet(path)
+    return plain_types(spark.read.schema(schema).parquet(path))
 
 
 def parameterised(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -422,4 +504,4 @@ REPORTS: dict[str, Query] = {
 
 
 def all_queries() -> dict[str, Query]:
-    return {**MARTS, **MEASURES, **EXPORTS, **SQL_NAMES, **CLEANING, **LOADS, **STORES, **REPORTS}
+    return {**MARTS, **LARGE, **MEASURES, **EXPORTS, **SQL_NAMES, **CLEANING, **LOADS, **STORES, **REPORTS}

@@ -7,14 +7,16 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from railmart.operators import load
 from railmart.operators.clean import CleaningStats, clean_all
 from railmart.operators.dims import date_dimension, line_dimension, time_dimension
-from railmart.schemas import DIM_STATIONS, ETL_LOG, FACT_PERFORMANCE, Schema, read_schema
+from railmart.schemas import DIM_STATIONS, ETL_LOG, FACT_DELAYS, FACT_PERFORMANCE, FACT_RIDERSHIP, Schema, read_schema
 from railmart.sources import sinks
 
 JOB, KIND = "transit_etl", "full_load"
+MONTH = "month_key"
 DIM_START, DIM_END = dt.date(2024, 1, 1), dt.date(2026, 12, 31)
 
 # Order matters: facts look up the stations loaded before them.
@@ -43,10 +45,15 @@ def load_frames(
 ) -> dict[str, int]:
     """Write the star tables below ``folder`` in order and return the rows written per feed.
 
-    ``existing`` names earlier versions of the upserted tables; the new version goes to a new path, so a failed job
-    leaves the old one whole. Counts come from the footers of the written files.
+    Stations and performance are upserted into what the folder holds, or into the tables ``existing`` names; the merged
+    version is written beside the table before it takes its place. Ridership and delays are appended by month: rows the
+    table already holds as often as the feed has them are left out, so a repeated load adds nothing, and ids continue
+    above the largest one. Counts are rows written; they come from the written files.
     """
-    existing = existing or {}
+    existing = dict(existing or {})
+    for table in TARGETS.values():
+        if table not in existing and sinks.path_exists(spark, f"{folder}/{table}"):
+            existing[table] = f"{folder}/{table}"
     counts: dict[str, int] = {}
     stations = stored(spark, existing.get("dim_stations"), DIM_STATIONS)
     for name, table in TARGETS.items():
@@ -56,20 +63,55 @@ def load_frames(
         if name == "stations":
             rows = load.load_stations(df, stations, order_by)
         elif name == "ridership":
-            rows = load.laid_out(load.load_ridership(df, lines, stations, source), "ridership_id")
+            rows = load.load_ridership(df, lines, stations, source)
+            counts[name] = append_fact(spark, rows, f"{folder}/{table}", "ridership_id", FACT_RIDERSHIP)
+            continue
         elif name == "delays":
-            rows = load.laid_out(load.load_delays(df, lines, stations), "delay_id")
+            rows = load.load_delays(df, lines, stations)
+            counts[name] = append_fact(spark, rows, f"{folder}/{table}", "delay_id", FACT_DELAYS)
+            continue
         else:
             before = stored(spark, existing.get("fact_performance"), FACT_PERFORMANCE)
             rows = load.load_performance(df, lines, before, order_by)
         path = f"{folder}/{table}"
-        rows.write.mode("overwrite").parquet(path)
+        merged = f"{folder}/_merged/{table}"
+        rows.write.mode("overwrite").parquet(merged)
+        spark.read.parquet(merged).write.mode("overwrite").parquet(path)
         counts[name] = spark.read.parquet(path).count()
         if name == "stations":
             stations = stored(spark, path, DIM_STATIONS)
     return counts
 
 
+def append_fact(spark: SparkSession, rows: DataFrame, path: str, serial: str, schema: Schema) -> int:
+    """Append what the stored fact does not hold yet, in folders by month; returns the number of rows added."""
+    month = F.floor(F.col("date_key") / 100).cast("int")
+    content = [c for c in rows.columns if c not in (serial, "created_at")]
+    new, start = rows.select(*content), F.lit(0).cast("long")
+    if sinks.path_exists(spark, path):
+        held = spark.read.schema(read_schema({**schema, MONTH: "INT"})).parquet(path)
+        months = new.select(month.alias(MONTH)).distinct()
+        new = new.exceptAll(held.join(months, MONTH, "left_semi").select(*content))
+        start = F.coalesce(held.agg(F.max(serial)).scalar(), F.lit(0))
+    new = new.withColumn("created_at", F.current_timestamp()).withColumn(MONTH, month)
+    new = new.repartitionByRange(MONTH, "date_key", "time_key", "station_id").sortWithinPartitions("date_key", "time_key", "station_id")
+    # Stored first, so that ids and counts belong to rows that will not be computed again.
+    fresh = sinks.stored(new.withColumn(serial, F.monotonically_increasing_id()), "new-rows")
+    added = fresh.count()
+    fresh.withColumn(serial, F.col(serial) + 1 + start).select(*rows.columns, MONTH).write.mode("append").partitionBy(MONTH).parquet(path)
+    return added
+
+
+def days_of(frames: Mapping[str, DataFrame], start: dt.date, end: dt.date) -> tuple[dt.date, dt.date]:
+    """The stated range, widened to the days the frames hold."""
+    for df in frames.values():
+        if "date" in df.columns:
+            first, last = df.agg(F.min(F.to_date("date")), F.max(F.to_date("date"))).first()
+            if first is not None:
+                start, end = min(start, first), max(end, last)
+    return start, end
+
+
 def build_dimensions(
     spark: SparkSession, folder: str, start: dt.date = DIM_START, end: dt.date = DIM_END, holidays: DataFrame | None = None
 ) -> dict[str, DataFrame]:
@@ -105,8 +147,10 @@ def run(
         cleaned = clean_all(dict(raw), order_by, stats)
         paths = sinks.write_frames(cleaned, f"{folder}/processed", "_cleaned", fmt="parquet")
         cleaning = {name: s.get() for name, s in stats.items()}
-        dims = build_dimensions(spark, folder)
         clean = {name: spark.read.parquet(path) for name, path in paths.items()}
+        held = f"{folder}/dim_date"
+        known = {"held": spark.read.parquet(held).select(F.col("full_date").alias("date"))} if sinks.path_exists(spark, held) else {}
+        dims = build_dimensions(spark, folder, *days_of({**clean, **known}, DIM_START, DIM_END))
         counts = load_frames(spark, clean, folder, dims["dim_subway_lines"], existing, order_by, source)
         processed = sum(s["total_records"] for s in cleaning.values())
         result = {"status": "completed", "tables_loaded": counts, "cleaning": cleaning}

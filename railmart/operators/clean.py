@@ -150,7 +150,8 @@ def rescale_percentages(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fill_counts(c: Column) -> Column:
-    return F.coalesce(c, F.lit(0.0)).cast("long")
+    """Gaps and numbers no count can hold become 0."""
+    return F.coalesce(c.try_cast("long"), F.lit(0).cast("long"))
 
 
 # --- Cleaners ---------------------------------------------------------------------------------------------------

@@ -68,5 +68,5 @@ def mean(total: str, n: str) -> Column:
 
 
 def whole(total: str) -> Column:
-    """SUM over fanned-out totals as a bigint; NULL if no row contributes."""
-    return F.sum(total).cast("bigint")
+    """SUM over fanned-out totals as a whole decimal, which a bigint cannot hold; NULL if no row contributes."""
+    return F.sum(F.col(total).cast("decimal(38,0)"))

@@ -30,6 +30,7 @@ STATION_INPUT = (
     "ada_accessible", "lines_served", "division",
 )
 STATION_UPDATES = ("borough", "latitude", "longitude")
+MOST_WHOLE = 2**31 - 1
 PERFORMANCE_UPDATES = ("scheduled_trips", "actual_trips", "on_time_trips")
 
 
@@ -47,6 +48,11 @@ def column_or(df: DataFrame, name: str, default: Column) -> Column:
     return F.coalesce(F.col(name), default) if name in df.columns else default
 
 
+def whole_or_zero(df: DataFrame, name: str) -> Column:
+    """A column as a whole number; 0 where it is missing, or is no number an integer can hold."""
+    return F.coalesce(F.col(name).try_cast("int"), F.lit(0)) if name in df.columns else F.lit(0)
+
+
 def with_serial(df: DataFrame, name: str, after: DataFrame | None = None) -> DataFrame:
     """Number new rows above the largest id in ``after``. Ids are unique, not dense, and set by the write itself."""
     start = F.lit(0) if after is None else F.coalesce(after.agg(F.max(name)).scalar(), F.lit(0))
@@ -177,15 +183,15 @@ def load_ridership(
     """Ridership rows of the star. The clock is hour and, where there is one, minute."""
     rows = with_ids(dated(df), lines, stations, row_id, small)
     hour, minute = column_or(rows, "hour", F.lit(0)), column_or(rows, "minute", F.lit(0))
-    entries, exits = column_or(rows, "entries", F.lit(0)).cast("int"), column_or(rows, "exits", F.lit(0)).cast("int")
+    entries, exits = whole_or_zero(rows, "entries"), whole_or_zero(rows, "exits")
     out = rows.select(
         "date_key",
-        cal.time_key(hour.cast("int"), minute.cast("int")).alias("time_key"),
+        cal.time_key(hour.try_cast("int"), minute.try_cast("int")).alias("time_key"),
         "station_id",
         "line_id",
         entries.alias("entries"),
         exits.alias("exits"),
-        (entries + exits).alias("total_traffic"),
+        F.coalesce((entries.cast("long") + exits).try_cast("int"), F.lit(MOST_WHOLE)).alias("total_traffic"),
         F.lit(source).alias("data_source"),
         F.current_timestamp().alias("created_at"),
     )
@@ -204,7 +210,7 @@ def load_delays(
     if "time" in rows.columns:
         hours.append(F.substring(F.col("time"), 1, 2).try_cast("int"))
     hour = F.coalesce(*hours, F.lit(0))
-    minutes = column_or(rows, "delay_duration_minutes", F.lit(0)).cast("int")
+    minutes = whole_or_zero(rows, "delay_duration_minutes")
     carried = [c for c in ("affected_services", "is_resolved", "resolution_time_minutes") if c in rows.columns]
     out = rows.select(
         "date_key",
@@ -215,7 +221,7 @@ def load_delays(
         column_or(rows, "delay_category", F.lit("Unknown")).alias("delay_category"),
         column_or(rows, "delay_reason", F.lit("")).alias("delay_reason"),
         column_or(rows, "severity_level", F.lit("Medium")).alias("severity_level"),
-        column_or(rows, "passenger_impact_estimate", F.lit(0)).cast("int").alias("passenger_impact_estimate"),
+        whole_or_zero(rows, "passenger_impact_estimate").alias("passenger_impact_estimate"),
         F.current_timestamp().alias("created_at"),
         *carried,
     )
@@ -241,12 +247,11 @@ def load_performance(
     unknown never match and are all kept.
     """
     rows = with_ids(dated(df), lines, small=small)
-    zero = F.lit(0)
     trips = ("scheduled_trips", "actual_trips", "on_time_trips", "late_trips", "canceled_trips")
     rates = ("mean_distance_between_failures", "wait_assessment", "customer_journey_time_performance")
     rows = rows.withColumns(
         {
-            **{c: column_or(rows, c, zero).cast("int") for c in trips},
+            **{c: whole_or_zero(rows, c) for c in trips},
             **{c: F.coalesce(nan_to_null(F.col(c).cast("double")) if c in rows.columns else F.lit(None), F.lit(0.0)) for c in rates},
             "created_at": F.current_timestamp(),
         }

@@ -127,8 +127,8 @@ def register(spark: SparkSession, star: Star, views: Sequence[str] | None = None
     marts.line_days(star).createOrReplaceTempView("line_days")
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION get_station_summary(wanted STRING)
-        RETURNS TABLE (station_name STRING, borough STRING, total_entries BIGINT, total_exits BIGINT,
-                       avg_daily_entries DOUBLE, delay_count BIGINT, avg_delay_minutes DOUBLE)
+        RETURNS TABLE (station_name STRING, borough STRING, total_entries DECIMAL(38,0), total_exits DECIMAL(38,0),
+                       avg_daily_entries DOUBLE, delay_count DECIMAL(38,0), avg_delay_minutes DOUBLE)
         RETURN SELECT station_name, borough, total_entries, total_exits, avg_daily_entries, delay_count, avg_delay_minutes
                FROM station_totals
                WHERE station_name ILIKE concat('%', get_station_summary.wanted, '%')""")

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from railmart.functions import calendar as cal
@@ -21,7 +21,6 @@ from railmart.operators.fanout import Fact, fan_out
 from railmart.operators.ordered import median_of_counts, rank_desc
 from railmart.operators.windows import change_from_previous_row
 from railmart.plans.star import Star
-from railmart.sources.sinks import stored
 
 Day = dt.date | str | None
 
@@ -125,8 +124,8 @@ def hourly_ridership(star: Star) -> DataFrame:
 def station_performance(star: Star, nulls: str = "first") -> DataFrame:
     """Totals and ranks of every station. Stations without ridership rank first, or last with ``nulls='last'``.
 
-    Ranking a large station table looks at the totals several times, so they are written to the shared folder first
-    and the facts are read once.
+    Always a plan over the facts. Ranking a large station table looks at the totals several times; a caller who wants
+    them computed once can write them out with ``sinks.stored``.
     """
     star = _stations(star)
     per_station = star.ridership.groupBy("station_id").agg(
@@ -142,7 +141,7 @@ def station_performance(star: Star, nulls: str = "first") -> DataFrame:
     all_stations = all_stations.withColumn("days_with_data", F.coalesce("days_with_data", F.lit(0)))
     small = "stations" in star.small
     return rank_desc(
-        all_stations if small else stored(all_stations, "station_totals"),
+        all_stations,
         "total_traffic",
         {"traffic_rank": [], "borough_rank": ["borough"]},
         row_id="station_id",
@@ -358,10 +357,9 @@ def avg_delays_per_line(star: Star) -> DataFrame:
 
 def peak_hours(star: Star) -> DataFrame:
     hour = ["hour", "time_period", "am_pm"]
+    per_minute = star.ridership.groupBy("date_key", "time_key").agg(*sums("entries", "exits"), F.count("entries").alias("counted"))
     per_day = (
-        star.attach(star.ridership, "times", hour, "inner")
-        .groupBy(*hour, "date_key")
-        .agg(*sums("entries", "exits"), F.count("entries").alias("counted"))
+        star.attach(per_minute, "times", hour, "inner").groupBy(*hour, "date_key").agg(*sums("entries", "exits", "counted"))
     )
     return (
         star.attach(per_day, "dates", ["full_date"], "inner")
@@ -428,7 +426,8 @@ def delay_causes(star: Star) -> DataFrame:
         rounded_mean(F.sum("delay_duration_minutes"), F.count("delay_duration_minutes")).alias("avg_duration"),
         F.sum("passenger_impact_estimate").alias("total_passengers_affected"),
     )
-    total = star.delays.agg(F.count(F.lit(1))).scalar()
+    # The total is that of the few grouped rows, so the facts are read once.
+    total = F.sum("incident_count").over(Window.partitionBy())
     return causes.withColumn(
         "pct_of_all_delays", rounded_ratio(F.col("incident_count"), total, 2, 100)
     ).orderBy(F.col("incident_count").desc_nulls_first())
@@ -458,20 +457,23 @@ def borough_traffic(star: Star) -> DataFrame:
     per_station = star.ridership.groupBy("station_id").agg(
         F.sum("total_traffic").alias("traffic"), F.count("total_traffic").alias("counted")
     )
-    total = star.ridership.agg(F.sum("total_traffic")).scalar()
+    marked = replace(star, stations=star.stations.withColumn("_known", F.lit(True)))
+    total = F.sum("total_traffic").over(Window.partitionBy())
     return (
-        star.attach(per_station, "stations", ["borough"], "inner")
-        .groupBy("borough")
+        marked.attach(per_station, "stations", ["borough", "_known"])
+        .groupBy("borough", "_known")
         .agg(
             F.count("station_id").alias("station_count"),
             F.sum("traffic").alias("total_traffic"),
             F.sum("counted").alias("counted"),
         )
+        .withColumn("_all", total)
+        .filter("_known")
         .select(
             "borough",
             "station_count",
             "total_traffic",
-            rounded_ratio(F.col("total_traffic"), total, 2, 100).alias("traffic_share_pct"),
+            rounded_ratio(F.col("total_traffic"), F.col("_all"), 2, 100).alias("traffic_share_pct"),
             ratio(F.col("total_traffic"), F.col("counted")).alias("avg_traffic_per_record"),
         )
         .orderBy(F.col("total_traffic").desc_nulls_first())

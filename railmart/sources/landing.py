@@ -130,7 +130,7 @@ def in_window(df: DataFrame, column: str, as_of: dt.date | str | None = None, da
 
 
 def enough_rows(frames: dict[str, DataFrame], minimum: int = MINIMUM_ROWS) -> bool:
-    """Whether all inputs together hold ``minimum`` rows; no input is read further than that."""
+    """Whether all inputs together hold ``minimum`` rows; no input is read further than that. The rows stay as they are."""
     found = 0
     for df in frames.values():
         found += df.limit(minimum - found).count()
@@ -139,8 +139,8 @@ def enough_rows(frames: dict[str, DataFrame], minimum: int = MINIMUM_ROWS) -> bo
     return False
 
 
-def or_fallback(
-    frames: dict[str, DataFrame], fallback: dict[str, DataFrame], minimum: int = MINIMUM_ROWS
-) -> dict[str, DataFrame]:
-    """The inputs, or the fallback data set where they are too thin."""
-    return frames if frames and enough_rows(frames, minimum) else fallback
+def require_rows(frames: dict[str, DataFrame], minimum: int = MINIMUM_ROWS) -> dict[str, DataFrame]:
+    """The inputs, unchanged; an error where they are too thin. Which data to take instead is the caller's choice."""
+    if not frames or not enough_rows(frames, minimum):
+        raise ValueError(f"fewer than {minimum} rows in {sorted(frames)}")
+    return frames

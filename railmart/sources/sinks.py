@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
@@ -19,8 +20,15 @@ NULL_TEXT = "\\N"
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which every executor sees; a local one only where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="railmart-")
+    """A fresh folder below ``spark.checkpoint.dir``, which every executor sees.
+
+    Only a session whose tasks all run in the driver (master ``local``) may go without it; elsewhere it is an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="railmart-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -31,6 +39,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_stored(spark: SparkSession, path: str) -> None:
+    """Remove a stored intermediate once nothing reads it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def create_tables(
     spark: SparkSession, tables: Mapping[str, Mapping[str, str]], database: str = "default"
 ) -> list[str]:
@@ -56,13 +75,15 @@ def write_frames(frames: Mapping[str, DataFrame], folder: str, suffix: str = "",
 def export_results(results: Mapping[str, DataFrame], folder: str) -> list[str]:
     """CSV per result set; empty ones are skipped. Returns the names written.
 
-    Each result is stored first: asking an aggregate whether it is empty would compute it twice.
+    Each result is computed and written once; a written set without rows is removed again.
     """
     written = []
     for name, result in results.items():
-        df = stored(result, name)
-        if not df.isEmpty():
-            df.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
+        path = f"{folder}/{name}"
+        result.write.mode("overwrite").option("header", True).csv(path)
+        if result.sparkSession.read.schema(result.schema).option("header", True).csv(path).isEmpty():
+            drop_stored(result.sparkSession, path)
+        else:
             written.append(name)
     return written
 

@@ -75,3 +75,12 @@ def test_totals_beyond_a_bigint_stay_exact(spark):
     facts = {"a": Fact(big.limit(2), {"s": F.sum("v"), "n": F.count("v")}), "b": Fact(other, {"t": F.sum("v")})}
     joined = fan_out(dim, "k", facts)
     assert joined.agg(mean("s", "n")).first()[0] == pytest.approx(4e18)
+    assert joined.agg(whole("s")).first()[0] == 8 * 10**19
+
+
+def test_three_facts_whose_product_outgrows_a_bigint(spark):
+    dim = spark.createDataFrame([(1,)], "k INT")
+    a = spark.createDataFrame([(1, 2**31 - 1)] * 3, "k INT, v INT")
+    many = [spark.range(70_000).select(F.lit(1).alias("k"), F.lit(1).alias(c)) for c in ("w", "x")]
+    facts = {"a": Fact(a, {"s": F.sum("v")}), "b": Fact(many[0], {"t": F.sum("w")}), "c": Fact(many[1], {"u": F.sum("x")})}
+    assert fan_out(dim, "k", facts).agg(whole("s")).first()[0] == 3 * (2**31 - 1) * 70_000**2

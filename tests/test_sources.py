@@ -52,12 +52,13 @@ def test_json_pages_with_window_year_and_cap(spark, tmp_path):
 
 
 def test_volume_gate(spark):
-    thin, sample = {"a": spark.range(600), "b": spark.range(399)}, {"a": spark.range(1)}
+    thin = {"a": spark.range(600), "b": spark.range(399)}
     assert not landing.enough_rows(thin)
-    assert landing.or_fallback(thin, sample) is sample
     enough = {**thin, "c": spark.range(1)}
-    assert landing.or_fallback(enough, sample) is enough
-    assert landing.or_fallback({}, sample) is sample
+    assert landing.require_rows(enough) is enough
+    for frames in (thin, {}):
+        with pytest.raises(ValueError, match="fewer than 1000 rows"):
+            landing.require_rows(frames)
 
 
 def test_default_window():
