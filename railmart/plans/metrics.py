@@ -15,6 +15,7 @@ from railmart.operators import windows
 from railmart.operators.dims import DAY_NAMES
 from railmart.plans.marts import exact, optional
 from railmart.plans.star import ROW_IDS, Star
+from railmart.sources.sinks import stored
 
 OTP_TARGET = 85
 
@@ -361,26 +362,67 @@ def line_delay_profile(star: Star, where: Slice = ALL) -> DataFrame:
     return measure(star, ["avg_delay_minutes", "passengers_affected", "total_delays"], ["line_name"], where)
 
 
-def delay_clusters(
-    star: Star, k: int = 3, per: str = "line", where: Slice = ALL, seed: int = 1, max_iter: int = 20
-) -> DataFrame:
-    """K-means over lines or scatter points on standardised features; adds ``cluster``. Points with gaps are left out.
-
-    Training runs over the cluster; only the ``k`` centres return to the driver.
-    """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
-
+def cluster_points(star: Star, per: str = "line", where: Slice = ALL) -> tuple[DataFrame, list[str]]:
+    """The points to cluster, without those that have gaps, and their feature columns."""
     if per == "line":
         points, features = line_delay_profile(star, where), ["avg_delay_minutes", "passengers_affected", "total_delays"]
     else:
         points = delay_scatter(star, where)
         features = ["delay_duration_minutes", "passenger_impact", "delay_count"]
-    points = points.na.drop(subset=features)
-    stages = [
-        VectorAssembler(inputCols=features, outputCol="_raw"),
-        StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True),
-        KMeans(featuresCol="_scaled", predictionCol="cluster", k=k, seed=seed, maxIter=max_iter),
-    ]
-    return Pipeline(stages=stages).fit(points).transform(points).drop("_raw", "_scaled")
+    return points.na.drop(subset=features), features
+
+
+def delay_clusters(
+    star: Star, k: int = 3, per: str = "line", where: Slice = ALL, tolerance: float = 1e-9, most_rounds: int = 1_000
+) -> DataFrame:
+    """K-means over lines or scatter points on standardised features; adds ``cluster``, numbered by the first feature of the centres.
+
+    The start is fixed: points are cut into ``k`` equal bands by the sum of their features, and band means are the first
+    centres. Equal distances go to the lower number. Every round is one aggregate over the points; only the ``k`` centres
+    return to the driver. Centres that still move after ``most_rounds`` are an error.
+    """
+    points, features = cluster_points(star, per, where)
+    points = stored(points, "cluster_points")
+    about = points.agg(*[F.struct(F.avg(c).alias("m"), F.stddev_samp(c).alias("d")).alias(c) for c in features]).first()
+    z = {c: (F.col(c).cast("double") - F.lit(about[c].m)) / F.lit(about[c].d or 1.0) for c in features if about[c].m is not None}
+    if not z:
+        return points.withColumn("cluster", F.lit(None).cast("int"))
+    total = sum(z.values(), F.lit(0.0))
+    cuts = points.agg(F.percentile_approx(total, [i / k for i in range(1, k)], 10_000)).first()[0]
+    label = sum((F.when(total > F.lit(cut), 1).otherwise(0) for cut in cuts), F.lit(0))
+
+    def nearest(centres: list[tuple[float, ...]]) -> Column:
+        apart = [F.struct(sum(((v - F.lit(x)) ** 2 for v, x in zip(z.values(), c, strict=True)), F.lit(0.0)), F.lit(i)) for i, c in enumerate(centres)]
+        return F.array_min(F.array(*apart)).getField("col2")
+
+    centres: list[tuple[float, ...]] = []
+    for _ in range(most_rounds):
+        means = points.groupBy(label.alias("cluster")).agg(*[F.avg(v).alias(c) for c, v in z.items()]).collect()
+        new = sorted(tuple(r[c] for c in z) for r in means)
+        if len(new) == len(centres) and all(abs(x - y) <= tolerance for a, b in zip(new, centres, strict=True) for x, y in zip(a, b, strict=True)):
+            return points.withColumn("cluster", label.cast("int"))
+        centres, label = new, nearest(new)
+    raise ValueError(f"centres still move after {most_rounds} rounds")
+
+
+def cluster_checks(star: Star, k: int = 3, per: str = "line", where: Slice = ALL) -> DataFrame:
+    """How many points there are, how many do not lie nearest to their own cluster's mean, and how many have no cluster."""
+    _, features = cluster_points(star, per, where)
+    points = stored(delay_clusters(star, k, per, where), "clusters")
+    spread = points.agg(*[F.coalesce(F.nullif(F.stddev_samp(c), F.lit(0.0)), F.lit(1.0)).alias(f"_{c}") for c in features])
+    means = points.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in features])
+    centres = means.agg(F.sort_array(F.collect_list(F.struct("cluster", *features))).alias("_centres"))
+    near = points
+    for frame, columns in ((spread, [f"_{c}" for c in features]), (centres, ["_centres"])):
+        near = near.withColumns({c: frame.select(c).scalar() for c in columns})
+
+    def apart(c: Column) -> Column:
+        return sum((((F.col(f) - c[f]) / F.col(f"_{f}")) ** 2 for f in features), F.lit(0.0))
+
+    own = F.element_at(F.filter("_centres", lambda c: c["cluster"] == F.col("cluster")), 1)
+    least = F.array_min(F.transform("_centres", apart))
+    return near.agg(
+        F.count(F.lit(1)).alias("points"),
+        F.count_if(apart(own) > least + 1e-6).alias("misplaced"),
+        F.count_if(F.col("cluster").isNull()).alias("unplaced"),
+    )

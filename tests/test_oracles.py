@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry_points
@@ -18,7 +20,8 @@ def con(small_data):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"delay_clusters", "delay_scatter_clusters"}
+    own = {name for name in QUERIES if not re.match(r"op\d+_|pipeline$", name)}
+    assert own - set(ORACLES) == {"delay_clusters", "delay_scatter_clusters"}
 
 
 @pytest.mark.parametrize("name", ORACLES)
