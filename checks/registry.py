@@ -389,7 +389,7 @@ LOADS: dict[str, Query] = {
 def landed_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ridership pages landed as JSON, read back with a source-side window."""
     root = sinks.shared_folder(spark, "landing")
-    adapters.feed(spark, sf_dir, "ridership").drop("ingest_seq").write.json(f"{root}/subway_ridership")
+    landing.land(adapters.feed(spark, sf_dir, "ridership").drop("ingest_seq"), root, "subway_ridership")
     df = landing.read_dataset(spark, root, "subway_ridership", "2024-01-10", "2024-01-20")
     return df.groupBy("station").agg(F.count(F.lit(1)).alias("records"), F.max("transit_timestamp").alias("latest"))
 

@@ -15,6 +15,7 @@ from railmart.schemas import Schema, read_schema
 MINIMUM_ROWS = 1000
 WINDOW_DAYS = 365
 INGEST_SEQ = "ingest_seq"
+MONTH = "landed_month"
 
 
 @dataclass(frozen=True)
@@ -81,6 +82,29 @@ def read_json(spark: SparkSession, path: str, schema: Schema, positions: bool =
     return with_ingest_seq(df) if positions else df
 
 
+def land(df: DataFrame, root: str, name: str) -> str:
+    """Store pages of a catalog data set as JSON lines, in folders by the month of its time column; returns the path.
+
+    Rows whose time cannot be read go to the folder of NULL. The month is a copy for the reader; the pages stay as they are.
+    """
+    dataset = CATALOG[name]
+    path = f"{root}/{dataset.folder}"
+    if not dataset.time_column:
+        df.write.mode("append").json(path)
+        return path
+    month = F.date_format(to_datetime(F.col(dataset.time_column)), "yyyyMM").cast("int")
+    df.withColumn(MONTH, month).write.mode("append").partitionBy(MONTH).json(path)
+    return path
+
+
+def in_months(df: DataFrame, start: dt.date | str | None, end: dt.date | str | None) -> DataFrame:
+    """Leave out folders of months before ``start`` or after ``end``, where the pages were landed by month."""
+    if MONTH not in df.columns or start is None:
+        return df
+    df = df.filter(F.col(MONTH) >= int(str(start)[:7].replace("-", "")))
+    return df if end is None else df.filter(F.col(MONTH) <= int(str(end)[:7].replace("-", "")))
+
+
 def read_dataset(
     spark: SparkSession,
     root: str,
@@ -94,7 +118,8 @@ def read_dataset(
     """One data set of the catalog, cut to a window on its time column or to a year."""
     dataset = CATALOG[name]
     df = read_json(spark, f"{root}/{dataset.folder}", dataset.schema, positions)
-    df = between(df, dataset.time_column, start, end) if dataset.time_column else df
+    df = between(in_months(df, start, end), dataset.time_column, start, end) if dataset.time_column else df
+    df = df.drop(MONTH)
     if year is not None and dataset.year_column:
         df = df.filter(F.col(dataset.year_column).try_cast("int") == year)
     return df if max_records is None else first_rows(df, max_records)

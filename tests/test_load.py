@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
-from railmart.operators import dims, load
+from railmart import full_load
+from railmart.operators import clean, dims, load
 from railmart.schemas import DIM_STATIONS, FACT_PERFORMANCE, read_schema
 from tests.helpers import bag, rows
 
@@ -201,3 +203,38 @@ def test_insert_absent_keeps_existing_rows(spark):
 def test_length_limits(spark):
     df = spark.createDataFrame([("abc",), ("ab",)], "v STRING")
     assert bag(df.select("v", load.check_lengths(df, {"v": 2, "w": 1}))) == [("ab", None), ("abc", "v longer than 2")]
+
+
+@pytest.mark.parametrize("junk", ["1e30", "3000000000", "x"])
+def test_one_junk_number_does_not_stop_a_load(spark, junk):
+    feed = spark.createDataFrame(
+        [("2024-01-01 08:00:00", "A", "1", junk, "4"), ("2024-01-01 09:00:00", "A", "1", "5", "6")],
+        "transit_timestamp string, station string, line string, entries string, exits string",
+    )
+    lines = spark.createDataFrame([(1, "1")], "line_id long, line_name string")
+    stations = spark.createDataFrame([(7, "A")], "station_id long, station_name string")
+    rows = load.load_ridership(clean.clean_ridership(feed), lines, stations).orderBy("time_key").collect()
+    assert [r.exits for r in rows] == [4, 6] and rows[1].entries == 5
+
+
+def test_two_days_and_a_repeat_in_one_folder(spark, tmp_path):
+    def feeds(day):
+        rides = [(f"2024-0{day}-01 0{h}:00:00", "A", "1", str(h), "2") for h in range(1, 4)]
+        late = [(f"2024-0{day}-01", "1", "signal", "12", "A"), (f"2031-0{day}-01", "1", "signal", "3", "A")]
+        return {
+            "stations": spark.createDataFrame([("A", "M")], "stop_name string, borough string"),
+            "ridership": spark.createDataFrame(rides, "transit_timestamp string, station string, line string, entries string, exits string"),
+            "delays": spark.createDataFrame(late, "start_date string, route string, cause string, delay_minutes string, station_name string"),
+        }
+
+    folder = str(tmp_path / "star")
+    for day in (1, 2, 2):
+        result = full_load.run(spark, feeds(day), folder)
+        assert result["status"] == "completed", result
+    assert result["tables_loaded"]["ridership"] == 0
+    for table, serial, n in (("fact_ridership", "ridership_id", 6), ("fact_delays", "delay_id", 4)):
+        rows = spark.read.parquet(f"{folder}/{table}")
+        assert rows.count() == rows.select(serial).distinct().count() == n
+    dates = spark.read.parquet(f"{folder}/dim_date")
+    assert spark.read.parquet(f"{folder}/fact_delays").join(dates, "date_key", "left_anti").count() == 0
+    assert spark.read.parquet(f"{folder}/dim_stations").count() == 1

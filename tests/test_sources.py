@@ -198,3 +198,15 @@ def test_failed_load_is_logged(spark, tmp_path):
     assert result["status"] == "failed"
     assert "no data" in result["errors"][0]
     assert bag(full_load.read_log(spark, str(tmp_path / "out")).select("status")) == [("failed",), ("running",)]
+
+
+def test_date_bounds_leave_out_folders_of_other_months(spark, tmp_path):
+    days = spark.sql("SELECT explode(sequence(DATE'2024-01-20', DATE'2024-04-10')) AS d")
+    pages = days.selectExpr("CAST(d AS STRING) AS transit_timestamp", "'s' AS station", "'1' AS entries")
+    pages = pages.unionByName(spark.createDataFrame([("no time", "s", "1")], pages.schema))
+    landing.land(pages, str(tmp_path), "subway_ridership")
+    everything = landing.read_dataset(spark, str(tmp_path), "subway_ridership")
+    assert everything.count() == pages.count() and landing.MONTH not in everything.columns
+    cut = landing.read_dataset(spark, str(tmp_path), "subway_ridership", "2024-02-10", "2024-03-05")
+    assert cut.count() == 25
+    assert "PartitionFilters: [isnotnull(landed_month" in cut._jdf.queryExecution().executedPlan().toString()
