@@ -118,7 +118,7 @@ WITH sized AS (
          sum(source_size) OVER () * 1.5::DOUBLE AS total
   FROM dealt
 ), level AS (
-  SELECT coalesce(min((total - below) / open_weight) FILTER (WHERE (total - below) / open_weight * weight < bound), 0) AS level FROM steps
+  SELECT coalesce(max((total - below) / open_weight) FILTER (WHERE (total - below) / open_weight * weight < bound), 0) AS level FROM steps
 ), aims AS (
   SELECT source, source_size, least(weight * level, bound) AS target FROM dealt, level
 ), taken AS (

@@ -22,7 +22,7 @@ from railmart.llm import common
 COMMON = 50
 MIN_WORDS = 50
 MIN_CHARS = 200
-MOST_CHAR_DISTANCE = 0.33
+MOST_CHAR_DISTANCE = 0.35
 MOST_WORD_DISTANCE = 0.48
 MIN_REFERENCE_WORDS = 1_000
 MOST_LANGUAGES = 256

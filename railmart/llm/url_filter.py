@@ -1,6 +1,6 @@
 """URL filters: rules by host and path prefix, and for the rest a logistic regression on hashed character n-grams of host and path.
 
-The model is trained here, from a small table of labelled URLs (`LABELLED`, or any of at most MOST_LABELLED rows); a heavier class is
+The model is trained here, from a small table of labelled URLs (`examples`, or any of at most MOST_LABELLED rows); a heavier class is
 balanced by weights. Scoring works on Arrow batches; only the URL column is read.
 
 Defined cases: a null URL or one without `://` has empty host and path, no rule, and the model's verdict on empty text, which is the one
@@ -27,39 +27,33 @@ RULES = (
 )
 BUCKETS = 1 << 14
 SIZES = (3, 4, 5)
+PRIOR = 0.2
 MOST_LABELLED = 100_000
 
-#: Example URLs of pages to leave out (1) and to keep (0); invented.
-LABELLED = tuple(
-    [(f"http://{host}/{path}", 1) for host, path in (
-        ("casino-royal.example.com", "play"), ("www.best-casino.example.org", "bonus"), ("casino-win.example.net", "en/12"),
-        ("free-bets.example.org", "today"), ("bets-online.example.com", "slots"), ("sportbets.example.net", "odds"),
-        ("poker-stars.example.org", "table/3"), ("jackpot-slots.example.com", "spin"), ("lotto-win.example.net", "draw"),
-        ("cheap-pills.example.com", "order"), ("pharma-pills.example.org", "buy-now"), ("cheap-meds.example.net", "rx"),
-        ("adult-cams.example.com", "live"), ("xxx-videos.example.org", "watch/9"), ("hot-singles.example.net", "chat"),
-        ("sexy-dating.example.com", "meet"), ("porn-tube.example.org", "en/77"), ("escort-girls.example.net", "city"),
-        ("payday-loans.example.com", "apply"), ("fast-cash-loan.example.org", "now"), ("crypto-doubler.example.net", "send"),
-        ("free-money.example.com", "claim"), ("win-iphone.example.org", "prize"), ("replica-watches.example.net", "shop"),
-        ("warez-crack.example.com", "keygen"), ("torrent-crack.example.org", "full"), ("phish-login.example.net", "verify-account"),
-        ("malware-drop.example.com", "setup.exe"), ("spam-links.example.org", "seo"), ("viagra-shop.example.net", "discount"),
-        ("casino.example.org", "de/5.html"), ("bets.example.net", "fr/8?ref=x"), ("pills.example.com", "es/3"),
-        ("www.xxx.example.net", "en/4"), ("blog.loans.example.org", "en/6"), ("m.slots.example.com", "en/1"),
-    )]
-    + [(f"https://{host}/{path}", 0) for host, path in (
-        ("www.example.com", "en/10"), ("blog.example.org", "de/22.html"), ("m.example.net", "fr/41"), ("news.example.com", "world/7"),
-        ("library.example.org", "books/12"), ("www.weather.example.net", "today"), ("docs.example.com", "guide/install"),
-        ("school.example.org", "lessons/4"), ("recipes.example.net", "soup"), ("health.example.com", "advice/sleep"),
-        ("university.example.org", "research/9"), ("garden.example.net", "plants"), ("travel.example.com", "trains/map"),
-        ("museum.example.org", "visit"), ("music.example.net", "albums/3"), ("science.example.com", "physics/8.html"),
-        ("history.example.org", "en/55"), ("forum.example.net", "thread/81"), ("shop.example.com", "chairs"),
-        ("wiki.example.org", "page/en/14"), ("maps.example.net", "city/2"), ("jobs.example.com", "office"),
-        ("sports.example.org", "football/11"), ("photos.example.net", "album/6"), ("code.example.com", "project/readme"),
-        ("thering.example.org", "en/30"), ("tionon.example.net", "de/31/"), ("thanre.example.com", "es/18"),
-        ("www.erthin.example.org", "fr/19#top"), ("blog.anther.example.net", "en/20?page=2&ref=x"), ("m.stonth.example.com", "en/21.html"),
-        ("handin.example.org", "en/23?utm_source=feed"), ("theound.example.net", "de/24"), ("ingther.example.com", "en/25/"),
-        ("reaned.example.org", "es/26"), ("blethe.example.net", "fr/27.html"), ("www.onthou.example.com", "en/28#top"),
-    )]
+#: Host words of pages to leave out and to keep. Each makes two example URLs, with the next word of its list or alone.
+BLOCKED_WORDS = (
+    "casino", "win", "bets", "free", "pills", "cheap", "adult", "xxx", "spam", "farm", "ads", "track", "poker", "slots", "jackpot", "loans",
+    "payday", "porn", "cams", "escort", "viagra", "crack", "warez", "phish", "malware", "click", "bonus", "lotto", "dating", "replica",
 )
+ALLOWED_WORDS = (
+    "news", "library", "weather", "docs", "school", "recipes", "health", "university", "garden", "travel", "museum", "music", "science",
+    "history", "forum", "wiki", "maps", "jobs", "sports", "photos", "code", "thering", "tionon", "thanre", "erthin", "anther", "stonth",
+    "handin", "theound", "ingther",
+)
+PATHS = ("en/12", "de/7.html", "fr/41?page=2&ref=x", "es/9/", "en/305#top", "en/88?utm_source=feed", "about", "2024/03/page.html")
+SUBDOMAINS, ENDINGS = ("", "www.", "blog.", "m."), ("com", "org", "net")
+
+
+def examples() -> list[tuple[str, int]]:
+    """The small labelled table: URLs with 1 (block) or 0; both classes have the same subdomains, endings and paths."""
+    out = []
+    for label, words in ((1, BLOCKED_WORDS), (0, ALLOWED_WORDS)):
+        for k, word in enumerate(words):
+            for turn, name in enumerate((word, f"{word}-{words[(k + 1) % len(words)]}")):
+                at = 2 * k + turn
+                host = f"{SUBDOMAINS[at % len(SUBDOMAINS)]}{name}.example.{ENDINGS[at % len(ENDINGS)]}"
+                out.append((f"http://{host}/{PATHS[at % len(PATHS)]}", label))
+    return out
 
 
 def host_of(url: str = "url") -> Column:
@@ -123,19 +117,20 @@ def train(hosts: Sequence[str], paths: Sequence[str], labels: Sequence[int], ste
     return weights, bias
 
 
-def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
-    """page_id, host, path, rule, verdict and the model's score of blocking.
+def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, labelled: DataFrame | None = None, prior: float = PRIOR) -> DataFrame:
+    """page_id, host, path, rule, verdict and the model's score of blocking, which blocks from 0.5 on.
 
+    prior: the expected share of URLs to block; training weighs both classes alike, so it shifts the log-odds.
     labelled: columns url and label (1: block), at most MOST_LABELLED rows; default is the table of this module."""
     spark = pages.sparkSession
     if labelled is None:
-        labelled = spark.createDataFrame(list(LABELLED), "url string, label int")
+        labelled = spark.createDataFrame(examples(), "url string, label int")
     known = labelled.select(host_of().alias("host"), path_of().alias("path"), "label").limit(MOST_LABELLED + 1).toArrow()
     if known.num_rows > MOST_LABELLED:
         raise ValueError(f"more than {MOST_LABELLED} labelled URLs: pass a sample")
     columns = known.to_pydict()
     weights, bias = train(columns["host"], columns["path"], columns["label"])
-    kept = spark.sparkContext.broadcast((weights, min(bias, 0.0)))
+    kept = spark.sparkContext.broadcast((weights, min(bias, 0.0) + float(np.log(prior / (1 - prior)))))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, b = kept.value
@@ -147,7 +142,7 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, labelled:
     split = pages.select(F.col("page_id"), host_of().alias("host"), path_of().alias("path"))
     kind = split.schema["page_id"].dataType.simpleString()
     rule, verdict = rule_of(rules)
-    by_model = F.when(F.col("score") >= threshold, F.lit("block")).otherwise(F.lit("allow"))
+    by_model = F.when(F.col("score") >= 0.5, F.lit("block")).otherwise(F.lit("allow"))
     return split.mapInArrow(score, f"page_id {kind}, host string, path string, score double").select(
         "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, by_model).alias("verdict"), "score"
     )

@@ -106,7 +106,7 @@ def test_urls(spark):
 
 
 def test_url_model_on_left_out_rows():
-    labelled = list(url_filter.LABELLED)
+    labelled = url_filter.examples()
     parts = [(u.split("://")[1].split("/", 1), y) for u, y in labelled]
     right = 0
     for fold in range(6):
