@@ -22,6 +22,7 @@ HEADLINE = [
     "borough_traffic", "time_period_performance", "ridership_measures_by_borough", "measures_across_facts",
     "rolling_seven_days", "year_over_year", "clean_stations", "clean_ridership", "clean_delays", "clean_performance",
     "load_stations", "load_ridership", "load_performance", "report_boroughs",
+    "daily_ridership_large", "station_performance_large", "top_stations_large", "load_ridership_large",
 ]
 
 

@@ -150,3 +150,19 @@ def test_export_folder(spark, star, tmp_path):
     assert written == list(exports.EXPORTS)
     back = spark.read.option("header", True).csv(str(tmp_path / "stations"))
     assert back.count() == star.stations.count()
+
+
+@pytest.mark.parametrize("mart", [marts.delay_causes, marts.borough_traffic])
+def test_shares_read_the_facts_once(star, mart):
+    plan = planned(mart(star))
+    assert plan[plan.index("Initial Plan") if "Initial Plan" in plan else 0 :].count("events.parquet") == 1
+
+
+def test_marts_of_large_tables_run_nothing_while_planned(spark, large):
+    group = "planning-only"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        marts.station_performance(large)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
