@@ -18,6 +18,7 @@ import numpy as np
 
 MEMORY = 128 << 20
 CHUNK = 1 << 20
+PAIRS = 1 << 14
 SMALL_ALPHABET = 20_000
 
 
@@ -63,25 +64,31 @@ class Queues:
 
 def ascending(text: np.ndarray) -> np.ndarray:
     """True where the suffix is smaller than the next one; the end is smaller than any symbol."""
-    step = np.sign(np.diff(text.astype(np.int64), append=-1))
-    at = np.where(step != 0, np.arange(len(text)), len(text))
-    return step[np.minimum.accumulate(at[::-1])[::-1]] > 0
+    up = np.zeros(len(text), bool)
+    np.less(text[:-1], text[1:], out=up[:-1])
+    differs = np.ones(len(text), bool)
+    np.not_equal(text[:-1], text[1:], out=differs[:-1])
+    turns = np.flatnonzero(differs)
+    return np.repeat(up[turns], np.diff(turns, prepend=-1))
 
 
 def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
-    """Common prefixes of suffix pairs, by comparing 1, 2, 4 ... symbols at a time."""
-    out = np.zeros(len(a), np.int64)
-    live, n, width = np.arange(len(a)), len(text), 4
-    while len(live):
-        i, j = a[live] + out[live], b[live] + out[live]
-        step = np.arange(width)
-        p, q = i[:, None] + step, j[:, None] + step
-        same = (p < n) & (q < n) & (text[np.minimum(p, n - 1)] == text[np.minimum(q, n - 1)])
-        run = np.where(same.all(axis=1), width, same.argmin(axis=1))
-        out[live] = np.minimum(out[live] + run, cap)
-        live = live[(run == width) & (out[live] < cap)]
-        width = min(width * 2, 64)
-    return out.astype(np.uint16)
+    """Common prefixes of suffix pairs, by comparing 4, 8, 16 ... symbols at a time, some pairs after others."""
+    out, n = np.zeros(len(a), np.uint16), len(text)
+    for at in range(0, len(a), PAIRS):
+        found = np.zeros(len(a[at : at + PAIRS]), np.int64)
+        live, width = np.arange(len(found)), 4
+        while len(live):
+            i, j = a[at + live] + found[live], b[at + live] + found[live]
+            step = np.arange(width)
+            p, q = i[:, None] + step, j[:, None] + step
+            same = (p < n) & (q < n) & (text[np.minimum(p, n - 1)] == text[np.minimum(q, n - 1)])
+            run = np.where(same.all(axis=1), width, same.argmin(axis=1))
+            found[live] = np.minimum(found[live] + run, cap)
+            live = live[(run == width) & (found[live] < cap)]
+            width = min(width * 2, 64)
+        out[at : at + PAIRS] = found
+    return out
 
 
 def least_between(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
