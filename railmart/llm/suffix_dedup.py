@@ -3,10 +3,12 @@
 1. Anchors. Every start of a string is dealt to the string's least GRAM-byte gram (leftmost of equals), so equal strings have equal grams
    at equal places. Neighbouring starts with one anchor form a context, about a third of which are starts. Only hashes are shuffled.
    An anchor that occurs once in the corpus ends here; equal contexts are repeats as a whole, whatever their number.
-2. Suffixes. Anchors with different contexts are read again; contexts are dealt by anchor to shards of about SHARD bytes, and each shard's
-   suffixes are put in order by external induced sorting (`induced`). Starts whose common prefix with a neighbour reaches LENGTH are repeats.
-   An anchor with over MOST_CONTEXTS contexts is not put in one shard: the hashes of its strings are counted by Spark instead.
-3. Removal. Repeats become byte ranges by text, joined with the documents.
+2. Cores. Contexts that differ under one anchor are read again and cut, at fixed distances from the anchor, into pieces of up to STARTS
+   starts. The bytes that all strings of a piece share are its core; pieces are then sorted out by core as contexts were by anchor.
+3. Suffixes. Pieces that differ under one core are dealt to shards of about SHARD bytes, and each shard's suffixes are put in order by
+   external induced sorting (`induced`). Starts whose common prefix with a neighbour reaches LENGTH are repeats. A core whose pieces
+   alone exceed a shard is not put in one: the hashes of its strings are counted by Spark instead.
+4. Removal. Repeats become byte ranges by text, joined with the documents.
 
 Texts are named by their md5, so rows with equal texts share one result and count as repeats of each other.
 
@@ -29,8 +31,9 @@ from railmart.llm import common, induced
 
 LENGTH = 400
 GRAM = 32
+STARTS = 32
 SHARD = 4 << 20
-MOST_CONTEXTS = 300
+MOST_PIECES = SHARD // (LENGTH + STARTS)
 BETWEEN = 0xFF
 
 
@@ -54,22 +57,23 @@ def sliding_least(values: np.ndarray, n: int) -> np.ndarray:
 
 
 def contexts(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """anchor, context hash, first and last start of each context of one text."""
+    """anchor, context hash, first and last start, and distance from the first start to the anchor, of each context of one text."""
     if len(data) < length:
-        return tuple(np.zeros(0, np.int64) for _ in range(4))
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
     grams = gram_hashes(data, GRAM)
     order = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
     at = (sliding_least(order, length - GRAM + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     lo = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
     hi = np.append(lo[1:], len(at)) - 1
-    place = (at[lo] - lo).astype(np.uint64)
-    whole = common.mix(common.span_hashes(data, lo, hi + length) + place)
-    return grams[at[lo]].view(np.int64), whole.view(np.int64), lo, hi
+    place = at[lo] - lo
+    whole = common.mix(common.span_hashes(data, lo, hi + length) + place.astype(np.uint64))
+    return grams[at[lo]].view(np.int64), whole.view(np.int64), lo, hi, place
 
 
 def anchors(docs: DataFrame, length: int) -> DataFrame:
-    """doc_id, key, anchor, context, lo, hi; a task writes those of a text once."""
+    """doc_id, key, anchor, context, lo, hi, place; a task writes those of a text once."""
 
+    @common.trimmed
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
@@ -85,39 +89,97 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
                     take = pa.array(np.concatenate(row))
                     columns = [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*found, strict=True)]
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(take), batch.column(2).take(take), *columns], names=["doc_id", "key", "anchor", "context", "lo", "hi"]
+                        [batch.column(0).take(take), batch.column(2).take(take), *columns], names=["doc_id", "key", "anchor", "context", "lo", "hi", "place"]
                     )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text", common.text_key().alias("key")).mapInArrow(
-        find, f"doc_id {kind}, key binary, anchor long, context long, lo long, hi long"
+        find, f"doc_id {kind}, key binary, anchor long, context long, lo long, hi long, place long"
     )
 
 
-def read_again(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """anchor, context, key, lo, hi, data: the bytes of the wanted contexts."""
+NAMES = ["anchor", "context", "key", "lo", "hi", "place", "data"]
+DDL = "anchor long, context long, key binary, lo long, hi long, place long, data binary"
+
+
+def sorted_out(found: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """Ranges (key, first, end) that are repeats as a whole, and one row for each (anchor, context) of the anchors with several contexts."""
+    often = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("context").alias("a"), F.max("context").alias("b"))
+    often = often.filter("n > 1").select(F.col("anchor").alias("again"), (F.col("a") != F.col("b")).alias("differ"))
+    shared = common.stored(found.join(often, found["anchor"] == often["again"]).drop("again"), "shared")
+    differ = shared.filter("differ").drop("differ")
+    rest = [c for c in differ.columns if c not in ("anchor", "context")]
+    one = differ.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min_by(F.struct(*rest), "key").alias("row"))
+    one = common.stored(one, "contexts")
+    whole = shared.filter("NOT differ").drop("differ").union(differ.join(one.filter("n > 1").select("anchor", "context"), ["anchor", "context"], "left_semi").select(*differ.columns))
+    return whole.select("key", F.col("lo").alias("first"), (F.col("hi") + length).alias("end")), one.select("anchor", "context", "row.*")
+
 
+def cut_out(length: int):
+    """For rows (key, bytes, where they begin, wanted): the bytes of each wanted stretch."""
+
+    @common.trimmed
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["anchor", "context", "key", "lo", "hi", "data"]
         for batch in batches:
             for k in range(batch.num_rows):
-                text, key = batch.column(0)[k].as_py() or b"", batch.column(1)[k].as_py()
-                want = batch.column(2)[k].values.flatten()
-                rows = list(zip(*(w.to_pylist() for w in want), strict=True))
-                for at in range(0, len(rows), 2_000):
-                    some = rows[at : at + 2_000]
-                    a, c, lo, hi = (list(x) for x in zip(*some, strict=True))
-                    data = [text[x : y + length] for x, y in zip(lo, hi, strict=True)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(a, pa.int64()), pa.array(c, pa.int64()), pa.array([key] * len(a), pa.binary()), pa.array(lo, pa.int64()),
-                         pa.array(hi, pa.int64()), pa.array(data, pa.binary())], names=names
-                    )
+                key, text, at = batch.column(0)[k].as_py(), batch.column(1)[k].as_py() or b"", batch.column(2)[k].as_py()
+                want = pa.RecordBatch.from_struct_array(batch.column(3)[k].values)
+                for begin in range(0, want.num_rows, 2_000):
+                    some = want.slice(begin, 2_000)
+                    stretch = zip(some["lo"].to_pylist(), some["hi"].to_pylist(), strict=True)
+                    data = pa.array([text[lo - at : hi - at + length] for lo, hi in stretch], pa.binary())
+                    names = {"key": pa.array([key] * some.num_rows, pa.binary()), "data": data}
+                    yield pa.RecordBatch.from_arrays([names[n] if n in names else some[n] for n in NAMES], names=NAMES)
 
-    by_text = wanted.groupBy("doc_id", "key").agg(F.collect_list(F.struct("anchor", "context", "lo", "hi")).alias("want"))
-    by_text = by_text.select(F.col("doc_id").alias("id"), F.col("key").alias("of"), "want")
+    return cut
+
+
+def read_again(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """The wanted contexts with their bytes, from the documents."""
+    want = F.collect_list(F.struct("anchor", "context", "lo", "hi", "place")).alias("want")
+    by_text = wanted.groupBy("doc_id", "key").agg(want).select(F.col("doc_id").alias("id"), F.col("key").alias("of"), "want")
     own = docs.select("doc_id", F.col("text").cast("binary").alias("text"), common.text_key().alias("key"))
     found = own.join(by_text, (F.col("key") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")))
-    return found.select("text", "key", "want").mapInArrow(cut, "anchor long, context long, key binary, lo long, hi long, data binary")
+    return found.select("key", "text", F.lit(0).cast("long").alias("at"), "want").mapInArrow(cut_out(length), DDL)
+
+
+def pieces(texts: DataFrame, length: int) -> DataFrame:
+    """The pieces of contexts: anchor (of the core), context (hash of the piece), key, lo, hi, place, and the context they are from."""
+
+    @common.trimmed
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            anchor, context, lo, place = (batch.column(i).to_numpy() for i in (0, 1, 3, 5))
+            binary = batch.column(6).cast(pa.large_binary())
+            offsets = np.frombuffer(binary.buffers()[1], np.int64)[binary.offset : binary.offset + len(binary) + 1]
+            data = np.frombuffer(binary.buffers()[2] or b"", np.uint8)
+            starts = np.diff(offsets) - length + 1
+            high, low = place // STARTS, (place - starts + 1) // STARTS
+            count = high - low + 1
+            row = np.repeat(np.arange(len(count)), count)
+            nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            far = (high[row] - nth) * STARTS
+            last = place[row] - far
+            first = last - STARTS + 1
+            core = common.span_hashes(data, offsets[row] + last, offsets[row] + first + length)
+            a, b = np.maximum(first, 0), np.minimum(last, starts[row] - 1)
+            whole = common.span_hashes(data, offsets[row] + a, offsets[row] + b + length)
+            core = common.mix(core + anchor[row].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + far.astype(np.uint64))
+            whole = common.mix(whole + (a - first).astype(np.uint64) * np.uint64(STARTS) + (last - b).astype(np.uint64))
+            columns = [core.view(np.int64), whole.view(np.int64), None, lo[row] + a, lo[row] + b, place[row] - a, anchor[row], context[row]]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(2).take(pa.array(row)) if c is None else pa.array(c) for c in columns], names=[*NAMES[:6], "from_anchor", "from_context"]
+            )
+
+    return texts.mapInArrow(split, "anchor long, context long, key binary, lo long, hi long, place long, from_anchor long, from_context long")
+
+
+def piece_bytes(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """The wanted pieces with their bytes, from the contexts."""
+    want = F.collect_list(F.struct("anchor", "context", "lo", "hi", "place")).alias("want")
+    by_context = wanted.groupBy("from_anchor", "from_context").agg(want)
+    same = (F.col("anchor") == F.col("from_anchor")) & (F.col("context") == F.col("from_context"))
+    return texts.join(by_context, same).select("key", "data", F.col("lo").alias("at"), "want").mapInArrow(cut_out(length), DDL)
 
 
 def ranges_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -165,19 +227,21 @@ def by_suffixes(texts: DataFrame, shards: int, length: int) -> DataFrame:
 
 
 def by_counts(texts: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with very many contexts: strings, hashed, that occur in two different contexts."""
+    """The same for cores with very many pieces: strings, hashed, that occur in two different pieces."""
+
+    names = ["anchor", "context", "key", "first", "string"]
 
+    @common.trimmed
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                data = np.frombuffer(batch.column(5)[k].as_py(), np.uint8)
+                data = np.frombuffer(batch.column(6)[k].as_py(), np.uint8)
                 lo, n = batch.column(3)[k].as_py(), len(data) - length + 1
                 at = np.arange(n)
                 hashes = common.span_hashes(data, at, at + length).view(np.int64)
                 take = pa.array(np.full(n, k))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(take), batch.column(1).take(take), batch.column(2).take(take), pa.array(at + lo), pa.array(hashes)],
-                    names=["anchor", "context", "key", "first", "string"],
+                    [*(batch.column(i).take(take) for i in range(3)), pa.array(at + lo), pa.array(hashes)], names=names
                 )
 
     every = texts.mapInArrow(strings, "anchor long, context long, key binary, first long, string long")
@@ -187,30 +251,20 @@ def by_counts(texts: DataFrame, length: int) -> DataFrame:
 
 def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """key, ranges: for each text with repeats the byte ranges of the repeated strings; they may overlap."""
-    found = common.stored(anchors(docs, length), "anchors")
-    often = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("context").alias("a"), F.max("context").alias("b"))
-    often = often.filter("n > 1").select(F.col("anchor").alias("again"), (F.col("a") != F.col("b")).alias("differ"))
-    shared = common.stored(found.join(often, found["anchor"] == often["again"]).drop("again"), "shared-anchors")
-    equal = shared.filter("NOT differ").select("key", F.col("lo").alias("first"), (F.col("hi") + length).alias("end"))
+    whole, wanted = sorted_out(common.stored(anchors(docs, length), "anchors"), length)
+    texts = common.stored(read_again(docs, wanted, length), "context-bytes")
+    whole_pieces, wanted = sorted_out(common.stored(pieces(texts, length), "pieces"), length)
 
-    differ = shared.filter("differ")
-    one = differ.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min_by(F.struct("doc_id", "key", "lo", "hi"), "key").alias("row"))
-    one = common.stored(one, "contexts")
-    same = differ.join(one.filter("n > 1").select("anchor", "context"), ["anchor", "context"], "left_semi")
-    same = same.select("key", F.col("lo").alias("first"), (F.col("hi") + length).alias("end"))
-
-    crowd = one.groupBy("anchor").agg(F.count("*").alias("kinds")).filter(F.col("kinds") > MOST_CONTEXTS).select("anchor", F.lit(True).alias("crowd"))
-    wanted = one.join(crowd, "anchor", "left").select("anchor", "context", "row.*", F.coalesce("crowd", F.lit(False)).alias("crowd"))
-    wanted = common.stored(wanted, "wanted-contexts")
-    total = wanted.filter("NOT crowd").agg(F.sum(F.col("hi") - F.col("lo") + length)).first()[0] or 0
-    texts = common.stored(read_again(docs, wanted.drop("crowd"), length), "context-bytes")
-    crowd = wanted.filter("crowd").select("anchor").distinct()
-    few, many = texts.join(crowd, "anchor", "left_anti"), texts.join(crowd, "anchor", "left_semi")
-    few, many = by_suffixes(few, max(1, -(-total // SHARD)), length), by_counts(many, length)
+    crowd = wanted.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > MOST_PIECES).select("anchor")
+    crowd = common.stored(crowd, "crowded-cores")
+    total = wanted.agg(F.sum(F.col("hi") - F.col("lo") + length)).first()[0] or 0
+    data = common.stored(piece_bytes(texts, wanted, length), "piece-bytes")
+    few, many = data.join(crowd, "anchor", "left_anti"), data.join(crowd, "anchor", "left_semi")
+    few, many = by_suffixes(few, max(1, -(-total // SHARD)), length), by_counts(many.select(*NAMES), length)
 
     copies = docs.groupBy(common.text_key().alias("key")).agg(F.count("*").alias("n"), F.max(F.octet_length("text")).cast("long").alias("end"))
     copies = copies.filter((F.col("n") > 1) & (F.col("end") >= length)).select("key", F.lit(0).cast("long").alias("first"), "end")
-    every = equal.union(same).union(few).union(many).union(copies)
+    every = whole.union(whole_pieces).union(few).union(many).union(copies)
     every = every.groupBy("key", "first").agg(F.max("end").alias("end"))
     return common.stored(every.groupBy("key").agg(F.collect_list(F.struct("first", "end")).alias("ranges")), "repeats")
 
@@ -225,6 +279,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     joined = mine.withColumn("key", common.text_key()).join(found, F.col("key") == F.col("of"), "left")
     joined = joined.select(*own, F.col("text").cast("binary").alias("text"), "ranges")
 
+    @common.trimmed
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, out, facts = batch.column(len(own)).to_pylist(), [], []

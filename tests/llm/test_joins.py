@@ -108,9 +108,9 @@ def test_repeats_on_odd_rows(odd_docs, no_docs):
     assert suffix_dedup.without_repeats(no_docs).count() == 0
 
 
-@pytest.mark.parametrize("crowd", [300, 2])
+@pytest.mark.parametrize("crowd", [suffix_dedup.MOST_PIECES, 2])
 def test_planted_repeats(spark, monkeypatch, crowd):
-    monkeypatch.setattr(suffix_dedup, "MOST_CONTEXTS", crowd)
+    monkeypatch.setattr(suffix_dedup, "MOST_PIECES", crowd)
     rng, rows = random.Random(8), []
     noise = lambda n: "".join(rng.choice("abcdefgé \n") for _ in range(n))
     passages = [noise(rng.choice([399, 400, 401, 700, 1500])) for _ in range(6)]
