@@ -7,9 +7,11 @@ equal: either more than t parts (pigeonhole), or, for large sets, enough that a
 average (all parts being touched then has a chance below e^-EQUAL_WORDS). A set whose partners may be larger also enters the next band.
 Equal words are joined by one shuffle and a streaming pass over sorted rows.
 
-1. Each node is compared with the node it meets in most words' groups as their smallest member; links give components.
-2. Groups that still hold nodes of several components are cut into blocks, and blocks are compared with each other: pairs in one
-   component are skipped, as are pairs whose bit sketches' Hamming distance (a lower bound of the symmetric difference) is above t.
+1. Each node is compared with the node it meets in most words' groups as their smallest member; links give components. Once more, each
+   node of a group that still holds several components is compared with the group's first or last one of another.
+2. Groups that still hold several components are cut into blocks, and blocks are compared with each other: pairs in one component are
+   skipped, as are pairs whose bit sketches' Hamming distance (a lower bound of the symmetric difference) is above t. In the first
+   NEAREST_ROUNDS rounds only a node's nearest partners in PARTNERS other components go on; in the last round all pairs that are left.
 What passes is verified on the full sets. Only components are asked for, so copies are never expanded into pairs.
 
 Words that more than HOT_WORD nodes share are left out for nodes with at least half of their words in smaller groups.
@@ -35,6 +37,7 @@ SHINGLE = 5
 EQUAL_WORDS = 30
 HOT_WORD = 1_000
 BLOCK = 256
+STAR_ROUNDS, NEAREST_ROUNDS, PARTNERS = 2, 1, 3
 BROADCAST_ROWS = 500_000
 BAND = 1.5
 C1, C2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
@@ -100,14 +103,15 @@ def words_of(items: np.ndarray) -> np.ndarray:
 
 
 def bits_of(items: np.ndarray) -> bytes:
-    """A parity sketch of 2^k >= size bits, by the low bits of the hashes; halves XORed give the sketch of 2^(k-1) bits."""
-    m = 1 << max(6, (len(items) - 1).bit_length())
+    """A parity sketch of 2^k >= 4 * size bits, by the low bits of the hashes; halves XORed give the sketch of 2^(k-1) bits."""
+    m = 1 << max(6, (4 * len(items) - 1).bit_length())
     return np.packbits(np.bincount((items & np.uint64(m - 1)).astype(np.int64), minlength=m).astype(np.uint8) & 1).tobytes()
 
 
 def sketched(docs: DataFrame) -> DataFrame:
     """doc_id, key, n, node, bits, words; a task writes the words of a set once."""
 
+    @common.trimmed
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
@@ -135,6 +139,7 @@ def sketched(docs: DataFrame) -> DataFrame:
 def meetings(nodes: DataFrame) -> DataFrame:
     """word, node, first: the members of all words that two nodes or more share, and the smallest of them."""
 
+    @common.trimmed
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = first = last = None
         shared = False
@@ -190,6 +195,7 @@ def components(links: DataFrame) -> DataFrame:
 def sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """node, items: the sets of the wanted nodes, read again from one document of each."""
 
+    @common.trimmed
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, bounds in common.parts(batch, size=1 << 19):
@@ -208,6 +214,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (x, y) whose sets link."""
 
+    @common.trimmed
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
@@ -234,6 +241,7 @@ def near(bits_x: np.ndarray, bits_y: np.ndarray) -> int:
 def plausible(pairs: DataFrame, facts: DataFrame) -> DataFrame:
     """The pairs whose sizes and bit sketches allow a link; facts: node, n, bits."""
 
+    @common.trimmed
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y, n, m, a, b = (batch.column(i).to_pylist() for i in range(6))
@@ -249,13 +257,15 @@ def plausible(pairs: DataFrame, facts: DataFrame) -> DataFrame:
     return pairs.join(left, "x").join(right, "y").select("x", "y", "nx", "ny", "a", "b").mapInArrow(check, "x long, y long")
 
 
-def across(members: DataFrame) -> DataFrame:
-    """Plausible pairs of different components within the words' groups, block by block.
+def across(members: DataFrame, nearest: bool) -> DataFrame:
+    """Plausible pairs of different components within the words' groups, block by block; with `nearest` only the best few of each node.
 
     members: word, blocks, node, root, n, bits."""
 
+    @common.trimmed
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        best: dict[int, dict[int, tuple[int, int]]] = {}
 
         def pairs(group: pa.Table) -> list[tuple[int, int]]:
             size, out = group["n"].to_numpy(), []
@@ -275,8 +285,18 @@ def across(members: DataFrame) -> DataFrame:
                     j = j[side[j] != side[i]]
                 if len(j):
                     apart = np.bitwise_count(rows[j] ^ rows[i]).sum(axis=1, dtype=np.int64)
-                    j = j[apart <= most_different(size[j], size[i])]
-                    out += [(min(node[i], node[k]), max(node[i], node[k])) for k in j]
+                    fits = apart <= most_different(size[j], size[i])
+                    j, apart = j[fits], apart[fits]
+                    if not nearest:
+                        out += [(min(node[i], node[k]), max(node[i], node[k])) for k in j.tolist()]
+                    elif len(j):
+                        mine = best.setdefault(int(node[i]), {})
+                        for k in np.argsort(apart, kind="stable")[: 3 * PARTNERS].tolist():
+                            found = (int(apart[k]), int(node[j[k]]))
+                            other = int(root[j[k]])
+                            mine[other] = min(mine.get(other, found), found)
+                        if len(mine) > PARTNERS:
+                            best[int(node[i])] = dict(sorted(mine.items(), key=lambda x: x[1])[:PARTNERS])
             return out
 
         def done(table: pa.Table, last: bool) -> tuple[list[tuple[int, int]], pa.Table]:
@@ -297,6 +317,7 @@ def across(members: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["x", "y"])
         if held:
             found, _ = done(pa.Table.from_batches(held), last=True)
+            found += [(min(x, y), max(x, y)) for x, near in best.items() for _, y in near.values()]
             yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["x", "y"])
 
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -319,24 +340,42 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     met = marked.join(spared, marked["node"] == spared["spared"], "left").filter("hot IS NULL OR spared IS NULL")
     met = common.stored(met.select("word", "node", "first"), "kept-meetings")
 
-    facts = nodes.filter("bits IS NOT NULL").select("node", "n", "bits").join(met.select("node").union(met.select("first")).distinct(), "node", "left_semi")
+    facts = nodes.filter("bits IS NOT NULL").select("node", "n", "bits").join(met.select("node").distinct(), "node", "left_semi")
     facts = common.stored(facts.dropDuplicates(["node"]), "facts")
-    often = met.filter("node <> first").groupBy("node", "first").agg(F.count("*").alias("times"))
-    best = often.groupBy("node").agg(F.max_by("first", F.struct("times", "first")).alias("first"))
-    pairs = common.stored(plausible(best.select(F.col("first").alias("x"), F.col("node").alias("y")), facts), "pairs-1")
-    wanted = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
-    found = common.stored(verified(pairs, common.stored(sets_of(docs, nodes, wanted), "sets-1")), "links-1")
-
-    roots = components(found)
-    placed = met.select("word", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_words = placed.groupBy("word").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    open_words = open_words.filter("lo <> hi").select("word", F.ceil(F.col("size") / BLOCK).alias("blocks"))
-    members = placed.join(open_words, "word").join(facts, "node")
-    more = across(members).join(pairs, ["x", "y"], "left_anti")
-    more = common.stored(more, "pairs-2")
-    wanted = more.select(F.col("x").alias("node")).union(more.select("y")).distinct()
-    extra = common.stored(verified(more, common.stored(sets_of(docs, nodes, wanted), "sets-2")), "links-2")
-    return found.union(extra)
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """The links among plausible pairs."""
+        wanted = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
+        return common.stored(verified(pairs, common.stored(sets_of(docs, nodes, wanted), "sets")), "links")
+
+    def open_groups(found: DataFrame) -> DataFrame:
+        """word, node, root of the groups with several components, and a node of the first and the last component."""
+        at = met.select("word", "node").join(components(found), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        at = common.stored(at, "placed-meetings")
+        ends = at.groupBy("word").agg(
+            F.count("*").alias("size"), F.min(F.struct("root", "node")).alias("lo"), F.max(F.struct("root", "node")).alias("hi")
+        )
+        return at.join(ends.filter("lo.root <> hi.root"), "word")
+
+    often = met.filter("node <> first").select("node", F.col("first").alias("partner"))
+    found = tried = None
+    for _ in range(STAR_ROUNDS):
+        often = often.groupBy("node", "partner").agg(F.count("*").alias("times"))
+        best = often.groupBy("node").agg(F.max_by("partner", F.struct("times", "partner")).alias("partner"))
+        pairs = best.select(F.least("node", "partner").alias("x"), F.greatest("node", "partner").alias("y")).distinct()
+        pairs = common.stored(plausible(pairs if tried is None else pairs.join(tried, ["x", "y"], "left_anti"), facts), "pairs")
+        new = linked(pairs)
+        found, tried = (new, pairs) if found is None else (found.union(new), tried.union(pairs))
+        open_now = open_groups(found)
+        often = open_now.select("node", F.when(F.col("root") != F.col("lo.root"), F.col("lo.node")).otherwise(F.col("hi.node")).alias("partner"))
+
+    for turn in range(NEAREST_ROUNDS + 1):
+        members = open_now.select("word", "node", "root", F.ceil(F.col("size") / BLOCK).alias("blocks")).join(facts, "node")
+        pairs = common.stored(across(members, turn < NEAREST_ROUNDS).join(tried, ["x", "y"], "left_anti"), "pairs")
+        found, tried = found.union(linked(pairs)), tried.union(pairs)
+        if turn < NEAREST_ROUNDS:
+            open_now = open_groups(found)
+    return found
 
 
 def placed(docs: DataFrame) -> DataFrame:
