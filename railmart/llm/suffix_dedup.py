@@ -39,10 +39,10 @@ BETWEEN = 0xFF
 
 def gram_hashes(data: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the n bytes from each place on; n is a power of two."""
-    out, width, base = common.TABLES[False][data], 1, np.uint64(0x9E3779B97F4A7C15)
+    out, width, base = common.TABLES[False][data], 1, 0x9E3779B97F4A7C15
     while width < n:
-        out = out[:-width] * base + out[width:]
-        base, width = base * base, width * 2
+        out = out[:-width] * np.uint64(base) + out[width:]
+        base, width = base * base & (2**64 - 1), width * 2
     return common.mix(out)
 
 
