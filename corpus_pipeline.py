@@ -38,7 +38,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences, with their token ids."""
     common.ship(spark)
-    return packing.packed(docs, packing.default_tokenizer())
+    return packing.packed(docs, packing.default_tokenizer(), cached_words=150_000)
 
 
 STAGES = [

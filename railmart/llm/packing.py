@@ -30,7 +30,7 @@ END = 1
 BLOCK = 1 << 19
 MERGED = 256
 STEP_WINDOWS = 8
-CACHED_WORDS = 1_500_000
+CACHED_WORDS = 1_000_000
 FIELDS = [
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()),
     ("sequence_id", pa.int64()), ("offset", pa.int64()), ("window", pa.int32()), ("step_group", pa.int64()), ("ids", pa.binary()),
@@ -43,33 +43,43 @@ DDL = (
 
 
 class WordIds(dict):
-    """Little-endian ids by word. The vocabulary's rules never look across white space, so words are encoded one by one and kept."""
+    """Little-endian ids by word. The vocabulary's rules never look across white space, so words are encoded one by one and kept.
 
-    def __init__(self, path: str):
+    A full table becomes the old one, from which words still met move on, so frequent words stay and memory is bounded."""
+
+    def __init__(self, path: str, most: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.old: dict[bytes, bytes] = {}
+        self.most = most
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        packed = b"".join(i.to_bytes(4, "little") for i in ids)
+        packed = self.old.get(word)
+        if packed is None:
+            packed = self.encoded(word)
         if len(word) <= 64:
-            if len(self) >= CACHED_WORDS:
+            if len(self) >= self.most:
+                self.old = dict(self)
                 self.clear()
             self[word] = packed
         return packed
 
+    def encoded(self, word: bytes) -> bytes:
+        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+        return b"".join(i.to_bytes(4, "little") for i in ids)
+
     def of(self, text: bytes | None) -> bytes:
         return b"".join(map(self.__getitem__, (text or b"").split()))
 
 
-_known: dict[str, WordIds] = {}
+_known: dict[tuple[str, int], WordIds] = {}
 
 
-def word_ids(path: str) -> WordIds:
-    if path not in _known:
-        _known[path] = WordIds(path)
-    return _known[path]
+def word_ids(path: str, most: int) -> WordIds:
+    if (path, most) not in _known:
+        _known[path, most] = WordIds(path, most)
+    return _known[path, most]
 
 
 class Packer:
@@ -171,11 +181,14 @@ class Packer:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, FIELDS, strict=True)], names=[n for n, _ in FIELDS])
 
 
-def packed(docs: DataFrame, tokenizer: str, keep_ids: bool = True) -> DataFrame:
-    """The pieces of all documents. keep_ids: with each piece's ids as little-endian unsigned 32-bit numbers."""
+def packed(docs: DataFrame, tokenizer: str, keep_ids: bool = True, cached_words: int = CACHED_WORDS) -> DataFrame:
+    """The pieces of all documents. keep_ids: with each piece's ids as little-endian unsigned 32-bit numbers.
+
+    cached_words: how many words a worker keeps with their ids, twice at most; fewer take less memory and more time."""
 
+    @common.trimmed
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, known = TaskContext.get().partitionId(), word_ids(tokenizer)
+        part, known = TaskContext.get().partitionId(), word_ids(tokenizer, cached_words)
         packer = Packer(part << 32, keep_ids)
         end = END.to_bytes(4, "little")
         for batch in batches:
