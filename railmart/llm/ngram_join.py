@@ -14,7 +14,8 @@ Equal words are joined by one shuffle and a streaming pass over sorted rows.
    NEAREST_ROUNDS rounds only a node's nearest partners in PARTNERS other components go on; in the last round all pairs that are left.
 What passes is verified on the full sets. Only components are asked for, so copies are never expanded into pairs.
 
-Words that more than HOT_WORD nodes share are left out for nodes with at least half of their words in smaller groups.
+Words that more than HOT_WORD nodes share are left out for a node in a band where fewer of its words are such than are sure to be equal in
+any partner (parts that it touches, less t), so one in a smaller group is left to every link; else it keeps all words of that band.
 
 Defined cases: null and empty texts have no shingles and link with nothing; repeated rows are one node; rows without doc_id take part but
 are never the smallest id unless all are (then null); an empty table gives an empty result; extra columns are ignored.
@@ -84,22 +85,27 @@ def node_of(items: np.ndarray) -> int:
     return int(common.mix(np.add.reduce(common.mix(items ^ C2), keepdims=True) + np.uint64(len(items))).view(np.int64)[0])
 
 
-def words_of(items: np.ndarray) -> np.ndarray:
-    """The keys of the set's sketch words in its bands. Untouched parts have none, unless so many are that pigeonhole needs them."""
-    size, out = len(items), []
+def words_of(items: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """The keys of the set's sketch words in its bands, and for bands of even and odd number how many touched parts any partner has equal.
+
+    Untouched parts have no word, unless so many are that pigeonhole needs them. A set has at most two bands, next to each other; the lowest
+    bit of a key is the band's."""
+    size, out, sure = len(items), [], [0, 0]
     if most_different(size, size * 5 // 4) <= 0:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), sure
     for band in range(band_of(size), band_of(size * 5 // 4) + 1):
         n, t = parts_of(band)
         part = ((items >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
         begins = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
         xor, part = np.bitwise_xor.reduceat(items, begins), part[begins]
+        sure[band & 1] = max(0, len(part) - t)
         if n - len(part) >= n - t > 0:
             empty = np.setdiff1d(np.arange(n, dtype=np.uint64), part)
             xor, part = np.append(xor, np.zeros(len(empty), np.uint64)), np.append(part, empty)
         of_band = np.uint64((band * int(C2)) & (2**64 - 1))
-        out.append(common.mix(common.mix(xor + part * C1) + of_band))
-    return np.concatenate(out).view(np.int64)
+        key = common.mix(common.mix(xor + part * C1) + of_band)
+        out.append(key & ~np.uint64(1) | np.uint64(band & 1))
+    return np.concatenate(out).view(np.int64), sure
 
 
 def bits_of(items: np.ndarray) -> bytes:
@@ -109,30 +115,32 @@ def bits_of(items: np.ndarray) -> bytes:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, key, n, node, bits, words; a task writes the words of a set once."""
+    """doc_id, key, n, node, bits, words, sure (see `words_of`); a task writes the words of a set once."""
 
     @common.trimmed
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             for lo, hi, data, bounds in common.parts(batch):
-                n, node, bits, words = [], [], [], []
+                n, node, bits, words, sure = [], [], [], [], []
                 for items in shingle_sets(data, bounds):
                     n.append(len(items))
                     node.append(node_of(items) if len(items) else None)
                     new = len(items) and node[-1] not in seen
                     seen.add(node[-1])
                     bits.append(bits_of(items) if new else None)
-                    words.append(words_of(items) if new else np.zeros(0, np.int64))
+                    found = words_of(items) if new else (np.zeros(0, np.int64), None)
+                    words.append(found[0])
+                    sure.append(found[1])
                 offsets = np.append(0, np.cumsum([len(w) for w in words])).astype(np.int32)
                 keys = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(words)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(bits, pa.binary()), keys],
-                    names=["doc_id", "key", "n", "node", "bits", "words"],
+                    [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(bits, pa.binary()), keys, pa.array(sure, pa.list_(pa.int32()))],
+                    names=["doc_id", "key", "n", "node", "bits", "words", "sure"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    ddl = f"doc_id {kind}, key binary, n long, node long, bits binary, words array<long>"
+    ddl = f"doc_id {kind}, key binary, n long, node long, bits binary, words array<long>, sure array<int>"
     return docs.select("doc_id", "text", common.text_key().alias("key")).mapInArrow(sketch, ddl)
 
 
@@ -334,13 +342,15 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     groups = met.groupBy("word").agg(F.count("*").alias("size"))
     hot = groups.filter(F.col("size") > HOT_WORD).select(F.col("word").alias("hot"))
     marked = met.join(hot, met["word"] == hot["hot"], "left")
-    busy = marked.filter("hot IS NOT NULL").groupBy("node").agg(F.count("*").alias("busy"))
-    own = nodes.filter("size(words) > 0").select("node", F.size("words").alias("own")).dropDuplicates(["node"])
-    spared = busy.join(own, "node").filter("2 * busy <= own").select(F.col("node").alias("spared"))
-    met = marked.join(spared, marked["node"] == spared["spared"], "left").filter("hot IS NULL OR spared IS NULL")
+    odd = F.col("word").bitwiseAND(F.lit(1)).cast("int")
+    busy = marked.filter("hot IS NOT NULL").groupBy("node", odd.alias("odd")).agg(F.count("*").alias("busy"))
+    own = nodes.filter("size(words) > 0").select("node", "sure").dropDuplicates(["node"])
+    spared = busy.join(own, "node").filter("busy < sure[odd]").select(F.col("node").alias("spared"), "odd")
+    met = marked.join(spared, (marked["node"] == spared["spared"]) & (odd == spared["odd"]), "left").filter("hot IS NULL OR spared IS NULL")
     met = common.stored(met.select("word", "node", "first"), "kept-meetings")
 
-    facts = nodes.filter("bits IS NOT NULL").select("node", "n", "bits").join(met.select("node").distinct(), "node", "left_semi")
+    used = met.select("node").union(met.select("first")).distinct()
+    facts = nodes.filter("bits IS NOT NULL").select("node", "n", "bits").join(used, "node", "left_semi")
     facts = common.stored(facts.dropDuplicates(["node"]), "facts")
 
     def linked(pairs: DataFrame) -> DataFrame:

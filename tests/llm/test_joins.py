@@ -73,6 +73,35 @@ def test_crowded_words_keep_their_links(spark, monkeypatch):
     check_groups(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
 
 
+def test_crowded_words_link_copies_on_both_sides_of_a_band(spark, monkeypatch):
+    """Sets of 110 shingles and more enter two bands; a crowd below them makes all words of the lower band hot."""
+    monkeypatch.setattr(ngram_join, "HOT_WORD", 20)
+    rng = random.Random(7)
+    base, rows = [f"q{i}" for i in range(110)], []
+    for _ in range(45):
+        text = list(base)
+        text[rng.randrange(110)] = f"n{rng.random()}"
+        rows.append(" ".join(text))
+    rows += [" ".join([*base, "u0", "u1", "u2", "u3", f"n{k}"]) for k in range(15)]
+    sizes = [len(brute.shingles(t)) for t in rows]
+    assert sum(n >= 110 for n in sizes) == 15 and min(sizes) > 91
+    check_groups(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+
+
+def test_sure_words_are_equal_in_every_partner():
+    rng = np.random.default_rng(12)
+    for _ in range(60):
+        size = int(rng.integers(9, 260))
+        a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        b = np.unique(np.append(rng.permutation(a)[: size - int(rng.integers(0, size // 9 + 1))], rng.integers(0, 2**63, size // 9).astype(np.uint64)))
+        if 100 * len(np.intersect1d(a, b)) < 80 * len(np.union1d(a, b)):
+            continue
+        (words, sure), (others, also) = ngram_join.words_of(a), ngram_join.words_of(b)
+        equal = np.intersect1d(words, others)
+        band = ngram_join.band_of(max(len(a), len(b))) & 1
+        assert (equal & 1 == band).sum() >= max(sure[band], also[band])
+
+
 def test_kept_leaves_one_of_each_group(odd_docs, no_docs):
     left = ngram_join.kept(odd_docs)
     assert left.columns == odd_docs.columns
