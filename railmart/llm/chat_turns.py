@@ -7,7 +7,8 @@ with one role become turns.
 
 A conversation is cut into chunks of CHUNK turn numbers. A chunk is reduced to the best score from each role before it to each role at its
 end; these small tables are chained along the conversation, and chunks are then decoded apart, so a conversation of any length is never in
-one task. A chunk with more than MOST_ROWS rows (repeated turn numbers) is cut further by turn and row.
+one task. A chunk with more than MOST_ROWS rows (repeated turn numbers) is cut further by turn, and a turn number with more rows than that
+at every MOST_ROWS-th row in order of text, so the cuts are in the order of the rows.
 
 Defined cases: rows are ordered by turn (null first), then text; a null or empty text is one empty line; rows with a null conv_id are one
 conversation; a null or unknown role teaches nothing; with nothing to learn from the tables are even; repeated rows are turns of their
@@ -21,7 +22,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from railmart.llm import common
@@ -141,11 +143,46 @@ def chunked(conversations: DataFrame) -> DataFrame:
     crowd = rows.groupBy("conv", "part", "turn").agg(F.count("*").alias("n"))
     whole = crowd.groupBy("conv", "part").agg(F.sum("n").alias("n")).filter(F.col("n") > MOST_ROWS).select(F.col("conv").alias("c"), F.col("part").alias("p"))
     crowd = crowd.join(whole, F.col("conv").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")))
-    crowd = crowd.select("c", F.col("turn").alias("t"), F.ceil(F.col("n") / MOST_ROWS).alias("cuts"))
+    crowd = crowd.select("c", F.col("turn").alias("t"), F.when(F.col("n") > MOST_ROWS, F.monotonically_increasing_id()).alias("crowd"), F.lit(True).alias("apart"))
+    crowd = common.stored(crowd, "crowded-turns")
     joined = rows.join(crowd, F.col("conv").eqNullSafe(F.col("c")) & F.col("turn").eqNullSafe(F.col("t")), "left")
-    cut = F.when(F.col("cuts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.col("cuts")))
-    at = F.when(F.col("cuts").isNull(), F.lit(0)).otherwise(F.coalesce("turn", F.lit(0)))
-    return joined.select("conv", "part", at.cast("long").alias("at"), cut.cast("long").alias("cut"), "turn", "text")
+    at = F.when(F.col("apart"), F.coalesce("turn", F.lit(0))).otherwise(F.lit(0))
+    joined = joined.select("conv", "part", at.cast("long").alias("at"), "turn", "text", "crowd")
+    columns = ["conv", "part", "at", "cut", "turn", "text"]
+    out = joined.filter("crowd IS NULL").withColumn("cut", F.lit(0).cast("long")).select(*columns)
+    if crowd.filter("crowd IS NOT NULL").limit(1).count():
+        out = out.unionByName(cut_in_order(joined.filter("crowd IS NOT NULL")).select(*columns))
+    return out
+
+
+def cut_in_order(rows: DataFrame) -> DataFrame:
+    """The rows with their `cut`: the place of the row among those of its `crowd` in order of text, divided by MOST_ROWS.
+
+    Equal texts may be in several ranges, as their order is of no account."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        last, seen = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            crowd = batch.column("crowd").to_numpy()
+            begins = np.flatnonzero(np.append(True, crowd[1:] != crowd[:-1]))
+            place = np.arange(len(crowd)) - np.repeat(begins, np.diff(np.append(begins, len(crowd))))
+            if crowd[0] == last:
+                place[: begins[1] if len(begins) > 1 else None] += seen
+            last, seen = crowd[-1], int(place[-1]) + 1
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.full(len(crowd), part), pa.int64()), pa.array(place, pa.int64())], names=[*batch.schema.names, "range", "place"]
+            )
+
+    by_text = F.coalesce("text", F.lit(""))
+    ranged = rows.repartitionByRange("crowd", by_text, F.xxhash64(F.monotonically_increasing_id())).sortWithinPartitions("crowd", by_text)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    placed = common.stored(ranged.mapInArrow(counted, f"{ddl}, range long, place long"), "crowded-rows")
+    before = F.sum("n").over(Window.partitionBy("crowd").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    counts = placed.groupBy("crowd", "range").agg(F.count("*").alias("n")).select("crowd", "range", F.coalesce(before, F.lit(0)).alias("before"))
+    return placed.join(F.broadcast(counts), ["crowd", "range"]).withColumn("cut", F.floor((F.col("before") + F.col("place")) / MOST_ROWS).cast("long"))
 
 
 def parsed(conversations: DataFrame, model: Model) -> DataFrame:

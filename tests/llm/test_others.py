@@ -88,6 +88,21 @@ def test_odd_conversations(spark, monkeypatch):
     assert chat_turns.parsed(df.filter("false"), chat_turns.train(df)).count() == 0
 
 
+def test_crowded_turns_decode_in_order_of_text(spark, talks, monkeypatch):
+    model = chat_turns.train(talks)
+    texts = [r["text"] for r in talks.select("text").orderBy("conv_id", "turn").limit(300).collect()]
+    rows = [(None, k % 3 or None, t) for k, t in enumerate(texts)] + [(7, 2, t) for t in texts[:90]] + [(7, 2, None), (7, 2, ""), (7, 2, texts[0]), (7, 3, "ok")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string")
+    whole = sorted(map(tuple, chat_turns.parsed(df, model).collect()), key=repr)
+    monkeypatch.setattr(chat_turns, "MOST_ROWS", 8)
+    for parts in (1, 7):
+        assert sorted(map(tuple, chat_turns.parsed(df.repartition(parts), model).collect()), key=repr) == whole
+    cuts = chat_turns.chunked(df).groupBy("conv", "part", "at", "cut").agg(F.count("*").alias("n"), F.min("text").alias("lo"), F.max("text").alias("hi")).collect()
+    assert max(r["n"] for r in cuts) <= 8
+    cuts.sort(key=lambda r: (r["conv"] or 0, r["part"], r["at"], r["cut"]))
+    assert all(a["hi"] <= b["lo"] for a, b in zip(cuts, cuts[1:]) if (a["conv"], a["part"], a["at"]) == (b["conv"], b["part"], b["at"]) and a["hi"])
+
+
 def test_urls(spark):
     urls = [
         ("http://www.Example.COM/en/a?x=/b", "www.example.com", "/en/a", "www.example.com/en/"), ("https://m.example.com/en/a", "m.example.com", "/en/a", "example.com/en/"),
