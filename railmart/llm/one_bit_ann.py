@@ -11,11 +11,13 @@ block: both sides are dealt to groups by an equality join, so no side is broadca
 
 Defined cases: vectors that are null, zero or hold null or non-finite components take no part; only vectors of one length are compared;
 rows with the query's own id are no candidates; ties go to the smaller id; ids that are null take no part; equal vectors all count; with
-fewer than k candidates all are returned; empty tables give an empty result; extra columns are ignored.
+fewer than k candidates all are returned; query rows with equal id and vector are one query, and different vectors of one id are queries of
+their own, each with its ranks from 1; empty tables give an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -83,6 +85,10 @@ def coded(rows: np.ndarray, centre: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return near.astype(np.int64), packed_bits(reduced > 0), length, np.where(length > 0, inner, 1.0)
 
 
+def hashed(data: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+
 def blocks(vectors: DataFrame, size: int) -> DataFrame:
     """dim, block, ids, v: `size` vectors of one length in a row, as bytes. Only part of a partition is held at a time."""
 
@@ -92,8 +98,8 @@ def blocks(vectors: DataFrame, size: int) -> DataFrame:
         def row(dim: int) -> pa.RecordBatch:
             some = held.pop(dim)
             ids = np.array([i for i, _ in some], np.int64)
-            block = int(common.mix(np.array([ids[0]], np.int64).view(np.uint64) + np.uint64(len(ids))).view(np.int64)[0])
             values = np.array([v for _, v in some], np.float64)
+            block = hashed(np.int64(dim).tobytes() + ids.tobytes() + values.tobytes())
             return pa.RecordBatch.from_pylist([{"dim": dim, "block": block, "ids": ids.tobytes(), "v": values.tobytes()}], schema=schema)
 
         schema = pa.schema([("dim", pa.int32()), ("block", pa.int64()), ("ids", pa.binary()), ("v", pa.binary())])
@@ -154,11 +160,12 @@ def nearest(index: DataFrame, centres: dict[int, np.ndarray], queries: DataFrame
         best: dict[int, tuple] = {}
 
         def rows() -> pa.RecordBatch:
-            found = [(np.repeat(q, k), i.ravel(), s.ravel()) for q, i, s in best.values()]
+            found = [(np.repeat(q, k), np.repeat(v, k), i.ravel(), s.ravel()) for q, v, i, s in best.values()]
             best.clear()
-            q, i, s = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+            none = np.zeros(0, np.int64)
+            q, v, i, s = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (none, none, none, np.zeros(0))
             real = np.isfinite(s)
-            return pa.RecordBatch.from_arrays([pa.array(q[real]), pa.array(i[real]), pa.array(s[real])], names=["query_id", "vec_id", "score"])
+            return pa.RecordBatch.from_arrays([pa.array(x[real]) for x in (q, v, i, s)], names=["query_id", "query_key", "vec_id", "score"])
 
         for batch in batches:
             for r in range(batch.num_rows):
@@ -169,8 +176,8 @@ def nearest(index: DataFrame, centres: dict[int, np.ndarray], queries: DataFrame
                     if len(best) >= HELD_BLOCKS:
                         yield rows()
                     ids = np.frombuffer(at["query_ids"], np.int64)
-                    best[key] = (ids, np.full((len(ids), k), np.iinfo(np.int64).max), np.full((len(ids), k), np.inf))
-                mine, near, score = best[key]
+                    best[key] = (ids, np.array([hashed(v.tobytes()) for v in query], np.int64), np.full((len(ids), k), np.iinfo(np.int64).max), np.full((len(ids), k), np.inf))
+                mine, _, near, score = best[key]
                 ids, v = np.frombuffer(at["ids"], np.int64), np.frombuffer(at["v"], np.float64).reshape(-1, dim)
                 cell, code = np.frombuffer(at["cell"], np.int64), np.frombuffer(at["code"], np.uint64).reshape(len(ids), -1)
                 length, inner = (np.frombuffer(at[n], np.float64) for n in ("length", "inner"))
@@ -193,12 +200,12 @@ def nearest(index: DataFrame, centres: dict[int, np.ndarray], queries: DataFrame
                         near[q], score[q] = both_i[order], both_s[order]
         yield rows()
 
-    asked = blocks(queries, QUERY_BLOCK).select("dim", F.col("block").alias("query_block"), F.col("ids").alias("query_ids"), F.col("v").alias("query"))
+    asked = blocks(queries.select("id", "v").distinct(), QUERY_BLOCK).select("dim", F.col("block").alias("query_block"), F.col("ids").alias("query_ids"), F.col("v").alias("query"))
     asked = asked.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     dealt = index.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
     pairs = asked.join(dealt, ["dim", "group"]).drop("group", "block")
-    found = pairs.mapInArrow(search, "query_id long, vec_id long, score double")
-    rank = F.expr("row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)")
+    found = pairs.mapInArrow(search, "query_id long, query_key long, vec_id long, score double")
+    rank = F.expr("row_number() OVER (PARTITION BY query_id, query_key ORDER BY score, vec_id)")
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -40,6 +40,18 @@ def test_nearest_neighbours(spark):
     assert one_bit_ann.nearest(index, centres, none).count() == 0
 
 
+def test_repeated_query_rows(spark):
+    rng = np.random.default_rng(13)
+    rows = [(i, rng.standard_normal(8).round(3).tolist()) for i in range(300)]
+    index, centres = one_bit_ann.indexed(spark.createDataFrame(rows, "id long, v array<double>"))
+    other = rows[9][1]
+    twice = spark.createDataFrame([rows[5]] * 3 + [rows[6], (6, other)], "id long, v array<double>")
+    for asked in (twice, twice.repartition(5)):
+        got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in one_bit_ann.nearest(index, centres, asked).collect())
+        one = [[i for i, _ in exact(rows, [q], 10)[q[0]]] for q in (rows[5], rows[6], (6, other))]
+        assert got == sorted((q, k + 1, i) for q, ids in zip((5, 6, 6), one) for k, i in enumerate(ids))
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(10)
     rows, query = rng.standard_normal((400, 64)), rng.standard_normal((20, 64))
