@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from railmart.llm import chat_turns, common, one_bit_ann, queries, url_filter
+from railmart.llm import chat_turns, common, mixing, one_bit_ann, queries, suffix_dedup, url_filter
+
+import brute
 
 
 def exact(rows, queries_, k):
@@ -148,6 +153,27 @@ def test_all_queries_are_named():
     assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
 
 
+def test_stages_equal_plain_versions(spark):
+    rng = random.Random(14)
+    noise = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    base, passage = noise(150), noise(90)
+    texts = [base, base + " end", base, passage + " " + noise(120), noise(130) + " " + passage + noise(9), "", None, "one two", "one two", noise(60)]
+    rows = [(k, t, "en", "ab"[k % 2], len(t or "")) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    groups, sizes = brute.groups(texts)
+    want = [r for k, r in enumerate(rows) if not sizes[k] or k == min(groups[k])]
+    left = common.stored(corpus_pipeline.one_of_each_group(spark, docs, ""), "test-one")
+    assert sorted(map(tuple, left.collect()), key=repr) == sorted(want, key=repr)
+    told = {r[0]: (r[2:4], w[3]) for r, w in zip(want, brute.without_repeats([r[1] for r in want], suffix_dedup.LENGTH), strict=True)}
+    assert any(hashlib.sha256((r[1] or "").encode()).hexdigest() != told[r[0]][1] for r in want)
+    clean = common.stored(corpus_pipeline.without_repeats(spark, left, ""), "test-clean")
+    got = clean.collect()
+    assert len(got) == len(want) and {r["doc_id"]: ((r["lang"], r["source"]), hashlib.sha256((r["text"] or "").encode()).hexdigest()) for r in got} == told
+    copies = {r["doc_id"]: r["copies"] for r in mixing.with_copies(clean.select("doc_id", "text", "source")).collect()}
+    mix = sorted(map(tuple, corpus_pipeline.mixed(spark, clean, "").collect()), key=repr)
+    assert mix == sorted((tuple(r) for r in got for _ in range(copies.get(r["doc_id"], 0))), key=repr)
+
+
 def test_pipeline(spark, small_data):
     docs = common.table(spark, small_data, "documents")
     names = [n for n, _ in corpus_pipeline.STAGES]
