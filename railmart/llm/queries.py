@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from railmart.llm import chat_turns, common, language_id, mixing, ngram_join, one_bit_ann, packing, quality_rules, suffix_dedup, toxicity, url_filter
+from railmart.llm import (
+    chat_turns, common, language_id, mixing, ngram_join, one_bit_ann, packing, periodic, quality_rules, spelling, suffix_dedup, token_counts,
+    toxicity, url_filter,
+)
 
 
 def shipped(query: Callable) -> Callable:
@@ -26,5 +29,8 @@ QUERIES = {
     "op8_language_id": shipped(language_id.query),
     "op9_suffix_dedup": shipped(suffix_dedup.query),
     "op10_ngram_join": shipped(ngram_join.query),
+    "op11_token_counts": shipped(token_counts.query),
+    "op12_spelling_variants": shipped(spelling.query),
+    "op13_periodic_runs": shipped(periodic.query),
 }
 SQL = {"op3_mixing": mixing.SQL}
