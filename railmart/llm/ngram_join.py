@@ -9,10 +9,13 @@ Equal words are joined by one shuffle and a streaming pass over sorted rows.
 
 1. Each node is compared with the node it meets in most words' groups as their smallest member; links give components. Once more, each
    node of a group that still holds several components is compared with the group's first or last one of another.
-2. Groups that still hold several components are cut into blocks, and blocks are compared with each other: pairs in one component are
-   skipped, as are pairs whose bit sketches' Hamming distance (a lower bound of the symmetric difference) is above t. In the first
-   NEAREST_ROUNDS rounds only a node's nearest partners in PARTNERS other components go on; in the last round all pairs that are left.
-What passes is verified on the full sets. Only components are asked for, so copies are never expanded into pairs.
+2. Groups that still hold several components are dealt to cells: the members outside a group's largest component meet each other and all
+   members of that component, in blocks. In a cell, pairs in one component are skipped, as are pairs whose bit sketches' Hamming distance
+   (a lower bound of the symmetric difference) is above t; members without a pair left leave the cell.
+3. Members meet with their full sets: first in the cells that are the largest of any member; then each pair that still is open under the
+   smallest word that both share. Pairs are verified there, nearest first, and joined at once, so a cell compares no two members that it
+   has connected and writes only the links that join two components, fewer than it has members.
+Pairs that the first step compares are verified on the full sets as well. Copies are never expanded into pairs.
 
 Words that more than HOT_WORD nodes share are left out for a node in a band where fewer of its words are such than are sure to be equal in
 any partner (parts that it touches, less t), so one in a smaller group is left to every link; else it keeps all words of that band.
@@ -38,7 +41,8 @@ SHINGLE = 5
 EQUAL_WORDS = 30
 HOT_WORD = 1_000
 BLOCK = 256
-STAR_ROUNDS, NEAREST_ROUNDS, PARTNERS = 2, 1, 3
+STAR_ROUNDS = 2
+KNOWN_PAIRS = 200_000
 BROADCAST_ROWS = 500_000
 BAND = 1.5
 C1, C2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
@@ -219,17 +223,23 @@ def sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.mapInArrow(sets, "node long, items binary").join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
 
+def link(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two ascending sets have 100 * common >= 80 * union."""
+    if len(a) < len(b):
+        a, b = b, a
+    at = np.minimum(a.searchsorted(b), len(a) - 1)
+    both = int(np.count_nonzero(a[at] == b))
+    return 100 * both >= 80 * (len(a) + len(b) - both)
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (x, y) whose sets link."""
 
     @common.trimmed
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for a, b in zip(batch.column(2), batch.column(3), strict=True):
-                a, b = (np.frombuffer(v.as_py(), np.uint64) for v in (a, b))
-                common_items = len(np.intersect1d(a, b, assume_unique=True))
-                good.append(100 * common_items >= 80 * (len(a) + len(b) - common_items))
+            both = zip(batch.column(2), batch.column(3), strict=True)
+            good = [link(*(np.frombuffer(v.as_py(), np.uint64) for v in ab)) for ab in both]
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
     left = sets.select(F.col("node").alias("x"), F.col("items").alias("a"))
@@ -237,13 +247,17 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "x").join(right, "y").select("x", "y", "a", "b").mapInArrow(check, "x long, y long")
 
 
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """The packed parity sketch of fewer bits, `size` bytes."""
+    while len(bits) > size:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits
+
+
 def near(bits_x: np.ndarray, bits_y: np.ndarray) -> int:
     """Hamming distance of two packed parity sketches, the longer folded to the shorter."""
-    while len(bits_x) > len(bits_y):
-        bits_x = bits_x[: len(bits_x) // 2] ^ bits_x[len(bits_x) // 2 :]
-    while len(bits_y) > len(bits_x):
-        bits_y = bits_y[: len(bits_y) // 2] ^ bits_y[len(bits_y) // 2 :]
-    return int(np.bitwise_count(bits_x ^ bits_y).sum())
+    size = min(len(bits_x), len(bits_y))
+    return int(np.bitwise_count(folded(bits_x, size) ^ folded(bits_y, size)).sum())
 
 
 def plausible(pairs: DataFrame, facts: DataFrame) -> DataFrame:
@@ -265,75 +279,139 @@ def plausible(pairs: DataFrame, facts: DataFrame) -> DataFrame:
     return pairs.join(left, "x").join(right, "y").select("x", "y", "nx", "ny", "a", "b").mapInArrow(check, "x long, y long")
 
 
-def across(members: DataFrame, nearest: bool) -> DataFrame:
-    """Plausible pairs of different components within the words' groups, block by block; with `nearest` only the best few of each node.
-
-    members: word, blocks, node, root, n, bits."""
+def dealt(members: DataFrame) -> DataFrame:
+    """word, cell, side, node, root: the members (word, node, root) of open groups in the cells where they meet.
+
+    Every two members of different components meet in one cell of the word. Members of a cell with one side, if it isn't -1, needn't be
+    compared there: they meet in another or are in one component."""
+    counts = members.groupBy("word", "root").agg(F.count("*").alias("n")).groupBy("word")
+    counts = counts.agg(F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("most")).select("word", "size", "most.*")
+    counts = counts.select("word", "size", F.col("root").alias("major"), F.col("n").alias("majors"))
+    counts = common.stored(counts, "group-counts")
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    rows = members.join(counts, "word").select(
+        "word", "node", "root", (F.col("size") <= BLOCK).alias("whole"), (F.col("root") != F.col("major")).alias("minor"),
+        blocks(F.col("size") - F.col("majors")).alias("minors"), blocks(F.col("majors")).alias("majors"),
+    )
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("minor"), F.col("minors")).otherwise(F.col("majors")).cast("long")).cast("int")
+    rows = rows.withColumn("own", own)
+
+    def cell(kind, i, j, side):
+        return F.struct(F.xxhash64("word", F.lit(kind), i, j).alias("cell"), side.cast("int").alias("side"))
+
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    one = F.array(cell(0, F.lit(0), F.lit(0), F.lit(-1)))
+    mine = F.col("own")
+    each_other = F.transform(upto("minors"), lambda j: cell(1, F.least(mine, j), F.greatest(mine, j), F.when(j == mine, -1).otherwise(mine)))
+    with_major = F.transform(upto("majors"), lambda j: cell(2, mine, j, F.lit(0)))
+    from_major = F.transform(upto("minors"), lambda i: cell(2, i, mine, F.lit(1)))
+    cells = F.when(F.col("whole"), one).when(F.col("minor"), F.concat(each_other, with_major)).otherwise(from_major)
+    return rows.select("word", "node", "root", F.explode(cells).alias("of")).select("word", "of.cell", "of.side", "node", "root")
+
+
+class Cell:
+    """The members of one cell, and which of them may link."""
+
+    def __init__(self, side: np.ndarray, root: np.ndarray, size: np.ndarray, bits: list[np.ndarray]):
+        self.side, self.root, self.size = side, root.copy(), size
+        shortest = min(map(len, bits))
+        self.bits = np.array([folded(b, shortest) for b in bits])
+
+    def partners(self, i: int) -> np.ndarray:
+        """Later members of other components that may link with member i, nearest first."""
+        j = np.arange(i + 1, len(self.size))
+        small, large = np.minimum(self.size[j], self.size[i]), np.maximum(self.size[j], self.size[i])
+        j = j[(self.root[j] != self.root[i]) & ((self.side[j] != self.side[i]) | (self.side[j] < 0)) & (5 * small >= 4 * large)]
+        if not len(j):
+            return j
+        apart = np.bitwise_count(self.bits[j] ^ self.bits[i]).sum(axis=1, dtype=np.int64)
+        fits = apart <= most_different(self.size[j], self.size[i])
+        return j[fits][np.argsort(apart[fits], kind="stable")]
+
+
+def by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each cell of a sorted stream, for cells with two rows or more."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        table = pa.Table.from_batches(held).combine_chunks()
+        cell = table["cell"].to_numpy()
+        cuts = [0, *(np.flatnonzero(cell[1:] != cell[:-1]) + 1).tolist()]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            if hi - lo > 1:
+                yield table.slice(lo, hi - lo)
+        held = table.slice(cuts[-1]).to_batches()
+    if held and sum(b.num_rows for b in held) > 1:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def still_open(cells: DataFrame, facts: DataFrame, first_only: bool = False) -> DataFrame:
+    """The rows (word, cell, side, node, root) of members that may link with another component's in their cell, stored.
+
+    first_only: a pair counts only under the smallest word whose group holds both. Each word in which both may link names both, so that
+    word is found from the rows themselves."""
 
     @common.trimmed
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        best: dict[int, dict[int, tuple[int, int]]] = {}
-
-        def pairs(group: pa.Table) -> list[tuple[int, int]]:
-            size, out = group["n"].to_numpy(), []
-            node, root = group["node"].to_numpy(), group["root"].to_numpy()
-            side = group["block"].to_numpy()
-            packed = [np.frombuffer(v.as_py(), np.uint8) for v in group["bits"].combine_chunks()]
-            shortest = min(map(len, packed))
-            for i, p in enumerate(packed):
-                while len(p) > shortest:
-                    p = p[: len(p) // 2] ^ p[len(p) // 2 :]
-                packed[i] = p
-            rows = np.array(packed)
+        for table in by_cell(batches):
+            side, root, size = (table[c].to_numpy() for c in ("side", "root", "n"))
+            cell = Cell(side, root, size, [np.frombuffer(v.as_py(), np.uint8) for v in table["bits"].combine_chunks()])
+            word = table["word"][0].as_py()
+            smaller = [{w for w in v.as_py() if w < word} for v in table["words"].combine_chunks()] if first_only else None
+            may = np.zeros(len(size), bool)
             for i in range(len(size) - 1):
-                j = np.arange(i + 1, len(size))
-                j = j[(root[j] != root[i]) & (5 * np.minimum(size[j], size[i]) >= 4 * np.maximum(size[j], size[i]))]
-                if group["i"][0].as_py() != group["j"][0].as_py():
-                    j = j[side[j] != side[i]]
-                if len(j):
-                    apart = np.bitwise_count(rows[j] ^ rows[i]).sum(axis=1, dtype=np.int64)
-                    fits = apart <= most_different(size[j], size[i])
-                    j, apart = j[fits], apart[fits]
-                    if not nearest:
-                        out += [(min(node[i], node[k]), max(node[i], node[k])) for k in j.tolist()]
-                    elif len(j):
-                        mine = best.setdefault(int(node[i]), {})
-                        for k in np.argsort(apart, kind="stable")[: 3 * PARTNERS].tolist():
-                            found = (int(apart[k]), int(node[j[k]]))
-                            other = int(root[j[k]])
-                            mine[other] = min(mine.get(other, found), found)
-                        if len(mine) > PARTNERS:
-                            best[int(node[i])] = dict(sorted(mine.items(), key=lambda x: x[1])[:PARTNERS])
-            return out
-
-        def done(table: pa.Table, last: bool) -> tuple[list[tuple[int, int]], pa.Table]:
-            word, i, j = (table[c].to_numpy() for c in ("word", "i", "j"))
-            cuts = np.flatnonzero((word[1:] != word[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-            cuts = [0, *cuts.tolist(), *([table.num_rows] if last else [])]
-            found: set[tuple[int, int]] = set()
-            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                if hi - lo > 1:
-                    found.update(pairs(table.slice(lo, hi - lo)))
-            return list(found), table.slice(cuts[-1])
+                j = cell.partners(i)
+                if smaller and smaller[i]:
+                    j = np.array([k for k in j.tolist() if smaller[i].isdisjoint(smaller[k])], np.int64)
+                may[j] = True
+                may[i] |= len(j) > 0
+            if may.any():
+                yield from table.select(names).filter(pa.array(may)).to_batches()
 
-        for batch in batches:
-            held.append(batch)
-            found, rest = done(pa.Table.from_batches(held), last=False)
-            held = rest.combine_chunks().to_batches()
+    names, more = ["word", "cell", "side", "node", "root"], ["n", "bits"]
+    rows = cells.join(facts, "node")
+    if first_only:
+        rows, more = rows.join(cells.groupBy("node").agg(F.collect_set("word").alias("words")), "node"), [*more, "words"]
+    rows = rows.select(*names, *more).repartition("cell").sortWithinPartitions("cell", "node")
+    return common.stored(rows.mapInArrow(compare, "word long, cell long, side int, node long, root long"), "open-members")
+
+
+def largest_cells(members: DataFrame) -> DataFrame:
+    """The rows of the cells that are the largest one of any of their members."""
+    sizes = common.stored(members.groupBy("cell").agg(F.count("*").alias("size")), "cell-sizes")
+    best = members.join(sizes, "cell").groupBy("node").agg(F.max(F.struct("size", "cell")).alias("best")).select("best.cell").distinct()
+    return members.join(best, "cell", "left_semi")
+
+
+def joined_in_cells(open_cells: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (x, y) that connect, within each cell, all components that any of its pairs connects."""
+
+    @common.trimmed
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[tuple[int, int], bool] = {}
+        for table in by_cell(batches):
+            items = [np.frombuffer(v.as_py(), np.uint64) for v in table["items"].combine_chunks()]
+            node, side, root = (table[c].to_numpy() for c in ("node", "side", "root"))
+            cell = Cell(side, root, np.array([len(s) for s in items]), [np.frombuffer(bits_of(s), np.uint8) for s in items])
+            found = []
+            for i in range(len(items) - 1):
+                for j in cell.partners(i).tolist():
+                    if cell.root[i] == cell.root[j]:
+                        continue
+                    pair = (min(node[i], node[j]), max(node[i], node[j]))
+                    linked = known.get(pair)
+                    if linked is None:
+                        if len(known) >= KNOWN_PAIRS:
+                            known.clear()
+                        linked = known[pair] = link(items[i], items[j])
+                    if linked:
+                        cell.root[cell.root == cell.root[j]] = cell.root[i]
+                        found.append(pair)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["x", "y"])
-        if held:
-            found, _ = done(pa.Table.from_batches(held), last=True)
-            found += [(min(x, y), max(x, y)) for x, near in best.items() for _, y in near.values()]
-            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["x", "y"])
 
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int")))
-    spread = members.withColumn("block", block).withColumn("other", other)
-    spread = spread.select("word", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root", "n", "bits")
-    ordered = spread.repartition("word", "i", "j").sortWithinPartitions("word", "i", "j")
-    return ordered.mapInArrow(compare, "x long, y long").distinct()
+    rows = open_cells.select("cell", "side", "node", "root").join(sets, "node")
+    return rows.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(join, "x long, y long").distinct()
 
 
 def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -379,13 +457,15 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         open_now = open_groups(found)
         often = open_now.select("node", F.when(F.col("root") != F.col("lo.root"), F.col("lo.node")).otherwise(F.col("hi.node")).alias("partner"))
 
-    for turn in range(NEAREST_ROUNDS + 1):
-        members = open_now.select("word", "node", "root", F.ceil(F.col("size") / BLOCK).alias("blocks")).join(facts, "node")
-        pairs = common.stored(across(members, turn < NEAREST_ROUNDS).join(tried, ["x", "y"], "left_anti"), "pairs")
-        found, tried = found.union(linked(pairs)), tried.union(pairs)
-        if turn < NEAREST_ROUNDS:
-            open_now = open_groups(found)
-    return found
+    def joined(cells: DataFrame) -> DataFrame:
+        sets = common.stored(sets_of(docs, nodes, cells.select("node").distinct()), "sets")
+        return common.stored(joined_in_cells(cells, sets), "links")
+
+    members = still_open(dealt(open_now.select("word", "node", "root")), facts)
+    found = found.union(joined(common.stored(largest_cells(members), "largest-cells")))
+    placed_now = members.drop("root").join(components(found), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed_now = common.stored(placed_now.select(*members.columns), "placed-members")
+    return found.union(joined(still_open(placed_now, facts, first_only=True)))
 
 
 def placed(docs: DataFrame) -> DataFrame:
@@ -400,7 +480,7 @@ def grouped(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for each row."""
     rows = placed(docs).select("doc_id", "n", "root")
     least = rows.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"), F.count("*").alias("members")).filter("members > 1")
-    out = rows.join(least.drop("members"), "root", "left")
+    out = rows.join(common.broadcast_up_to(common.stored(least.drop("members"), "group-ids"), BROADCAST_ROWS), "root", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
 
 
