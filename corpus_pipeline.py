@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from railmart.llm import common, mixing, ngram_join, packing, suffix_dedup, toxicity
 
+REPEAT = 256
+
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is under the threshold. The labels of sf_dir teach, but for held-out rows."""
@@ -24,9 +26,9 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the long byte strings that occur elsewhere too."""
+    """Documents without the passages of REPEAT bytes, about 50 words, that occur elsewhere too."""
     common.ship(spark)
-    return suffix_dedup.cleaned(docs)
+    return suffix_dedup.cleaned(docs, REPEAT)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
