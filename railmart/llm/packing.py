@@ -3,7 +3,8 @@
 A document is its token ids and the end id. Full windows of the largest size are cut off; what is left of a document is routed to the
 smallest size that holds it. Each size is packed from the largest down: a piece opens a window, the largest shorter pieces that fit go
 into its gap, and what still is open is filled with part of a shorter piece. Windows are full, so nothing is padded but one sequence for
-each group of MERGED partitions. Step groups hold windows of one size and the same number of tokens.
+each group of MERGED partitions. Step groups hold windows of one size and the same number of tokens: windows of a size are numbered over
+all partitions, by the counts of the partitions before, and STEP_TOKENS of them in a row are one group.
 
 A task packs its own partition in blocks of BLOCK tokens, so memory does not grow with the input and no row is shuffled; what a partition
 cannot fill (less than one window of each size) is written with its ids, and packed again for MERGED partitions at a time.
@@ -29,19 +30,23 @@ WINDOWS = (256, 512, 1024, 2048)
 END = 1
 BLOCK = 1 << 19
 MERGED = 256
-STEP_WINDOWS = 8
+STEP_TOKENS = 8 * WINDOWS[-1]
+PARTS_IN_MEMORY = 500_000
 CACHED_WORDS = 1_000_000
 FIELDS = [
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()),
-    ("sequence_id", pa.int64()), ("offset", pa.int64()), ("window", pa.int32()), ("step_group", pa.int64()), ("ids", pa.binary()),
-    ("part", pa.int32()),
+    ("sequence_id", pa.int64()), ("offset", pa.int64()), ("window", pa.int32()), ("nth", pa.int64()), ("ids", pa.binary()),
+    ("part", pa.int32()), ("packer", pa.int64()),
 ]
 DDL = (
-    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, window int, step_group long, "
-    "ids binary, part int"
+    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, window int, nth long, "
+    "ids binary, part int, packer long"
 )
 
 
+COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "window", "step_group", "ids"]
+
+
 class WordIds(dict):
     """Little-endian ids by word. The vocabulary's rules never look across white space, so words are encoded one by one and kept.
 
@@ -105,13 +110,11 @@ class Packer:
             self.add((doc_id, whole // 4, ids[whole:], total))
 
     def close(self, window: int, pieces: list[tuple]) -> None:
-        kind = WINDOWS.index(window)
-        per_step = STEP_WINDOWS * WINDOWS[-1] // window
-        step = self.first + (kind << 28) + self.made[window] // per_step
-        offset = 0
+        nth, offset = self.made[window], 0
         for doc_id, start, ids, total in pieces:
             n = len(ids) // 4
-            self.out.append((doc_id, start, n, zlib.crc32(ids), total, self.next, offset, window, step, ids if self.keep_ids else None, None))
+            kept = ids if self.keep_ids else None
+            self.out.append((doc_id, start, n, zlib.crc32(ids), total, self.next, offset, window, nth, kept, None, self.first))
             offset += n
         self.made[window] += 1
         self.next += 1
@@ -175,7 +178,7 @@ class Packer:
         """What is packed so far; with `last`, also the waiting pieces, marked by that partition number."""
         if last is not None:
             for row in self.waiting:
-                self.out += [(d, s, len(i) // 4, zlib.crc32(i), t, None, None, None, None, i, last) for d, s, i, t in row]
+                self.out += [(d, s, len(i) // 4, zlib.crc32(i), t, None, None, None, None, i, last, None) for d, s, i, t in row]
         columns = list(zip(*self.out, strict=True)) or [()] * len(FIELDS)
         self.out = []
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, FIELDS, strict=True)], names=[n for n, _ in FIELDS])
@@ -211,7 +214,18 @@ def packed(docs: DataFrame, tokenizer: str, keep_ids: bool = True, cached_words:
 
     level = common.stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(first, DDL), "packed")
     rest = level.filter("part IS NOT NULL").groupBy((F.col("part") / MERGED).cast("long").alias("of")).applyInArrow(again, DDL)
-    return level.filter("part IS NULL").unionByName(rest).drop("part")
+    return in_steps(level.filter("part IS NULL").unionByName(common.stored(rest, "packed-rest")).drop("part"))
+
+
+def in_steps(rows: DataFrame) -> DataFrame:
+    """The rows with step_group in place of packer and nth, the number of a window among those of its size and packer."""
+    made = rows.groupBy("window", "packer").agg((F.max("nth") + 1).alias("made"))
+    before = made.withColumn("before", F.expr("sum(made) OVER (PARTITION BY window ORDER BY packer) - made")).drop("made")
+    side = common.broadcast_up_to(common.stored(before, "windows-before"), PARTS_IN_MEMORY)
+    nth, size = F.col("before") + F.col("nth"), F.col("window").cast("long")
+    step = F.floor(nth * size / F.lit(STEP_TOKENS)).cast("long")
+    of_size = F.array_position(F.array(*[F.lit(w) for w in WINDOWS]), F.col("window")) - 1
+    return rows.join(side, ["window", "packer"]).withColumn("step_group", step * len(WINDOWS) + of_size).select(*COLUMNS)
 
 
 def default_tokenizer() -> str:

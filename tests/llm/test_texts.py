@@ -128,10 +128,18 @@ def check_packing(df):
     assert not any(row for starts in spare.values() for row in starts.values())
     sizes = [sum(p["length"] for p in row) for row in by.values()]
     assert sum(s & (s - 1) > 0 for s in sizes) <= 1
+    assert len({(p["sequence_id"], p["window"], p["step_group"]) for p in pieces}) == len(by)
+    steps, sizes_of = {}, {}
+    for row in by.values():
+        steps[row[0]["step_group"]] = steps.get(row[0]["step_group"], 0) + row[0]["window"]
+        sizes_of.setdefault(row[0]["step_group"], set()).add(row[0]["window"])
+    assert all(len(s) == 1 for s in sizes_of.values()) and max(steps.values()) == packing.STEP_TOKENS or len(by) < 64
+    assert sum(n < packing.STEP_TOKENS for n in steps.values()) <= len(packing.WINDOWS)
 
 
 def test_packing(docs, odd_docs, no_docs):
     check_packing(docs.limit(200).repartition(5))
+    check_packing(docs.limit(400).repartition(40))
     check_packing(odd_docs)
     assert packing.packed(no_docs, packing.default_tokenizer()).count() == 0
 
