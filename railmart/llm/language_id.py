@@ -25,8 +25,8 @@ from railmart.llm import common
 
 PER_LANGUAGE = 300
 LANDMARKS = 60
-LONGEST = 20_000
-MOST_LANGUAGES = 200
+SAMPLE = 24_000
+MIN_EACH = 4
 RIDGE = 1e-2
 SHARPNESS = 8.0
 SPACE = (1 << 24) + (1 << 16) + (1 << 8)
@@ -102,9 +102,10 @@ def fitted(sets: list[np.ndarray], labels: list[str]) -> Model:
 def train(docs: DataFrame) -> Model | None:
     """docs: text and lang of the rows to learn from, and doc_id, which only picks the sample."""
     key = F.xxhash64(F.lit("language"), F.col("doc_id").cast("string"))
-    usable = docs.filter("lang IS NOT NULL AND text IS NOT NULL").filter(F.octet_length("text").between(1, LONGEST))
-    known = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
-    share = F.broadcast(known.select("lang", (F.lit(3.0 * PER_LANGUAGE) / F.col("n")).alias("share")))
+    usable = docs.filter("lang IS NOT NULL AND text <> ''")
+    known = common.stored(usable.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    each = max(MIN_EACH, min(PER_LANGUAGE, SAMPLE // max(1, known.count())))
+    share = common.broadcast_up_to(known.select("lang", (F.lit(3.0 * each) / F.col("n")).alias("share")), SAMPLE)
     drawn = usable.join(share, "lang").filter((F.pmod(key, F.lit(1 << 30)) / F.lit(float(1 << 30))) < F.col("share"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +116,7 @@ def train(docs: DataFrame) -> Model | None:
 
     picked = drawn.select("lang", key.alias("key"), "text").mapInArrow(sets, "lang string, key long, codes binary")
     ordered = picked.withColumn("at", F.expr("row_number() OVER (PARTITION BY lang ORDER BY key, codes)"))
-    got = sorted(ordered.filter(F.col("at") <= PER_LANGUAGE).collect(), key=lambda r: (r["lang"], r["at"]))
+    got = sorted(ordered.filter(F.col("at") <= each).collect(), key=lambda r: (r["lang"], r["at"]))
     if not got:
         return None
     return fitted([np.frombuffer(r["codes"], np.int32) for r in got], [r["lang"] for r in got])
