@@ -24,8 +24,6 @@ MIN_WORDS = 50
 MIN_CHARS = 200
 MOST_CHAR_DISTANCE = 0.35
 MOST_WORD_DISTANCE = 0.48
-MIN_REFERENCE_WORDS = 1_000
-MOST_LANGUAGES = 256
 FLUSH = 1 << 21
 SYMBOLS = b"#*$%&|<>"
 CLASSES = ("lower", "upper", "digit", "space", "line", "stop", "symbol", "other", "control", "two", "three", "four")
@@ -106,8 +104,8 @@ def divergence(shares: np.ndarray, reference: np.ndarray) -> np.ndarray:
 def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """By language: shares of the character classes, hashes of the common words, their shares (the last one: all others).
 
-    Every document counts. Tasks send counts by language and word; only the leading words of each language and one row of sums for each
-    reach the driver. The MOST_LANGUAGES languages with the most words get a reference."""
+    Every document counts and every language with a word has a reference. Tasks send counts by language and word; only the leading words of
+    each language and its sums reach the driver, COMMON + 13 rows a language."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: dict[str, int] = {}
@@ -147,18 +145,19 @@ def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.nd
 
     sums = docs.select("lang", "text").mapInArrow(counted, "lang string, kind int, word long, n long")
     sums = common.stored(sums.groupBy("lang", "kind", "word").agg(F.sum("n").alias("n")), "word-counts")
-    words = sums.filter("kind IS NULL")
-    total = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()}
+    words = sums.filter("kind IS NULL").select("lang", "word", "n")
+    total = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     chars: dict[str, np.ndarray] = {}
-    for r in sums.filter("kind IS NOT NULL").filter(F.col("lang").isin(list(total))).collect():
+    for r in sums.filter("kind IS NOT NULL").collect():
         chars.setdefault(r["lang"], np.zeros(len(CLASSES)))[r["kind"]] = r["n"]
+    top: dict[str, list] = {}
+    ranked = words.withColumn("place", F.expr("row_number() OVER (PARTITION BY lang ORDER BY n DESC, word)"))
+    for r in ranked.filter(F.col("place") <= COMMON).collect():
+        top.setdefault(r["lang"], []).append((r["word"], r["n"]))
     out = {}
-    for lang, n in total.items():
-        if n < MIN_REFERENCE_WORDS:
-            continue
-        top = words.filter(F.col("lang") == lang).orderBy(F.desc("n"), "word").limit(COMMON).collect()
-        keys = np.array([r["word"] for r in top], np.int64).view(np.uint64)
-        share = np.array([r["n"] for r in top], np.float64) / n
+    for lang, n in sorted(total.items()):
+        keys = np.array([w for w, _ in top[lang]], np.int64).view(np.uint64)
+        share = np.array([m for _, m in top[lang]], np.float64) / n
         order = np.argsort(keys)
         out[lang] = (chars[lang] / chars[lang].sum(), keys[order], np.append(share[order], max(0.0, 1 - share.sum())))
     return out
