@@ -9,6 +9,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -49,12 +50,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where it is unset (tests, one machine) a new temporary one."""
+    """The folder named in spark.checkpoint.dir. Where it is unset, a new temporary one if all tasks run in the driver, else an error."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         java = spark._jsc.sc().getCheckpointDir()
         at = java.get() if java.isDefined() else None
     if not at:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         at = f"file://{tempfile.mkdtemp(prefix='railmart-')}"
         spark.sparkContext.setCheckpointDir(at)
     return at

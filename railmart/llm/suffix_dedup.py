@@ -310,9 +310,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return joined.mapInArrow(remove, T.StructType([mine.schema["doc_id"], mine.schema["rest"], texts[0], *longs, texts[1]]))
 
 
-def cleaned(docs: DataFrame) -> DataFrame:
+def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The columns of docs; text is what is left, and n_chars, if there, its length. Every row stays."""
-    left = common.unpacked(without_repeats(docs), docs.columns, "doc_id", "text")
+    left = common.unpacked(without_repeats(docs, length), docs.columns, "doc_id", "text")
     if "n_chars" in docs.columns:
         changed = F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType)
         left = left.withColumn("n_chars", F.when(F.col("n_chars").isNull(), F.col("n_chars")).otherwise(changed))

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from railmart.llm import induced, ngram_join, suffix_dedup
 
@@ -154,3 +155,38 @@ def test_cleaned_keeps_rows_and_columns(odd_docs):
     assert left.columns == odd_docs.columns and left.count() == odd_docs.count()
     texts = {r["doc_id"]: (r["text"], r["n_chars"], r["key"]) for r in left.collect()}
     assert texts[4][0] is None and texts[1] == ("", 0, "x") and texts[2][1] is None and texts[8][1] > 100_000
+
+
+def test_members_of_different_components_meet_once(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 3)
+    rows = [(w, n, root) for w in (1, 2) for n, root in enumerate([5] * 11 + [20, 21, 21, 22, 23, 23, 23] if w == 1 else [5, 6])]
+    cells = ngram_join.dealt(spark.createDataFrame(rows, "word long, node long, root long")).collect()
+    met = [(a["word"], a["node"], b["node"]) for a in cells for b in cells
+           if a["cell"] == b["cell"] and a["node"] < b["node"] and a["root"] != b["root"] and (a["side"] != b["side"] or a["side"] < 0)]
+    want = [(w, m, n) for w, m, a in rows for v, n, b in rows if w == v and m < n and a != b]
+    assert sorted(met) == sorted(want)
+
+
+def test_a_dense_group_writes_spanning_links_only(spark):
+    """Near copies around the threshold share many words; links within cells stay under the number of members."""
+    rng = random.Random(9)
+    base, rows = [f"q{i}" for i in range(120)], []
+    for _ in range(150):
+        text = list(base)
+        for _ in range(rng.choice([1, 1, 2, 3])):
+            text[rng.randrange(len(text))] = f"n{rng.random()}"
+        rows.append(" ".join(text))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    check_groups(docs)
+    nodes = ngram_join.common.stored(ngram_join.sketched(docs), "test")
+    facts = nodes.select("node", "n", "bits")
+    met = ngram_join.meetings(nodes).select("word", "node").withColumn("root", F.col("node"))
+    members = ngram_join.still_open(ngram_join.dealt(met), facts)
+    once = ngram_join.still_open(members, facts, first_only=True)
+    sets = ngram_join.sets_of(docs, nodes, nodes.select("node"))
+    all_links, few_links = (ngram_join.joined_in_cells(m, sets).collect() for m in (members, once))
+    assert once.count() < members.count() / 3
+    for cells, links in ((members, all_links), (once, few_links)):
+        assert len(links) < cells.count()
+    sizes = [{r["root"]: r["n"] for r in ngram_join.components(spark.createDataFrame(x)).groupBy("root").agg(F.count("*").alias("n")).collect()} for x in (all_links, few_links)]
+    assert sizes[0] == sizes[1]
