@@ -298,6 +298,26 @@ FROM c_delays LEFT JOIN dim_lines l USING (line_name) LEFT JOIN dim_stations s U
         f"SELECT '{table}' AS table_name, {KEY} AS date_key, count(*) AS records, count(*) AS ids FROM {rows} WHERE date IS NOT NULL GROUP BY 1, 2"
         for table, rows in (("fact_ridership", "c_ridership"), ("fact_delays", "c_delays"))
     ),
+    # Each batch is cleaned by itself, with its own limits, median and first rows.
+    "full_load_split_day": f"""
+SELECT 'fact_ridership' AS table_name, {KEY} AS date_key, count(*) AS records, count(*) AS ids,
+  CAST(sum(floor(least(e, el)) + floor(least(x, xl))) AS BIGINT) AS total
+FROM (SELECT *, CAST(datetime AS DATE) AS date, ingest_seq % 2 AS half,
+    row_number() OVER (PARTITION BY ingest_seq % 2, datetime, station_name, line_name ORDER BY ingest_seq) AS nth FROM n_ridership)
+JOIN (SELECT ingest_seq % 2 AS half, avg(e) + 3 * stddev_samp(e) AS el, avg(x) + 3 * stddev_samp(x) AS xl FROM n_ridership GROUP BY 1) USING (half)
+WHERE nth = 1 AND date IS NOT NULL GROUP BY 2
+UNION ALL
+SELECT 'fact_delays', {KEY}, count(*), count(*), CAST(sum(floor(coalesce(m, middle))) AS BIGINT)
+FROM (SELECT *, CAST(incident_datetime AS DATE) AS date, ingest_seq % 2 AS half,
+    row_number() OVER (PARTITION BY ingest_seq % 2, incident_datetime, line_name, delay_reason ORDER BY ingest_seq) AS nth FROM n_delays)
+JOIN (SELECT ingest_seq % 2 AS half, median(m) AS middle FROM n_delays GROUP BY 1) USING (half)
+WHERE nth = 1 AND date IS NOT NULL GROUP BY 2""",
+    "full_load_quarantine": """
+SELECT what, count(*) AS records
+FROM (SELECT DISTINCT CASE WHEN ingest_seq % 7 < 2 THEN 'no calendar day' WHEN ingest_seq % 7 = 2 THEN 'missing date' ELSE 'loaded' END AS what,
+    CASE WHEN ingest_seq % 7 < 2 THEN CAST(ingest_seq % 7 AS VARCHAR) WHEN ingest_seq % 7 > 2 THEN CAST(incident_datetime AS VARCHAR) END AS day,
+    line_name, delay_reason FROM n_delays) GROUP BY 1
+UNION ALL SELECT 'calendar', DATE '2026-12-31' - DATE '2024-01-01' + 1""",
     "sample_severity": """
 SELECT CASE WHEN delay_duration_minutes <= 5 THEN 'Low' WHEN delay_duration_minutes <= 30 THEN 'Medium'
   WHEN delay_duration_minutes > 30 THEN 'High' END AS severity_level,

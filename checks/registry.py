@@ -268,7 +268,7 @@ def full_load_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
             raise RuntimeError(result["errors"])
     counts = []
     for table, serial in (("fact_ridership", "ridership_id"), ("fact_delays", "delay_id")):
-        rows = spark.read.parquet(f"{folder}/{table}")
+        rows = full_load.read_table(spark, folder, table)
         counts.append(
             rows.groupBy(F.lit(table).alias("table_name"), "date_key").agg(
                 F.count(F.lit(1)).alias("records"), F.countDistinct(serial).alias("ids")
@@ -277,6 +277,38 @@ def full_load_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].unionByName(counts[1])
 
 
+def full_load_split_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ridership and delays loaded in two batches that both hold rows of every day, the second batch twice."""
+    folder = sinks.shared_folder(spark, "full_load")
+    feeds = {name: adapters.feed(spark, sf_dir, name) for name in ("stations", "ridership", "delays")}
+    for batch in ("odd", "even", "even"):
+        part = {name: df if name == "stations" else df.filter((F.col("ingest_seq") % 2 == 0) == F.lit(batch == "even")) for name, df in feeds.items()}
+        result = full_load.run(spark, part, folder, order_by="ingest_seq", batch=batch)
+        if result["status"] != "completed":
+            raise RuntimeError(result["errors"])
+    rides, delays = (full_load.read_table(spark, folder, t) for t in ("fact_ridership", "fact_delays"))
+    ids = lambda serial: [F.count(F.lit(1)).alias("records"), F.countDistinct(serial).alias("ids")]
+    names = lambda t: F.lit(t).alias("table_name")
+    rides = rides.groupBy(names("fact_ridership"), "date_key").agg(*ids("ridership_id"), F.sum("total_traffic").alias("total"))
+    delays = delays.groupBy(names("fact_delays"), "date_key").agg(*ids("delay_id"), F.sum("delay_duration_minutes").alias("total"))
+    return rides.unionByName(delays)
+
+
+def full_load_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delays of which some have no date or an impossible one: what is loaded, what is refused and why, and the calendar's days."""
+    folder = sinks.shared_folder(spark, "full_load")
+    feed = adapters.feed(spark, sf_dir, "delays")
+    seq = F.col("ingest_seq")
+    day = F.when(seq % 7 == 0, F.lit("9999-12-31")).when(seq % 7 == 1, F.lit("0001-01-01")).when(seq % 7 == 2, F.lit("soon")).otherwise(F.col("start_date"))
+    result = full_load.run(spark, {"delays": feed.withColumn("start_date", day)}, folder, order_by="ingest_seq", batch="junk")
+    if result["status"] != "completed":
+        raise RuntimeError(result["errors"])
+    refused = full_load.read_table(spark, folder, "quarantine").select(F.col("error_message").alias("what"))
+    loaded = full_load.read_table(spark, folder, "fact_delays").select(F.lit("loaded").alias("what"))
+    days = spark.read.parquet(f"{folder}/dim_date").select(F.lit("calendar").alias("what"))
+    return refused.union(loaded).union(days).groupBy("what").agg(F.count(F.lit(1)).alias("records"))
+
+
 def sample_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delays binned again by the sample profile."""
     rows = load.rebin(star_of(spark, sf_dir).delays, "sample")
@@ -370,6 +402,8 @@ LOADS: dict[str, Query] = {
     "load_ridership_large": load_ridership(large=True),
     "load_delays_large": load_delays(large=True),
     "full_load_two_days": full_load_two_days,
+    "full_load_split_day": full_load_split_day,
+    "full_load_quarantine": full_load_quarantine,
     "sample_severity": sample_severity,
     "cleaning_counts": cleaning_counts,
     "load_performance": load_performance("listed"),

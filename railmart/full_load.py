@@ -12,12 +12,17 @@ from pyspark.sql import functions as F
 from railmart.operators import load
 from railmart.operators.clean import CleaningStats, clean_all
 from railmart.operators.dims import date_dimension, line_dimension, time_dimension
-from railmart.schemas import DIM_STATIONS, ETL_LOG, FACT_DELAYS, FACT_PERFORMANCE, FACT_RIDERSHIP, Schema, read_schema
+from railmart.schemas import (
+    DIM_STATIONS, ETL_LOG, FACT_DELAYS, FACT_PERFORMANCE, FACT_RIDERSHIP, QUARANTINE, conform, read_schema,
+)
 from railmart.sources import sinks
+from railmart.sources.parts import PartTable
 
 JOB, KIND = "transit_etl", "full_load"
-MONTH = "month_key"
 DIM_START, DIM_END = dt.date(2024, 1, 1), dt.date(2026, 12, 31)
+# Days that a feed may name; the calendar never grows beyond them, and rows of other days go to the quarantine.
+BELIEVED = (dt.date(2000, 1, 1), dt.date(2049, 12, 31))
+STATION_PARTS = 8
 
 # Order matters: facts look up the stations loaded before them.
 TARGETS = {
@@ -28,85 +33,118 @@ TARGETS = {
 }
 
 
-def stored(spark: SparkSession, path: str | None, schema: Schema) -> DataFrame:
-    if path is None:
-        return spark.createDataFrame([], read_schema(schema))
-    return spark.read.schema(read_schema(schema)).parquet(path)
+def table_at(spark: SparkSession, folder: str, name: str) -> PartTable:
+    """One of the star's loaded tables below ``folder``, or its quarantine."""
+    month = F.floor(F.col("date_key") / 100)
+    bucket = F.pmod(F.xxhash64("station_name"), F.lit(STATION_PARTS))
+    by_day = ("date_key", "time_key", "station_id")
+    tables = {
+        "dim_stations": (DIM_STATIONS, bucket, "station_id", ()),
+        "fact_ridership": (FACT_RIDERSHIP, month, "ridership_id", by_day),
+        "fact_delays": (FACT_DELAYS, month, "delay_id", by_day),
+        "fact_performance": (FACT_PERFORMANCE, month, "performance_id", ("date_key", "line_id")),
+        "quarantine": (QUARANTINE, F.lit(0), None, ()),
+    }
+    schema, key, serial, order = tables[name]
+    return PartTable(spark, f"{folder}/{name}", schema, key, serial, order)
+
+
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The committed rows of a table."""
+    return table_at(spark, folder, name).read()
+
+
+def content_name(df: DataFrame) -> str:
+    """A batch's name from its rows, whatever their order; for feeds that come without one."""
+    row = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in df.columns])
+    n, total, mixed = df.agg(F.count(F.lit(1)), F.sum(row.cast("decimal(20,0)")), F.bit_xor(F.xxhash64(row, F.lit(1)))).first()
+    return f"content-{n}-{total}-{mixed}"
+
+
+def gated(rows: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Fact rows with an ``_error`` where a key has no row in its dimension. Both dimensions have a bounded size."""
+    days = dims["dim_date"].select(F.col("date_key").alias("_day"))
+    out = rows.join(F.broadcast(days), F.col("date_key") == F.col("_day"), "left")
+    errors = [F.when(F.col("_day").isNull(), F.lit("no calendar day"))]
+    if "time_key" in rows.columns:
+        times = dims["dim_time"].select(F.col("time_key").alias("_time"))
+        out = out.join(F.broadcast(times), F.col("time_key") == F.col("_time"), "left")
+        errors.append(F.when(F.col("time_key").isNotNull() & F.col("_time").isNull(), F.lit("no time of day")))
+    return out.withColumn("_error", F.coalesce(*errors)).select(*rows.columns, "_error")
+
+
+def undated(df: DataFrame, dataset: str) -> DataFrame:
+    """Quarantine rows for records without a date."""
+    return sinks.split_rejected(df, F.when(F.col("date").isNull(), F.lit("missing date")), dataset)[1]
 
 
 def load_frames(
     spark: SparkSession,
     clean: Mapping[str, DataFrame],
     folder: str,
-    lines: DataFrame,
+    dims: Mapping[str, DataFrame],
+    batches: Mapping[str, str],
     existing: Mapping[str, str] | None = None,
     order_by: str | None = None,
     source: str = "api",
-) -> dict[str, int]:
-    """Write the star tables below ``folder`` in order and return the rows written per feed.
+) -> tuple[dict[str, int], int]:
+    """Load the star tables below ``folder`` in order; returns the rows written per feed and the rows quarantined.
 
-    Stations and performance are upserted into what the folder holds, or into the tables ``existing`` names; the merged
-    version is written beside the table before it takes its place. Ridership and delays are appended by month: rows the
-    table already holds as often as the feed has them are left out, so a repeated load adds nothing, and ids continue
-    above the largest one. Counts are rows written; they come from the written files.
+    Each write is committed together with its batch's name, so a batch that comes again adds nothing and one that stopped
+    midway is loaded as a whole, while equal rows of two batches all stay. Facts are appended. Stations and performance are
+    merged into the buckets and months that the feed touches; other parts keep their files. ``existing`` names earlier
+    tables (in parts, or plain Parquet) to start from. Rows without a date, or whose day or time is not in its dimension, go to the quarantine.
     """
-    existing = dict(existing or {})
-    for table in TARGETS.values():
-        if table not in existing and sinks.path_exists(spark, f"{folder}/{table}"):
-            existing[table] = f"{folder}/{table}"
+    lines = dims["dim_subway_lines"]
+    quarantine = table_at(spark, folder, "quarantine")
     counts: dict[str, int] = {}
-    stations = stored(spark, existing.get("dim_stations"), DIM_STATIONS)
+    refused = 0
     for name, table in TARGETS.items():
+        target = table_at(spark, folder, table)
+        if existing and table in existing and not target.manifest().version:
+            held = PartTable(spark, existing[table], target.schema, target.key)
+            plain = spark.read.schema(read_schema(target.schema))
+            earlier = held.read() if held.manifest().version else plain.parquet(existing[table])
+            target.replace(conform(earlier, target.schema), [], "existing")
         if name not in clean:
             continue
-        df = clean[name]
+        df, batch = clean[name], batches[name]
         if name == "stations":
-            rows = load.load_stations(df, stations, order_by)
-        elif name == "ridership":
-            rows = load.load_ridership(df, lines, stations, source)
-            counts[name] = append_fact(spark, rows, f"{folder}/{table}", "ridership_id", FACT_RIDERSHIP)
-            continue
-        elif name == "delays":
-            rows = load.load_delays(df, lines, stations)
-            counts[name] = append_fact(spark, rows, f"{folder}/{table}", "delay_id", FACT_DELAYS)
+            touched = target.keys_of(df.filter(F.col("station_name").isNotNull()))
+            rows = load.load_stations(df, target.read(touched), order_by, last_id=target.manifest().last_id)
+            counts[name] = target.replace(rows, touched, batch)
             continue
+        stations = read_table(spark, folder, "dim_stations")
+        if name == "performance":
+            marked = sinks.stored(gated(load.dated(df), {"dim_date": dims["dim_date"]}), "performance-rows")
+        elif name == "ridership":
+            marked = sinks.stored(gated(load.load_ridership(df, lines, stations, source), dims), "ridership-rows")
         else:
-            before = stored(spark, existing.get("fact_performance"), FACT_PERFORMANCE)
-            rows = load.load_performance(df, lines, before, order_by)
-        path = f"{folder}/{table}"
-        merged = f"{folder}/_merged/{table}"
-        rows.write.mode("overwrite").parquet(merged)
-        spark.read.parquet(merged).write.mode("overwrite").parquet(path)
-        counts[name] = spark.read.parquet(path).count()
-        if name == "stations":
-            stations = stored(spark, path, DIM_STATIONS)
-    return counts
-
-
-def append_fact(spark: SparkSession, rows: DataFrame, path: str, serial: str, schema: Schema) -> int:
-    """Append what the stored fact does not hold yet, in folders by month; returns the number of rows added."""
-    month = F.floor(F.col("date_key") / 100).cast("int")
-    content = [c for c in rows.columns if c not in (serial, "created_at")]
-    new, start = rows.select(*content), F.lit(0).cast("long")
-    if sinks.path_exists(spark, path):
-        held = spark.read.schema(read_schema({**schema, MONTH: "INT"})).parquet(path)
-        months = new.select(month.alias(MONTH)).distinct()
-        new = new.exceptAll(held.join(months, MONTH, "left_semi").select(*content))
-        start = F.coalesce(held.agg(F.max(serial)).scalar(), F.lit(0))
-    new = new.withColumn("created_at", F.current_timestamp()).withColumn(MONTH, month)
-    new = new.repartitionByRange(MONTH, "date_key", "time_key", "station_id").sortWithinPartitions("date_key", "time_key", "station_id")
-    # Stored first, so that ids and counts belong to rows that will not be computed again.
-    fresh = sinks.stored(new.withColumn(serial, F.monotonically_increasing_id()), "new-rows")
-    added = fresh.count()
-    fresh.withColumn(serial, F.col(serial) + 1 + start).select(*rows.columns, MONTH).write.mode("append").partitionBy(MONTH).parquet(path)
-    return added
+            marked = sinks.stored(gated(load.load_delays(df, lines, stations), dims), "delay-rows")
+        good, bad = parted(marked, name)
+        refused += quarantine.append(bad.unionByName(undated(df, name)), f"{name}-{batch}")
+        if name == "performance":
+            touched = target.keys_of(good)
+            good = load.load_performance(good, lines, target.read(touched), order_by, last_id=target.manifest().last_id)
+            counts[name] = target.replace(good, touched, batch)
+        else:
+            counts[name] = target.append(good, batch)
+    return counts, refused
+
+
+def parted(marked: DataFrame, dataset: str) -> tuple[DataFrame, DataFrame]:
+    """Good rows, and quarantine rows of those with an ``_error``."""
+    good, bad = sinks.split_rejected(marked, F.col("_error"), dataset)
+    return good.drop("_error"), bad
 
 
 def days_of(frames: Mapping[str, DataFrame], start: dt.date, end: dt.date) -> tuple[dt.date, dt.date]:
-    """The stated range, widened to the days the frames hold."""
+    """The stated range, widened to the believable days the frames hold."""
     for df in frames.values():
         if "date" in df.columns:
-            first, last = df.agg(F.min(F.to_date("date")), F.max(F.to_date("date"))).first()
+            day = F.to_date("date")
+            believed = F.when(day.between(*map(F.lit, BELIEVED)), day)
+            first, last = df.agg(F.min(believed), F.max(believed)).first()
             if first is not None:
                 start, end = min(start, first), max(end, last)
     return start, end
@@ -132,8 +170,13 @@ def run(
     existing: Mapping[str, str] | None = None,
     order_by: str | None = None,
     source: str = "api",
+    batch: str | None = None,
 ) -> dict[str, Any]:
-    """The whole job. Cleaned frames are stored before they are loaded, so a lost executor repeats one step only."""
+    """The whole job. ``batch`` names what is loaded, such as a landed folder or a day of delivery; without it each feed's rows do.
+
+    A feed whose table has the batch is left out before it is cleaned. Cleaned frames are stored before they are loaded, so a
+    lost executor repeats one step only.
+    """
     started = dt.datetime.now()
     log = f"{folder}/etl_log"
 
@@ -144,17 +187,20 @@ def run(
     audit()
     try:
         stats: dict[str, CleaningStats] = {}
-        cleaned = clean_all(dict(raw), order_by, stats)
+        batches = {name: batch or content_name(df) for name, df in raw.items()}
+        todo = {name: df for name, df in raw.items() if not table_at(spark, folder, TARGETS[name]).has(batches[name])}
+        cleaned = clean_all(todo, order_by, stats)
         paths = sinks.write_frames(cleaned, f"{folder}/processed", "_cleaned", fmt="parquet")
         cleaning = {name: s.get() for name, s in stats.items()}
         clean = {name: spark.read.parquet(path) for name, path in paths.items()}
         held = f"{folder}/dim_date"
         known = {"held": spark.read.parquet(held).select(F.col("full_date").alias("date"))} if sinks.path_exists(spark, held) else {}
         dims = build_dimensions(spark, folder, *days_of({**clean, **known}, DIM_START, DIM_END))
-        counts = load_frames(spark, clean, folder, dims["dim_subway_lines"], existing, order_by, source)
+        counts, refused = load_frames(spark, clean, folder, dims, batches, existing, order_by, source)
+        counts = {name: counts.get(name, 0) for name in TARGETS if name in raw}
         processed = sum(s["total_records"] for s in cleaning.values())
-        result = {"status": "completed", "tables_loaded": counts, "cleaning": cleaning}
-        audit(end=dt.datetime.now(), status="completed", processed=processed, inserted=sum(counts.values()), details=result)
+        result = {"status": "completed", "tables_loaded": counts, "quarantined": refused, "cleaning": cleaning}
+        audit(end=dt.datetime.now(), status="completed", processed=processed, inserted=sum(counts.values()), failed=refused, details=result)
         return result
     except Exception as error:
         audit(end=dt.datetime.now(), status="failed", error=str(error))

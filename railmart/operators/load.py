@@ -73,12 +73,14 @@ def upsert(
     serial: str | None = None,
     recompute: dict[str, Column] | None = None,
     append: DataFrame | None = None,
+    last_id: int | None = None,
 ) -> DataFrame:
     """Merge ``incoming`` (each key once, no NULL keys) into ``existing``.
 
     A match takes ``updates`` from the incoming row and keeps the rest; new keys are added with an id in ``serial``.
     Rows with a NULL key never match. New ones come in ``append``; they and stored ones skip the join, so they cannot
-    pile up in one of its tasks. ``recompute`` holds stored generated columns, evaluated on the merged row.
+    pile up in one of its tasks. ``recompute`` holds stored generated columns, evaluated on the merged row. ``last_id`` is
+    the largest id given so far, where ``existing`` is only a part of the table.
     """
     keys = list(keys)
     columns = existing.columns
@@ -104,7 +106,7 @@ def upsert(
         out = out.unionByName(aligned(append.drop(serial) if serial else append, existing))
     if serial:
         # Numbered once, after the branches have met.
-        start = F.coalesce(existing.agg(F.max(serial)).scalar(), F.lit(0))
+        start = F.coalesce(existing.agg(F.max(serial)).scalar(), F.lit(0)) if last_id is None else F.lit(last_id).cast("long")
         out = out.withColumn(serial, F.coalesce(F.col(serial), start + 1 + F.monotonically_increasing_id()))
     if recompute:
         kinds = dict(existing.dtypes)
@@ -126,7 +128,7 @@ def laid_out(rows: DataFrame, serial: str, by: Sequence[str] = ("date_key", "tim
 # --- Stations ---------------------------------------------------------------------------------------------------
 
 
-def load_stations(df: DataFrame, existing: DataFrame, order_by: str | None = None) -> DataFrame:
+def load_stations(df: DataFrame, existing: DataFrame, order_by: str | None = None, last_id: int | None = None) -> DataFrame:
     """Insert stations by name; on a match borough, coordinates and ``updated_at`` change, nothing else."""
     named = df.filter(F.col("station_name").isNotNull())
     last = keep_one(named, ["station_name"], order_by, last=True)
@@ -134,7 +136,7 @@ def load_stations(df: DataFrame, existing: DataFrame, order_by: str | None = Non
     now = F.current_timestamp()
     rows = rows.withColumn("ada_accessible", column_or(rows, "ada_accessible", F.lit(False)).cast("boolean"))
     rows = conform(rows.withColumns({"created_at": now, "updated_at": now}), DIM_STATIONS)
-    return upsert(conform(existing, DIM_STATIONS), rows, ["station_name"], STATION_UPDATES, "updated_at", "station_id")
+    return upsert(conform(existing, DIM_STATIONS), rows, ["station_name"], STATION_UPDATES, "updated_at", "station_id", last_id=last_id)
 
 
 # --- Facts ------------------------------------------------------------------------------------------------------
@@ -239,7 +241,7 @@ def on_time_percentage() -> Column:
 
 def load_performance(
     df: DataFrame, lines: DataFrame, existing: DataFrame, order_by: str | None = None, update: str = "listed",
-    small: frozenset[str] | None = None,
+    small: frozenset[str] | None = None, last_id: int | None = None,
 ) -> DataFrame:
     """Upsert by day and line; the last row of a key in the batch wins.
 
@@ -262,7 +264,7 @@ def load_performance(
     return upsert(
         conform(existing, FACT_PERFORMANCE), conform(known, FACT_PERFORMANCE), ["date_key", "line_id"], updates,
         serial="performance_id", recompute={"on_time_percentage": on_time_percentage()},
-        append=conform(unknown, FACT_PERFORMANCE),
+        append=conform(unknown, FACT_PERFORMANCE), last_id=last_id,
     )
 
 

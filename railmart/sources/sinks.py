@@ -177,12 +177,13 @@ def audit_row(
     status: str = "running",
     processed: int = 0,
     inserted: int = 0,
+    failed: int = 0,
     error: str | None = None,
     details: Mapping[str, Any] | None = None,
 ) -> DataFrame:
     """One row of the job log; details are kept as JSON."""
     text = json.dumps(dict(details or {}), default=str)
-    row = [(job, kind, start, end, status, processed, inserted, 0, 0, error, text)]
+    row = [(job, kind, start, end, status, processed, inserted, 0, failed, error, text)]
     return spark.createDataFrame(row, read_schema(ETL_LOG))
 
 

@@ -233,8 +233,8 @@ def test_two_days_and_a_repeat_in_one_folder(spark, tmp_path):
         assert result["status"] == "completed", result
     assert result["tables_loaded"]["ridership"] == 0
     for table, serial, n in (("fact_ridership", "ridership_id", 6), ("fact_delays", "delay_id", 4)):
-        rows = spark.read.parquet(f"{folder}/{table}")
+        rows = full_load.read_table(spark, folder, table)
         assert rows.count() == rows.select(serial).distinct().count() == n
     dates = spark.read.parquet(f"{folder}/dim_date")
-    assert spark.read.parquet(f"{folder}/fact_delays").join(dates, "date_key", "left_anti").count() == 0
-    assert spark.read.parquet(f"{folder}/dim_stations").count() == 1
+    assert full_load.read_table(spark, folder, "fact_delays").join(dates, "date_key", "left_anti").count() == 0
+    assert full_load.read_table(spark, folder, "dim_stations").count() == 1

@@ -169,13 +169,13 @@ def test_full_load(spark, sample_folder, tmp_path):
     assert result["status"] == "completed", result
     assert result["tables_loaded"] == {"stations": 2, "ridership": 2, "delays": 1, "performance": 1}
     assert result["cleaning"]["ridership"]["duplicates_removed"] == 1
-    rides = spark.read.parquet(f"{out}/fact_ridership")
+    rides = full_load.read_table(spark, out, "fact_ridership")
     assert bag(rides.select("date_key", "time_key", "line_id", "entries", "data_source")) == [
         (20250105, 800, 8, 100, "sample"), (20250106, 900, None, 50, "sample"),
     ]
     assert rides.filter("station_id IS NULL").count() == 0
     assert rides.select("ridership_id").distinct().count() == 2
-    delay = spark.read.parquet(f"{out}/fact_delays").first()
+    delay = full_load.read_table(spark, out, "fact_delays").first()
     assert (delay.time_key, delay.severity_level, delay.resolution_time_minutes) == (1700, "Medium", 20)
     log = full_load.read_log(spark, out)
     assert bag(log.select("status", "records_processed", "records_inserted")) == [("completed", 7, 6), ("running", 0, 0)]
@@ -187,7 +187,7 @@ def test_full_load(spark, sample_folder, tmp_path):
         existing={"dim_stations": f"{out}/dim_stations", "fact_performance": f"{out}/fact_performance"},
     )
     assert again["tables_loaded"]["stations"] == 2
-    ids = [bag(spark.read.parquet(f"{p}/dim_stations").select("station_id", "station_name")) for p in (out, str(tmp_path / "again"))]
+    ids = [bag(full_load.read_table(spark, p, "dim_stations").select("station_id", "station_name")) for p in (out, str(tmp_path / "again"))]
     assert ids[0] == ids[1]
     assert spark.read.parquet(f"{out}/dim_date").agg(F.min("date_key"), F.max("date_key")).first()[:] == (20240101, 20261231)
 
