@@ -1,8 +1,9 @@
 """Ranks and exact medians over sets of any size.
 
 A window without partitions puts its whole input in one task. Here values are first reduced to one row per distinct
-value, then cut into order-preserving buckets; the bucket totals (at most a few ten thousand per group, because a
-double has a bounded exponent) are accumulated in one small window, and each bucket is ordered on its own.
+value and then sorted by sample: splitters taken from the data cut them into ordered buckets of about equal numbers of
+values, wherever the values lie. The bucket totals (BUCKETS at most per group) are accumulated in one small window, and
+each bucket is ordered on its own.
 """
 
 from __future__ import annotations
@@ -14,19 +15,34 @@ from pyspark.sql import functions as F
 
 from railmart.operators.lookup import hot_keys, lookup
 
-STEPS_PER_OCTAVE = 256
+BUCKETS = 256
+STRIDE = 16
+SAMPLE = 4096
 
 
-def bucket(v: Column) -> Column:
-    """Monotone step function of a number: equal or larger values never land in a smaller bucket."""
-    x = F.when(v.isNotNull(), F.least(F.greatest(v.cast("double"), F.lit(-1e308)), F.lit(1e308)))
-    return (F.signum(x) * F.floor(F.log2(F.abs(x) + 1) * STEPS_PER_OCTAVE)).cast("int")
+def splitters(values: DataFrame, value: str) -> DataFrame:
+    """One row with the ordered splitters of a column, fewer than BUCKETS: about SAMPLE values, drawn by hash, thinned out.
+
+    The draw depends on the values alone, so every evaluation, also one repeated by another executor, gives the same.
+    """
+    rows = values.agg(F.count(F.lit(1))).scalar()
+    drawn = values.filter(F.pmod(F.xxhash64(value), F.lit(1 << 30)) * rows < F.lit(SAMPLE << 30))
+    found = drawn.agg(F.array_sort(F.collect_set(value)).alias("_all"))
+    return found.select(F.expr(f"filter(_all, (x, i) -> i % (1 + size(_all) div {BUCKETS}) = 0)").alias("_splitters"))
+
+
+def bucket(v: Column, of: Column) -> Column:
+    """How many splitters are not above the value, found in two steps; larger values never land in a smaller bucket."""
+    coarse = F.filter(of, lambda x, i: (i % STRIDE == STRIDE - 1) & (x <= v))
+    fine = F.filter(F.slice(of, F.size(coarse) * STRIDE + 1, F.lit(STRIDE)), lambda x: x <= v)
+    return F.when(v.isNotNull(), F.size(coarse) * STRIDE + F.size(fine))
 
 
 def running_counts(values: DataFrame, value: str, n: str, by: Sequence[str] = (), descending: bool = False) -> DataFrame:
     """For distinct ``value`` rows with a count ``n``: ``before`` = how many rows of the group sort ahead of it."""
     by = list(by)
-    cut = values.withColumn("_bucket", bucket(F.col(value)))
+    cut = values.withColumn("_splitters", splitters(values, value).scalar())
+    cut = cut.withColumn("_bucket", bucket(F.col(value), F.col("_splitters"))).drop("_splitters")
 
     def order(name: str) -> Column:
         return F.col(name).desc_nulls_first() if descending else F.col(name).asc_nulls_last()

@@ -426,8 +426,8 @@ def delay_causes(star: Star) -> DataFrame:
         rounded_mean(F.sum("delay_duration_minutes"), F.count("delay_duration_minutes")).alias("avg_duration"),
         F.sum("passenger_impact_estimate").alias("total_passengers_affected"),
     )
-    # The total is that of the few grouped rows, so the facts are read once.
-    total = F.sum("incident_count").over(Window.partitionBy())
+    # A scalar over the grouped rows: their exchange is reused, and no task holds all causes, however many texts there are.
+    total = causes.agg(F.sum("incident_count")).scalar()
     return causes.withColumn(
         "pct_of_all_delays", rounded_ratio(F.col("incident_count"), total, 2, 100)
     ).orderBy(F.col("incident_count").desc_nulls_first())

@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from railmart.operators.lookup import lookup
-from railmart.operators.ordered import median, rank_desc
+from railmart.operators.ordered import bucket, median, rank_desc, splitters
 from tests.helpers import bag, planned
 
 
@@ -97,3 +97,22 @@ def test_extreme_values_keep_their_order(spark):
     values = [float("inf"), float("-inf"), 1.7e308, -1.7e308, 0.0, 5e-324]
     df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
     assert median(df, "v", "m").first().m == pytest.approx(0.0)
+
+
+@pytest.mark.parametrize("low", [10**9, 0, -(10**15)])
+def test_buckets_hold_equal_shares_wherever_values_lie(spark, low):
+    values = spark.range(50_000).select((F.col("id") * 3 + low).alias("v"))
+    placed = values.withColumn("s", splitters(values, "v").scalar()).withColumn("b", bucket(F.col("v"), F.col("s")))
+    sizes = placed.groupBy("b").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("b").collect()
+    assert len(sizes) > 100 and max(r.n for r in sizes) < 8 * 50_000 / len(sizes)
+    assert all(a.hi < b.lo for a, b in zip(sizes, sizes[1:]))
+    ranked = rank_desc(values.withColumn("id", F.col("v")), "v", {"r": []}, row_id="id")
+    assert ranked.filter((F.lit(low + 150_000 - 3) - F.col("v")) / 3 + 1 != F.col("r")).count() == 0
+    assert median(values, "v", "m").first().m == low + 3 * 49_999 / 2
+
+
+def test_splitters_of_few_missing_and_no_values(spark):
+    few = spark.createDataFrame([(5,), (None,), (7,)], "v INT")
+    cut = few.withColumn("s", splitters(few, "v").scalar()).withColumn("b", bucket(F.col("v"), F.col("s")))
+    assert bag(cut.select("v", "b")) == [(5, 1), (7, 2), (None, None)]
+    assert median(few.filter("false"), "v", "m").first().m is None

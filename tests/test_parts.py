@@ -6,11 +6,11 @@ import datetime as dt
 import os
 
 import pytest
-from helpers import bag
 from pyspark.sql import functions as F
 
 from railmart import full_load
 from railmart.sources.parts import Manifest, PartTable
+from tests.helpers import bag
 
 SCHEMA = {"id": "BIGINT", "date_key": "INT", "v": "INT"}
 
