@@ -318,6 +318,11 @@ FROM (SELECT DISTINCT CASE WHEN ingest_seq % 7 < 2 THEN 'no calendar day' WHEN i
     CASE WHEN ingest_seq % 7 < 2 THEN CAST(ingest_seq % 7 AS VARCHAR) WHEN ingest_seq % 7 > 2 THEN CAST(incident_datetime AS VARCHAR) END AS day,
     line_name, delay_reason FROM n_delays) GROUP BY 1
 UNION ALL SELECT 'calendar', DATE '2026-12-31' - DATE '2024-01-01' + 1""",
+    "load_audit": """
+SELECT 'transit_etl' AS job_name, 'running' AS status, CAST(0 AS BIGINT) AS records_processed, CAST(0 AS BIGINT) AS records_inserted,
+  CAST(0 AS BIGINT) AS records_failed FROM generate_series(1, 2)
+UNION ALL SELECT 'transit_etl', 'completed', 0, 0, 0
+UNION ALL SELECT 'transit_etl', 'completed', (SELECT count(*) FROM feed_delays), count(date), count(*) - count(date) FROM c_delays""",
     "sample_severity": """
 SELECT CASE WHEN delay_duration_minutes <= 5 THEN 'Low' WHEN delay_duration_minutes <= 30 THEN 'Medium'
   WHEN delay_duration_minutes > 30 THEN 'High' END AS severity_level,

@@ -309,6 +309,16 @@ def full_load_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refused.union(loaded).union(days).groupBy("what").agg(F.count(F.lit(1)).alias("records"))
 
 
+def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit rows of a load of the delay feed and of the same batch once more."""
+    folder = sinks.shared_folder(spark, "full_load")
+    for _ in range(2):
+        result = full_load.run(spark, {"delays": adapters.feed(spark, sf_dir, "delays")}, folder, order_by="ingest_seq", batch="all")
+        if result["status"] != "completed":
+            raise RuntimeError(result["errors"])
+    return full_load.read_log(spark, folder).select("job_name", "status", "records_processed", "records_inserted", "records_failed")
+
+
 def sample_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delays binned again by the sample profile."""
     rows = load.rebin(star_of(spark, sf_dir).delays, "sample")
@@ -404,6 +414,7 @@ LOADS: dict[str, Query] = {
     "full_load_two_days": full_load_two_days,
     "full_load_split_day": full_load_split_day,
     "full_load_quarantine": full_load_quarantine,
+    "load_audit": load_audit,
     "sample_severity": sample_severity,
     "cleaning_counts": cleaning_counts,
     "load_performance": load_performance("listed"),
