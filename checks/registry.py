@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from railmart import adapters, full_load
 from railmart.functions import calendar, text
 from railmart.operators import clean, dims, load, quality
-from railmart.plans import exports, marts, metrics, reports
+from railmart.operators.ordered import with_positions
+from railmart.plans import exports, kept, marts, metrics, reports
 from railmart.plans.star import Star
+from railmart.schemas import conform
 from railmart.sources import landing, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -524,6 +526,78 @@ STORES: dict[str, Query] = {
     "last_year": last_year,
 }
 
+# --- Kept results and positions ---------------------------------------------------------------------------------
+
+
+def refreshed_twice(spark: SparkSession, sf_dir: str, names: Sequence[str], long: bool = False) -> tuple[Star, str]:
+    """Facts loaded in two batches with a refresh after each: the later days come second, and so does the 31st of every month."""
+    star = star_of(spark, sf_dir, long)
+    rides = star.ridership.withColumn("total_traffic", F.col("entries") + F.col("exits"))
+    facts = {"fact_ridership": rides, "fact_delays": star.delays, "fact_performance": star.performance}
+    days = star.dates if long else star.dates.filter(F.col("year") == 2024)
+    folder, root = sinks.shared_folder(spark, "loaded"), sinks.shared_folder(spark, "kept")
+    sinks.write_frames({"dim_date": days, "dim_time": star.times, "dim_subway_lines": star.lines}, folder, fmt="parquet")
+    stations = full_load.table_at(spark, folder, "dim_stations")
+    stations.replace(conform(star.stations, stations.schema), [], "all")
+    late = (F.col("date_key") >= (20000101 if long else 20240116)) | (F.col("date_key") % 100 == 31)
+    for batch in ("first", "late"):
+        for fact in sorted({f for n in names for f in kept.RESULTS[n].facts}):
+            table = full_load.table_at(spark, folder, fact)
+            table.append(conform(facts[fact].filter(late == F.lit(batch == "late")), table.schema), batch)
+        kept.refresh(spark, folder, root, names)
+    return kept.loaded_star(spark, folder), root
+
+
+def from_kept(name: str, answer: Callable[[Star, DataFrame], DataFrame], long: bool = False) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        star, root = refreshed_twice(spark, sf_dir, [name], long)
+        return plain_types(answer(star, kept.kept_table(spark, root, name).read()))
+
+    return run
+
+
+def kept_refreshes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The months that the second refresh renewed, with their rows."""
+    _, root = refreshed_twice(spark, sf_dir, ["station_months"], long=True)
+    table = kept.kept_table(spark, root, "station_months")
+    return table.read(table.changed_since(1)).groupBy("month").agg(F.count(F.lit(1)).alias("stations"), F.sum("entries").alias("entries"))
+
+
+KEPT: dict[str, Query] = {
+    "kept_station_performance": from_kept("station_months", kept.station_performance, long=True),
+    "kept_top_stations": from_kept("station_months", kept.top_stations, long=True),
+    "kept_hourly_ridership": from_kept("hour_months", kept.hourly_ridership),
+    "kept_peak_hours": from_kept("hour_months", lambda star, states: kept.peak_hours(states)),
+    "kept_active_by_month": from_kept("active_days", lambda star, states: kept.active_stations(star, states, ["year", "month_number"]), long=True),
+    "kept_active_by_weekday": from_kept("active_days", lambda star, states: kept.active_stations(star, states, ["day_name"]), long=True),
+    "kept_daily_kpis": from_kept("daily_kpis", lambda star, rows: rows.drop("month")),
+    "kept_refreshes": kept_refreshes,
+}
+
+# The order of sorted marts, completed by names where values can be equal.
+ORDERS: dict[str, list[tuple[str, str]]] = {
+    "daily_ridership": [
+        ("full_date", "asc nulls first"), ("total_traffic", "desc nulls first"), ("station_name", "asc nulls first"), ("line_name", "asc nulls first"),
+    ],
+    "delay_summary_by_line": [("total_delays", "desc nulls first"), ("line_name", "asc nulls first")],
+    "monthly_trends": [("year", "asc nulls first"), ("month_number", "asc nulls first")],
+    "peak_hours": [("total_entries", "desc nulls first"), ("hour", "asc nulls first")],
+    "delay_causes": [("incident_count", "desc nulls first"), ("delay_reason", "asc nulls first")],
+    "borough_traffic": [("total_traffic", "desc nulls first"), ("borough", "asc nulls first")],
+    "station_performance": [("traffic_rank", "asc nulls last"), ("station_id", "asc nulls last")],
+}
+
+
+def in_order(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        keys = [getattr(F.col(c), how.replace(" ", "_"))() for c, how in ORDERS[name]]
+        return with_positions(MARTS[name](spark, sf_dir), keys)
+
+    return run
+
+
+POSITIONS: dict[str, Query] = {f"ordered_{name}": in_order(name) for name in ORDERS}
+
 # --- Reports ----------------------------------------------------------------------------------------------------
 
 
@@ -551,4 +625,4 @@ REPORTS: dict[str, Query] = {
 
 
 def all_queries() -> dict[str, Query]:
-    return {**MARTS, **LARGE, **MEASURES, **EXPORTS, **SQL_NAMES, **CLEANING, **LOADS, **STORES, **REPORTS}
+    return {**MARTS, **LARGE, **MEASURES, **EXPORTS, **SQL_NAMES, **CLEANING, **LOADS, **STORES, **KEPT, **POSITIONS, **REPORTS}

@@ -1,4 +1,4 @@
-"""Ranks and exact medians over sets of any size.
+"""Ranks, exact medians and positions over sets of any size.
 
 A window without partitions puts its whole input in one task. Here values are first reduced to one row per distinct
 value and then sorted by sample: splitters taken from the data cut them into ordered buckets of about equal numbers of
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from railmart.operators.lookup import hot_keys, lookup
+from railmart.sources.sinks import stored
 
 BUCKETS = 256
 STRIDE = 16
@@ -136,3 +137,18 @@ def median(df: DataFrame, value: str, alias: str, by: Sequence[str] = ()) -> Dat
     """Exact continuous median of the non-null values per group; groups without values are absent."""
     counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     return median_of_counts(counts, value, "_n", alias, by)
+
+
+def with_positions(df: DataFrame, order: Sequence[Column], alias: str = "position") -> DataFrame:
+    """Every row with its place in a total order, from 1, so that a sorted result keeps its order wherever it is stored.
+
+    Rows are sorted once, by ranges over all tasks, and written with their place inside their range; the lengths of the ranges, one row for
+    each task, give the offsets. Rows that are equal in ``order`` get consecutive places in no stated order.
+    """
+    placed = stored(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "positions")
+    marked = placed.withColumn("_range", F.shiftrightunsigned("_at", 33))
+    lengths = marked.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = lengths.select("_range", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
+    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return marked.join(F.broadcast(offsets), "_range").select(*df.columns, (F.col("_ahead") + inside + 1).alias(alias))

@@ -127,7 +127,6 @@ def station_performance(star: Star, nulls: str = "first") -> DataFrame:
     Always a plan over the facts. Ranking a large station table looks at the totals several times; a caller who wants
     them computed once can write them out with ``sinks.stored``.
     """
-    star = _stations(star)
     per_station = star.ridership.groupBy("station_id").agg(
         F.countDistinct("date_key").alias("days_with_data"),
         F.sum("entries").alias("total_entries"),
@@ -136,6 +135,12 @@ def station_performance(star: Star, nulls: str = "first") -> DataFrame:
         ratio(F.sum("entries"), F.count("entries")).alias("avg_daily_entries"),
         F.max("entries").alias("peak_entries"),
     )
+    return ranked_stations(star, per_station, nulls)
+
+
+def ranked_stations(star: Star, per_station: DataFrame, nulls: str = "first") -> DataFrame:
+    """Every station with its totals, however they were summed, and its ranks by traffic."""
+    star = _stations(star)
     about = ["station_id", "station_name", "borough", "latitude", "longitude", "lines_served", "ada_accessible"]
     all_stations = star.stations.select(*about).join(per_station, "station_id", "left")
     all_stations = all_stations.withColumn("days_with_data", F.coalesce("days_with_data", F.lit(0)))
