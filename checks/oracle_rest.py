@@ -327,9 +327,10 @@ UNION ALL SELECT 'transit_etl', 'completed', (SELECT count(*) FROM feed_delays),
 SELECT CASE WHEN delay_duration_minutes <= 5 THEN 'Low' WHEN delay_duration_minutes <= 30 THEN 'Medium'
   WHEN delay_duration_minutes > 30 THEN 'High' END AS severity_level,
   count(*) AS delays, min(delay_duration_minutes) AS least, max(delay_duration_minutes) AS most FROM fact_delays GROUP BY 1""",
-    "cleaning_counts": """
-SELECT total_records, cleaned_records, CAST(0 AS BIGINT) AS dropped_records, total_records - cleaned_records AS duplicates_removed
-FROM (SELECT (SELECT count(*) FROM feed_delays) AS total_records, (SELECT count(*) FROM c_delays) AS cleaned_records)""",
+    **dict.fromkeys(("cleaning_counts", "load_counts"), """
+SELECT total_records, cleaned_records, CAST(0 AS BIGINT) AS dropped_records, total_records - cleaned_records AS duplicates_removed,
+  (SELECT count(*) FROM n_delays WHERE m IS NULL) AS nulls_filled
+FROM (SELECT (SELECT count(*) FROM feed_delays) AS total_records, (SELECT count(*) FROM c_delays) AS cleaned_records)"""),
     "load_performance": merged_performance(False),
     "load_performance_all_columns": merged_performance(True),
     "daily_summary": f"""

@@ -333,7 +333,17 @@ def cleaning_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counters of cleaning the delay feed."""
     stats = clean.CleaningStats()
     clean.CLEANERS["delays"](adapters.feed(spark, sf_dir, "delays"), "ingest_seq", stats)
-    return stats.frame.select("total_records", "cleaned_records", "dropped_records", "duplicates_removed")
+    return stats.frame
+
+
+def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters that a load of the delay feed takes from what it wrote."""
+    folder = sinks.shared_folder(spark, "full_load")
+    result = full_load.run(spark, {"delays": adapters.feed(spark, sf_dir, "delays")}, folder, order_by="ingest_seq", batch="all")
+    if result["status"] != "completed":
+        raise RuntimeError(result["errors"])
+    counts = result["cleaning"]["delays"]
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} LONG" for name in counts))
 
 
 def load_performance(update: str) -> Query:
@@ -419,6 +429,7 @@ LOADS: dict[str, Query] = {
     "load_audit": load_audit,
     "sample_severity": sample_severity,
     "cleaning_counts": cleaning_counts,
+    "load_counts": load_counts,
     "load_performance": load_performance("listed"),
     "load_performance_all_columns": load_performance("all"),
     "daily_summary": daily_summary,

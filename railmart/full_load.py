@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railmart.operators import load
-from railmart.operators.clean import CleaningStats, clean_all
+from railmart.operators.clean import KEPT, MARKS, CleaningStats, clean_all
 from railmart.operators.dims import date_dimension, line_dimension, time_dimension
 from railmart.schemas import (
     DIM_STATIONS, ETL_LOG, FACT_DELAYS, FACT_PERFORMANCE, FACT_RIDERSHIP, QUARANTINE, conform, read_schema,
@@ -189,10 +189,16 @@ def run(
         stats: dict[str, CleaningStats] = {}
         batches = {name: batch or content_name(df) for name, df in raw.items()}
         todo = {name: df for name, df in raw.items() if not table_at(spark, folder, TARGETS[name]).has(batches[name])}
-        cleaned = clean_all(todo, order_by, stats)
-        paths = sinks.write_frames(cleaned, f"{folder}/processed", "_cleaned", fmt="parquet")
+        clean_all(todo, order_by, stats)
+        clean = {}
+        for name, counters in stats.items():
+            # Kept and dropped rows side by side: the counters come from the one write, the load reads the kept ones.
+            path = f"{folder}/processed/{name}_cleaned"
+            counters.marked.write.mode("overwrite").partitionBy(KEPT).parquet(path)
+            written = spark.read.schema(counters.marked.schema).parquet(path)
+            counters.count(written)
+            clean[name] = written.filter(KEPT).drop(*MARKS)
         cleaning = {name: s.get() for name, s in stats.items()}
-        clean = {name: spark.read.parquet(path) for name, path in paths.items()}
         held = f"{folder}/dim_date"
         known = {"held": spark.read.parquet(held).select(F.col("full_date").alias("date"))} if sinks.path_exists(spark, held) else {}
         dims = build_dimensions(spark, folder, *days_of({**clean, **known}, DIM_START, DIM_END))

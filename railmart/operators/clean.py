@@ -44,14 +44,21 @@ DELAY_TIME = ("start_date", "incident_datetime", "incident_date", "timestamp", "
 DELAY_TIME_DATE_FIRST = ("start_date", "incident_date", "date", "timestamp")
 
 
+# Columns of marked rows.
+KEPT = "_kept"
+MARKS = ("_copies", "_gaps", KEPT)
+
+
 class CleaningStats:
-    """Counters of one cleaning, computed when asked for.
+    """Counters of one cleaning, computed when asked for; not metrics of the run, as a re-executed task would count twice.
 
-    They are a query of their own over the key columns, not metrics of the run: a re-executed task would count twice.
+    ``frame`` is a query of its own over the key columns. A job that stores what it cleans writes ``marked`` instead, the
+    clean rows with their marks, and counts in what it wrote: the feed is then read and cleaned once.
     """
 
     def __init__(self) -> None:
         self.frame: DataFrame | None = None
+        self.marked: DataFrame | None = None
 
     def of(self, df: DataFrame, keys: Sequence[str], filled: Sequence[Column] = (), required: str | None = None) -> None:
         """Set up the counters for ``df``, the rows just before copies are removed."""
@@ -70,6 +77,27 @@ class CleaningStats:
             (total - groups).alias("duplicates_removed"),
         )
 
+    def mark(self, df: DataFrame, keys: Sequence[str], order_by: str | None, last: bool, filled: Sequence[Column], required: str | None) -> None:
+        """Set up ``marked``: how many rows each row stands for, the gaps filled in them, and whether it is kept."""
+        if keys:
+            gaps = sum((F.count_if(c) for c in filled), F.lit(0).cast("long"))
+            rows = keep_one(df, keys, order_by, last, {"_copies": F.count(F.lit(1)), "_gaps": gaps})
+        else:
+            rows = df.withColumns({"_copies": F.lit(1).cast("long"), "_gaps": sum((c.cast("long") for c in filled), F.lit(0).cast("long"))})
+        rows = rows.drop(*[c for c in rows.columns if c.startswith("_gap_") or c == "_gap"])
+        self.marked = rows.withColumn(KEPT, F.col(required).isNotNull() if required else F.lit(True))
+
+    def count(self, stored: DataFrame) -> None:
+        """Take the counters from ``marked`` as it was written."""
+        total, kept = F.coalesce(F.sum("_copies"), F.lit(0)), F.count_if(F.col(KEPT))
+        self.frame = stored.agg(
+            total.alias("total_records"),
+            kept.alias("cleaned_records"),
+            (F.count(F.lit(1)) - kept).alias("dropped_records"),
+            F.coalesce(F.sum("_gaps"), F.lit(0)).alias("nulls_filled"),
+            (total - F.count(F.lit(1))).alias("duplicates_removed"),
+        )
+
     def get(self) -> dict[str, int]:
         return self.frame.first().asDict()
 
@@ -88,6 +116,7 @@ def finish(
     required = required if required in df.columns else None
     if stats is not None:
         stats.of(df, keys, filled, required)
+        stats.mark(df, keys, order_by, last, filled, required)
     if keys:
         df = keep_one(df, keys, order_by, last)
     return df.na.drop(subset=[required]) if required else df

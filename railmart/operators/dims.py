@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -136,13 +136,16 @@ def insert_absent(existing: DataFrame, new: DataFrame, keys: Sequence[str], orde
     return existing.unionByName(first.join(existing, keys, "left_anti"), allowMissingColumns=True)
 
 
-def keep_one(df: DataFrame, keys: Sequence[str], order_by: str | None = None, last: bool = False) -> DataFrame:
+def keep_one(
+    df: DataFrame, keys: Sequence[str], order_by: str | None = None, last: bool = False, marks: Mapping[str, Column] | None = None
+) -> DataFrame:
     """One row per key: the first (or last) by ``order_by``, else by the values of the whole row.
 
     NULL keys form one group. Works as an aggregate, so copies are dropped before the shuffle and a key that holds
-    most of the rows never meets in one task, as it would in a window.
+    most of the rows never meets in one task, as it would in a window. ``marks`` adds aggregates over a key's rows.
     """
     whole_row = F.struct(*df.columns)
     order = F.col(order_by) if order_by else whole_row
     pick = F.max_by if last else F.min_by
-    return df.groupBy(*keys).agg(pick(whole_row, order).alias("_row")).select("_row.*")
+    extra = [c.alias(a) for a, c in (marks or {}).items()]
+    return df.groupBy(*keys).agg(pick(whole_row, order).alias("_row"), *extra).select("_row.*", *(marks or {}))

@@ -14,7 +14,7 @@ from railmart.functions import calendar as cal
 from railmart.functions.bins import delay_category, delay_severity
 from railmart.functions.numbers import nan_to_null
 from railmart.operators.dims import keep_one
-from railmart.operators.lookup import fits_broadcast, lookup, unique_by
+from railmart.operators.lookup import fits_broadcast, frequent_keys, lookup, unique_by
 from railmart.schemas import (
     DIM_STATIONS,
     FACT_DAILY_RIDERSHIP,
@@ -166,10 +166,14 @@ def with_ids(
     if row_id is None:
         keep = df.withColumn("_row", F.xxhash64(*df.columns))
         row_id = "_row"
-    out = lookup(keep, ids_by_name(lines, "line_name", "line_id"), "line_name", small="lines" in small, spread_by=row_id)
+    dims = {"line_name": ("lines", lines, "line_id")}
     if stations is not None:
-        ids = ids_by_name(stations, "station_name", "station_id")
-        out = lookup(out, ids, "station_name", small="stations" in small, spread_by=row_id)
+        dims["station_name"] = ("stations", stations, "station_id")
+    # Both names are counted in one pass over the feed, before either join.
+    hot = frequent_keys(keep, [name for name, (dim, _, _) in dims.items() if dim not in small])
+    out = keep
+    for name, (dim, table, key) in dims.items():
+        out = lookup(out, ids_by_name(table, name, key), name, small=dim in small, spread_by=row_id, hot=hot.get(name))
     return out.drop("_row")
 
 

@@ -34,7 +34,7 @@ def ridership_summary(star: Star) -> DataFrame:
 def delay_analysis(star: Star) -> DataFrame:
     rows = star.attach(star.delays, "dates", ["full_date", "day_name", "month_name"], "inner")
     rows = star.attach(rows, "times", ["time_period", "is_peak_hour"])
-    rows = star.attach(rows, "lines", ["line_name", "line_color"])
+    rows = star.attach(rows, "lines", ["line_name", "line_color"], spread_by="delay_id")
     return rows.select(
         "full_date", "day_name", "month_name", "time_period", "is_peak_hour", "line_name", "line_color",
         "delay_category", "severity_level", "delay_reason", "delay_duration_minutes", "passenger_impact_estimate",

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from railmart import adapters
 from railmart.operators import clean, quality
 from railmart.operators.dims import keep_one
 from tests.helpers import bag, rows
@@ -191,3 +192,28 @@ def test_quality_report(spark):
     valid, report = quality.quality_report(df.select("x", "y"), ["y"])
     assert valid
     assert quality.quality_report(df.limit(0))[1]["duplicate_count"] == 0
+
+
+def counted_in(stats):
+    """Counters of the marked rows, which must equal those of the separate query."""
+    before = stats.get()
+    stats.count(stats.marked)
+    assert stats.get() == before
+    return stats.marked.filter(clean.KEPT).drop(*clean.MARKS)
+
+
+@pytest.mark.parametrize("feed", ["stations", "ridership", "delays", "performance"])
+def test_counters_of_marked_rows_equal_those_of_the_query(spark, small_data, feed):
+    stats = clean.CleaningStats()
+    out = clean.CLEANERS[feed](adapters.feed(spark, small_data, feed), "ingest_seq", stats)
+    marked = counted_in(stats)
+    assert marked.columns == out.columns and bag(marked) == bag(out)
+
+
+def test_counters_of_marked_rows_without_keys_and_without_rows(spark):
+    stats = clean.CleaningStats()
+    out = clean.clean_ridership(table(spark, ["entries", "exits"], [("1", None), ("1", None), ("x", "2")]), None, stats)
+    assert bag(counted_in(stats)) == bag(out) and stats.get()["nulls_filled"] == 3
+    stats = clean.CleaningStats()
+    clean.clean_delays(table(spark, ["line", "delay_minutes"], [("a", "1")]).filter("false"), None, stats)
+    assert counted_in(stats).count() == 0 and set(stats.get().values()) == {0}

@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from railmart.operators.lookup import lookup
+from railmart.operators.lookup import frequent_keys, lookup
 from railmart.operators.ordered import bucket, median, rank_desc, splitters
-from tests.helpers import bag, planned
+from tests.helpers import bag, final_plan, planned
 
 
 @pytest.fixture(scope="module")
@@ -93,6 +93,24 @@ def test_spread_lookup_balances_hot_and_missing_keys(spark, skewed):
             spark.conf.set(k, v)
 
 
+def test_frequent_keys_of_two_columns_come_from_one_pass(spark, skewed):
+    df = skewed[0].withColumn("name", F.when(F.col("id") < 1500, "x").otherwise(F.concat(F.lit("n"), "id")))
+    found = frequent_keys(df, ["k", "name"])
+    counts = df.filter("k IS NOT NULL").groupBy("k").count().filter(f"count > 0.001 * {df.count()}")
+    assert bag(found["k"]) == bag(counts.select("k")) and (7,) in bag(found["k"]) and bag(found["name"]) == [("x",)]
+    both = found["k"].join(found["name"])
+    assert planned(both).count("ReusedSubquery") >= 1 or final_plan(both).count("ReusedSubquery") >= 1
+    assert frequent_keys(df.filter("false"), ["k"])["k"].count() == 0
+    assert frequent_keys(df.select(F.lit(None).cast("string").alias("k")), ["k"])["k"].count() == 0
+
+
+def test_which_keys_count_as_hot_never_changes_the_result(skewed):
+    df, dim = skewed
+    plain = bag(df.join(dim, "k", "left").select("id", "k", "name"))
+    for hot in (dim.select("k"), dim.select("k").filter("false"), dim.select("k").filter("k % 2 = 0")):
+        assert bag(lookup(df, dim, "k", small=False, spread_by="id", hot=hot).select("id", "k", "name")) == plain
+
+
 def test_extreme_values_keep_their_order(spark):
     values = [float("inf"), float("-inf"), 1.7e308, -1.7e308, 0.0, 5e-324]
     df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
