@@ -1,8 +1,8 @@
-"""Oracle texts of kept results and of sorted marts: from the whole tables, without months, states or batches."""
+"""Oracle texts of kept results, of sorted marts and of exports and reports: from the whole tables, without months, states or batches."""
 
 from __future__ import annotations
 
-from checks import oracle_marts
+from checks import oracle_marts, oracle_rest
 from checks.oracle_parts import half_up, with_parts
 from checks.registry import ORDERS
 
@@ -41,12 +41,29 @@ WHERE date_key // 100 IN (SELECT date_key // 100 FROM fact_ridership_long WHERE
 GROUP BY 1""",
 }
 
+_TEXTS["nan_balances"] = "SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS c_acctbal FROM customer"
+_TEXTS["quality_verdict"] = """
+WITH f AS (SELECT * FROM feed_ridership UNION ALL SELECT * FROM feed_ridership WHERE line LIKE 'c%')
+SELECT 'passed' AS what, 'false' AS value
+UNION ALL SELECT 'issue', 'Missing required column: fare'
+UNION ALL SELECT 'issue', printf('High null rate (%.1f%%) in column: station', 100e0 * count(*) FILTER (ingest_seq % 3 <> 0) / count(*)) FROM f
+UNION ALL SELECT 'total_records', CAST(count(*) AS VARCHAR) FROM f
+UNION ALL SELECT 'total_columns', '6'
+UNION ALL SELECT 'duplicate_count', CAST(count(*) - count(DISTINCT ingest_seq) AS VARCHAR) FROM f"""
+
 
 def texts() -> dict[str, str]:
-    marts = oracle_marts.texts()
+    marts, rest = oracle_marts.texts(), oracle_rest.texts()
     out = {name: with_parts(text) for name, text in _TEXTS.items()}
     out |= {"kept_hourly_ridership": marts["hourly_ridership"], "kept_peak_hours": marts["peak_hours"]}
     out["kept_daily_kpis"] = f"SELECT * FROM ({marts['daily_kpis']}) days WHERE year = 2024"
+    sets = ("ridership_summary", "delay_analysis", "stations", "subway_lines")
+    counts = [f"SELECT '{n}' AS table_name, count(*) AS record_count FROM ({rest[f'export_{n}']}) t" for n in sets]
+    out["exported_sets"] = "\nUNION ALL ".join(counts)
+    out["station_stamps"] = f"""
+SELECT station_name, station_name NOT IN (SELECT concat('Customer#', lpad(CAST(s_suppkey * 3 AS VARCHAR), 9, '0')) FROM supplier) AS created,
+  station_name IN (SELECT station_name FROM ({rest["clean_stations"]}) c) AS stamped
+FROM ({rest["load_stations"]}) t"""
     for name, keys in ORDERS.items():
         order = ", ".join(f"{column} {how}" for column, how in keys)
         out[f"ordered_{name}"] = f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({marts[name]}) sorted"

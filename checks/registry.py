@@ -369,6 +369,20 @@ def load_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_types(rows.select(old, "station_name", "borough", "latitude", "longitude", "lines_served", "division"))
 
 
+def station_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which stations an upsert creates and which it stamps; the earlier rows carry neither time."""
+    existing = adapters.view(spark, sf_dir, adapters.EXISTING["stations"])
+    out = load.load_stations(cleaned(spark, sf_dir, "stations"), existing, "ingest_seq")
+    return out.select("station_name", F.col("created_at").isNotNull().alias("created"), F.col("updated_at").isNotNull().alias("stamped"))
+
+
+def nan_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers that are none become NULL before a load."""
+    customers = adapters.table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    nan = F.when(F.col("c_acctbal") < 0, F.lit(float("nan"))).otherwise(F.col("c_acctbal"))
+    return load.null_out_nan(customers.withColumn("c_acctbal", nan))
+
+
 def daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = star_of(spark, sf_dir)
     rows = load.daily_summary(star.ridership, star.times)
@@ -430,6 +444,8 @@ LOADS: dict[str, Query] = {
     "sample_severity": sample_severity,
     "cleaning_counts": cleaning_counts,
     "load_counts": load_counts,
+    "station_stamps": station_stamps,
+    "nan_balances": nan_balances,
     "load_performance": load_performance("listed"),
     "load_performance_all_columns": load_performance("all"),
     "daily_summary": daily_summary,
@@ -525,7 +541,26 @@ def last_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recent.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"), F.min("o_orderdate").alias("first"))
 
 
+def exported_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The export of all result sets: names and rows of what was written. Without performance rows one set is empty and left out."""
+    star, folder = star_of(spark, sf_dir), sinks.shared_folder(spark, "exports")
+    names = exports.export_for_bi(replace(star, performance=star.performance.filter("false")), folder)
+    return sinks.row_counts({name: spark.read.option("header", True).csv(f"{folder}/{name}") for name in names})
+
+
+def quality_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report on a ridership feed with repeated rows, a column that is mostly empty and one that is not there."""
+    feed = adapters.feed(spark, sf_dir, "ridership").withColumn("station", F.when(F.col("ingest_seq") % 3 == 0, F.col("station")))
+    twice = feed.unionByName(feed.filter(F.col("line").startswith("c")))
+    passed, report = quality.quality_report(twice, ["station", "fare"])
+    found = [("passed", str(passed).lower()), *(("issue", text) for text in report["issues"])]
+    found += [(name, str(report[name])) for name in ("total_records", "total_columns", "duplicate_count")]
+    return spark.createDataFrame(found, "what STRING, value STRING")
+
+
 STORES: dict[str, Query] = {
+    "exported_sets": exported_sets,
+    "quality_verdict": quality_verdict,
     "landed_window": landed_window,
     "landed_cap": landed_cap,
     "csv_round_trip": csv_round_trip,

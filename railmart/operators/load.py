@@ -274,8 +274,8 @@ def load_performance(
 
 def daily_summary(ridership: DataFrame, times: DataFrame, source: str = "derived") -> DataFrame:
     """Daily totals per station and line with the peak split and the mean per hour that has records."""
-    clock = F.broadcast(times.select("time_key", "hour", "is_peak_hour"))
-    timed = ridership.join(clock, "time_key", "left")
+    clock = times.select("time_key", "hour", "is_peak_hour")
+    timed = lookup(ridership, clock, "time_key", small=fits_broadcast(clock))
     peak = F.coalesce(F.col("is_peak_hour"), F.lit(False))
     per_day = timed.groupBy("date_key", "station_id", "line_id").agg(
         F.sum("entries").alias("total_entries"),
