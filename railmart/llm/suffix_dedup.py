@@ -3,14 +3,16 @@
 1. Anchors. Every start of a string is dealt to the string's least GRAM-byte gram (leftmost of equals), so equal strings have equal grams
    at equal places. Neighbouring starts with one anchor form a context, about a third of which are starts. Only hashes are shuffled.
    An anchor that occurs once in the corpus ends here; equal contexts are repeats as a whole, whatever their number.
-2. Cores. Contexts that differ under one anchor are read again and cut, at fixed distances from the anchor, into pieces of up to STARTS
-   starts. The bytes that all strings of a piece share are its core; pieces are then sorted out by core as contexts were by anchor.
+2. Cores. Contexts that differ under one anchor are read again and cut, at fixed distances from the anchor, into pieces of up to
+   WIDTHS[0] starts. The bytes that all strings of a piece share are its core; pieces are then sorted out by core as contexts were by
+   anchor. A core whose pieces alone exceed a shard is dealt on further bytes: its pieces are cut again to the next of WIDTHS starts, so
+   that their cores are longer, and sorted out by these. A piece of one start is its own core, so the last cut leaves no core too large.
 3. Suffixes. Pieces that differ under one core are dealt to shards of about SHARD bytes, and each shard's suffixes are put in order by
-   external induced sorting (`induced`). Starts whose common prefix with a neighbour reaches LENGTH are repeats. A core whose pieces
-   alone exceed a shard is not put in one: the hashes of its strings are counted by Spark instead.
+   external induced sorting (`induced`). Starts whose common prefix with a neighbour reaches LENGTH are repeats.
 4. Removal. Repeats become byte ranges by text, joined with the documents.
 
-Texts are named by their md5, so rows with equal texts share one result and count as repeats of each other.
+Texts are named by their md5, so rows with equal texts share one result and count as repeats of each other. Anchors, contexts and texts
+with more than HOT_SHARE of all rows are looked up by broadcast, and their rows are spread over all tasks.
 
 Defined cases: a null text is empty; texts under LENGTH bytes stay whole; matches never cross rows; repeated rows remove each other; a
 null doc_id is kept as it is; an empty table gives an empty result; extra columns are ignored.
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +34,9 @@ from railmart.llm import common, induced
 
 LENGTH = 400
 GRAM = 32
-STARTS = 32
+WIDTHS = (32, 8, 2, 1)
 SHARD = 4 << 20
-MOST_PIECES = SHARD // (LENGTH + STARTS)
+HOT_SHARE = 0.001
 BETWEEN = 0xFF
 
 
@@ -102,16 +105,32 @@ NAMES = ["anchor", "context", "key", "lo", "hi", "place", "data"]
 DDL = "anchor long, context long, key binary, lo long, hi long, place long, data binary"
 
 
+def spread_join(rows: DataFrame, facts: DataFrame, hot: DataFrame, keys: list[str], value: str, *spread_by: str) -> DataFrame:
+    """rows with the value that facts, one row a key, hold for their keys, or null. The keys of hot, at most 1 / HOT_SHARE of them, are
+    broadcast, and their rows travel by a hash of spread_by."""
+    hot = hot.select(*[F.col(k).alias(f"hot_{k}") for k in keys], F.col(value).alias("hot_value"))
+    facts = facts.select(*[F.col(k).alias(f"of_{k}") for k in keys], F.col(value).alias("of_value"), F.xxhash64(*keys).alias("of_slot"))
+    marked = rows.join(F.broadcast(hot), [F.col(k) == F.col(f"hot_{k}") for k in keys], "left")
+    own = F.when(F.col("hot_value").isNotNull(), F.xxhash64(F.lit(1), *spread_by)).otherwise(F.xxhash64(*keys))
+    same = [F.col(k) == F.col(f"of_{k}") for k in keys] + [F.col("slot") == F.col("of_slot")]
+    joined = marked.withColumn("slot", own).join(facts, same, "left")
+    return joined.select(*rows.columns, F.coalesce("hot_value", "of_value").alias(value))
+
+
 def sorted_out(found: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     """Ranges (key, first, end) that are repeats as a whole, and one row for each (anchor, context) of the anchors with several contexts."""
+    hot = F.col("n") > found.count() * HOT_SHARE
     often = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("context").alias("a"), F.max("context").alias("b"))
-    often = often.filter("n > 1").select(F.col("anchor").alias("again"), (F.col("a") != F.col("b")).alias("differ"))
-    shared = common.stored(found.join(often, found["anchor"] == often["again"]).drop("again"), "shared")
+    often = often.filter("n > 1").withColumn("differ", F.col("a") != F.col("b"))
+    shared = spread_join(found, often, often.filter(hot), ["anchor"], "differ", "key", "lo").filter("differ IS NOT NULL")
+    shared = common.stored(shared, "shared")
     differ = shared.filter("differ").drop("differ")
     rest = [c for c in differ.columns if c not in ("anchor", "context")]
     one = differ.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min_by(F.struct(*rest), "key").alias("row"))
     one = common.stored(one, "contexts")
-    whole = shared.filter("NOT differ").drop("differ").union(differ.join(one.filter("n > 1").select("anchor", "context"), ["anchor", "context"], "left_semi").select(*differ.columns))
+    twice = one.filter("n > 1").select("anchor", "context", "n", F.lit(True).alias("again"))
+    equal = spread_join(differ, twice, twice.filter(hot), ["anchor", "context"], "again", "key", "lo").filter("again").drop("again")
+    whole = shared.filter("NOT differ").drop("differ").union(equal)
     return whole.select("key", F.col("lo").alias("first"), (F.col("hi") + length).alias("end")), one.select("anchor", "context", "row.*")
 
 
@@ -143,8 +162,8 @@ def read_again(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return found.select("key", "text", F.lit(0).cast("long").alias("at"), "want").mapInArrow(cut_out(length), DDL)
 
 
-def pieces(texts: DataFrame, length: int) -> DataFrame:
-    """The pieces of contexts: anchor (of the core), context (hash of the piece), key, lo, hi, place, and the context they are from."""
+def pieces(texts: DataFrame, length: int, width: int) -> DataFrame:
+    """The pieces of up to `width` starts of contexts: anchor (of the core), context (hash of the piece), key, lo, hi, place, and the context they are from."""
 
     @common.trimmed
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,18 +173,18 @@ def pieces(texts: DataFrame, length: int) -> DataFrame:
             offsets = np.frombuffer(binary.buffers()[1], np.int64)[binary.offset : binary.offset + len(binary) + 1]
             data = np.frombuffer(binary.buffers()[2] or b"", np.uint8)
             starts = np.diff(offsets) - length + 1
-            high, low = place // STARTS, (place - starts + 1) // STARTS
+            high, low = place // width, (place - starts + 1) // width
             count = high - low + 1
             row = np.repeat(np.arange(len(count)), count)
             nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-            far = (high[row] - nth) * STARTS
+            far = (high[row] - nth) * width
             last = place[row] - far
-            first = last - STARTS + 1
+            first = last - width + 1
             core = common.span_hashes(data, offsets[row] + last, offsets[row] + first + length)
             a, b = np.maximum(first, 0), np.minimum(last, starts[row] - 1)
             whole = common.span_hashes(data, offsets[row] + a, offsets[row] + b + length)
             core = common.mix(core + anchor[row].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + far.astype(np.uint64))
-            whole = common.mix(whole + (a - first).astype(np.uint64) * np.uint64(STARTS) + (last - b).astype(np.uint64))
+            whole = common.mix(whole + (a - first).astype(np.uint64) * np.uint64(width) + (last - b).astype(np.uint64))
             columns = [core.view(np.int64), whole.view(np.int64), None, lo[row] + a, lo[row] + b, place[row] - a, anchor[row], context[row]]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(2).take(pa.array(row)) if c is None else pa.array(c) for c in columns], names=[*NAMES[:6], "from_anchor", "from_context"]
@@ -226,45 +245,38 @@ def by_suffixes(texts: DataFrame, shards: int, length: int) -> DataFrame:
     return texts.withColumn("shard", shard).groupBy("shard").applyInArrow(sort, "key binary, first long, end long")
 
 
-def by_counts(texts: DataFrame, length: int) -> DataFrame:
-    """The same for cores with very many pieces: strings, hashed, that occur in two different pieces."""
-
-    names = ["anchor", "context", "key", "first", "string"]
-
-    @common.trimmed
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                data = np.frombuffer(batch.column(6)[k].as_py(), np.uint8)
-                lo, n = batch.column(3)[k].as_py(), len(data) - length + 1
-                at = np.arange(n)
-                hashes = common.span_hashes(data, at, at + length).view(np.int64)
-                take = pa.array(np.full(n, k))
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(i).take(take) for i in range(3)), pa.array(at + lo), pa.array(hashes)], names=names
-                )
-
-    every = texts.mapInArrow(strings, "anchor long, context long, key binary, first long, string long")
-    twice = every.groupBy("anchor", "string").agg(F.min("context").alias("a"), F.max("context").alias("b")).filter("a <> b").drop("a", "b")
-    return every.join(twice, ["anchor", "string"], "left_semi").select("key", "first", (F.col("first") + length).alias("end"))
-
-
-def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """key, ranges: for each text with repeats the byte ranges of the repeated strings; they may overlap."""
+def copied(docs: DataFrame, length: int) -> DataFrame:
+    """key, n, end of the texts of at least `length` bytes that n > 1 rows hold."""
+    copies = docs.groupBy(common.text_key().alias("key")).agg(F.count("*").alias("n"), F.max(F.octet_length("text")).cast("long").alias("end"))
+    return common.stored(copies.filter((F.col("n") > 1) & (F.col("end") >= length)), "copies")
+
+
+def in_suffix_order(texts: DataFrame, length: int) -> DataFrame:
+    """key, first, end: byte ranges of repeats in contexts that differ under one anchor."""
+    found = []
+    for width in WIDTHS:
+        whole, wanted = sorted_out(common.stored(pieces(texts, length, width), "pieces"), length)
+        most = max(1, SHARD // (length + width))
+        crowd = common.stored(wanted.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > most), "crowded-cores")
+        few, none_crowded = wanted, crowd.isEmpty()
+        if not none_crowded:
+            hot = crowd.filter(F.col("n") > wanted.count() * HOT_SHARE)
+            wanted = common.stored(spread_join(wanted, crowd, hot, ["anchor"], "n", "key", "lo"), "wanted")
+            few = wanted.filter("n IS NULL").drop("n")
+        total = few.agg(F.sum(F.col("hi") - F.col("lo") + length)).first()[0] or 0
+        data = common.stored(piece_bytes(texts, few, length), "piece-bytes")
+        found += [whole, by_suffixes(data, max(1, -(-total // SHARD)), length)]
+        if none_crowded:
+            break
+        texts = common.stored(piece_bytes(texts, wanted.filter("n IS NOT NULL").drop("n"), length), "crowded-bytes")
+    return reduce(DataFrame.union, found)
+
+
+def repeats(docs: DataFrame, copies: DataFrame, length: int = LENGTH) -> DataFrame:
+    """key, ranges: for each text with repeats the byte ranges of the repeated strings; they may overlap. Copies are from `copied`."""
     whole, wanted = sorted_out(common.stored(anchors(docs, length), "anchors"), length)
     texts = common.stored(read_again(docs, wanted, length), "context-bytes")
-    whole_pieces, wanted = sorted_out(common.stored(pieces(texts, length), "pieces"), length)
-
-    crowd = wanted.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > MOST_PIECES).select("anchor")
-    crowd = common.stored(crowd, "crowded-cores")
-    total = wanted.agg(F.sum(F.col("hi") - F.col("lo") + length)).first()[0] or 0
-    data = common.stored(piece_bytes(texts, wanted, length), "piece-bytes")
-    few, many = data.join(crowd, "anchor", "left_anti"), data.join(crowd, "anchor", "left_semi")
-    few, many = by_suffixes(few, max(1, -(-total // SHARD)), length), by_counts(many.select(*NAMES), length)
-
-    copies = docs.groupBy(common.text_key().alias("key")).agg(F.count("*").alias("n"), F.max(F.octet_length("text")).cast("long").alias("end"))
-    copies = copies.filter((F.col("n") > 1) & (F.col("end") >= length)).select("key", F.lit(0).cast("long").alias("first"), "end")
-    every = whole.union(whole_pieces).union(few).union(many).union(copies)
+    every = whole.union(in_suffix_order(texts, length)).union(copies.select("key", F.lit(0).cast("long").alias("first"), "end"))
     every = every.groupBy("key", "first").agg(F.max("end").alias("end"))
     return common.stored(every.groupBy("key").agg(F.collect_list(F.struct("first", "end")).alias("ranges")), "repeats")
 
@@ -273,10 +285,12 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, the rest of the columns in a struct, the text left over (null stays null), n_bytes, n_removed, n_spans, kept_sha256.
 
     What is left may not be valid UTF-8 where a range cuts a character; such bytes are dropped from the text, not from the hash."""
-    found = repeats(docs, length).select(F.col("key").alias("of"), "ranges")
+    copies = copied(docs, length)
+    often = copies.filter(F.col("n") > docs.count() * HOT_SHARE)
+    often = often.select("key", F.array(F.struct(F.lit(0).cast("long").alias("first"), "end")).alias("ranges"))
     own = ["doc_id", "rest"]
     mine = common.packed(docs, "doc_id", "text")
-    joined = mine.withColumn("key", common.text_key()).join(found, F.col("key") == F.col("of"), "left")
+    joined = spread_join(mine.withColumn("key", common.text_key()), repeats(docs, copies, length), often, ["key"], "ranges", "doc_id")
     joined = joined.select(*own, F.col("text").cast("binary").alias("text"), "ranges")
 
     @common.trimmed

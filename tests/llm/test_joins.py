@@ -134,13 +134,15 @@ def check_repeats(df, length):
 
 
 def test_repeats_on_odd_rows(odd_docs, no_docs):
-    check_repeats(odd_docs.filter("doc_id is null or doc_id <> 8"), 400)
+    check_repeats(odd_docs, 400)
     assert suffix_dedup.without_repeats(no_docs).count() == 0
 
 
-@pytest.mark.parametrize("crowd", [suffix_dedup.MOST_PIECES, 2])
-def test_planted_repeats(spark, monkeypatch, crowd):
-    monkeypatch.setattr(suffix_dedup, "MOST_PIECES", crowd)
+@pytest.mark.parametrize("shard, hot", [(suffix_dedup.SHARD, 0.001), (3_000, 0.02), (900, 1.0)])
+def test_planted_repeats(spark, monkeypatch, shard, hot):
+    """Small shards crowd the cores, so pieces are cut again; with hot shares of 0.02 and 1 some and no keys are broadcast."""
+    monkeypatch.setattr(suffix_dedup, "SHARD", shard)
+    monkeypatch.setattr(suffix_dedup, "HOT_SHARE", hot)
     rng, rows = random.Random(8), []
     noise = lambda n: "".join(rng.choice("abcdefgé \n") for _ in range(n))
     passages = [noise(rng.choice([399, 400, 401, 700, 1500])) for _ in range(6)]
