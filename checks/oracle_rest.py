@@ -429,11 +429,49 @@ SELECT count(*) AS ridership_records, min(date) AS first_date, max(date) AS last
 }
 
 
+# More rounds than the adapters' points need until the centres stand still; further ones change nothing.
+LLOYD_ROUNDS = 40
+
+
+def clusters(points: str, features: list[str], k: int, rounds: int) -> str:
+    """The clusters by Lloyd's steps written out: bands of the summed z-scores, then means and nearest means, `rounds` times."""
+    z = [f"z{i}" for i in range(len(features))]
+    scores = ", ".join(
+        f"(CAST({f} AS DOUBLE) - (SELECT avg({f}) FROM p)) / coalesce(nullif((SELECT stddev_samp({f}) FROM p), 0), 1) AS {x}" for f, x in zip(features, z)
+    )
+    present = " AND ".join(f"{f} IS NOT NULL" for f in features)
+    cuts = " + ".join(
+        f"CAST(total > (SELECT total FROM t WHERE place = (SELECT ceil(count(*) * {i / k!r}) FROM t)) AS INTEGER)" for i in range(1, k)
+    )
+    steps = [
+        f"p AS MATERIALIZED (SELECT *, row_number() OVER () AS point FROM ({points}) x WHERE {present})",
+        f"z AS MATERIALIZED (SELECT point, {scores} FROM p)",
+        f"t AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY total) AS place FROM (SELECT *, {' + '.join(z)} AS total FROM z) y)",
+        f"l0 AS MATERIALIZED (SELECT point, {', '.join(z)}, {cuts} AS label FROM t)",
+    ]
+    means = ", ".join(f"avg({x}) AS m{x}" for x in z)
+    apart = " + ".join(f"({x} - m{x}) * ({x} - m{x})" for x in z)
+    for r in range(rounds):
+        steps.append(
+            f"c{r} AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY {', '.join('m' + x for x in z)}) - 1 AS centre"
+            f" FROM (SELECT {means} FROM l{r} GROUP BY label) y)"
+        )
+        steps.append(
+            f"l{r + 1} AS MATERIALIZED (SELECT point, {', '.join(z)}, centre AS label FROM z, c{r}"
+            f" QUALIFY row_number() OVER (PARTITION BY point ORDER BY {apart}, centre) = 1)"
+        )
+    return f"WITH {', '.join(steps)} SELECT p.* EXCLUDE (point), CAST(label AS INTEGER) AS cluster FROM p JOIN l{rounds} USING (point)"
+
+
 def texts() -> dict[str, str]:
     extra = {**MEASURE_PARTS, **CLEAN_PARTS, **LOAD_PARTS, **REPORT_PARTS}
     groups = (MEASURES, EXPORTS, CLEANING, LOADS, STORES, REPORTS)
     out = {name: with_parts(text, extra) for group in groups for name, text in group.items()}
     for name, points in (("delay_cluster_checks", "line_delay_profile"), ("delay_scatter_cluster_checks", "delay_scatter")):
         out[name] = f"SELECT count(*) AS points, CAST(0 AS BIGINT) AS misplaced, CAST(0 AS BIGINT) AS unplaced FROM ({out[points]}) p"
+    profile = ["avg_delay_minutes", "passengers_affected", "total_delays"]
+    out["delay_clusters"] = clusters(out["line_delay_profile"], profile, 3, LLOYD_ROUNDS)
+    scatter = ["delay_duration_minutes", "passenger_impact", "delay_count"]
+    out["delay_scatter_clusters"] = clusters(out["delay_scatter"], scatter, 4, LLOYD_ROUNDS)
     large = ("load_ridership", "load_delays", "ridership_measures_by_borough")
     return out | {f"{name}_large": out[name] for name in large}

@@ -117,6 +117,32 @@ def refresh_daily_kpis(
     refresh_partitions(marts.daily_kpis(cut, mode), path, ["year", "month_number"])
 
 
+def station_search(small: bool) -> str:
+    """Body of get_station_summary: the joined totals of the stations found, as `marts.station_totals` gives them.
+
+    Where the stations are few enough to broadcast, facts of other stations are dropped before the sums. Otherwise each fact is
+    summed by station first, so a busy station is one row when it meets the stations found.
+    """
+    hint, only = ("/*+ BROADCAST(found) */", "LEFT SEMI JOIN found USING (station_id)") if small else ("", "")
+    return f"""
+        WITH found AS (SELECT station_id, station_name, borough FROM dim_stations
+                       WHERE station_name ILIKE concat('%', get_station_summary.wanted, '%')),
+        rides AS (SELECT {hint} station_id, count(*) AS n, sum(entries) AS entries, sum(exits) AS exits, count(entries) AS counted
+                  FROM fact_ridership {only} GROUP BY station_id),
+        late AS (SELECT {hint} station_id, count(*) AS n, count(delay_id) AS delays, sum(delay_duration_minutes) AS minutes,
+                        count(delay_duration_minutes) AS timed
+                 FROM fact_delays {only} GROUP BY station_id),
+        joined AS (SELECT s.station_name, s.borough, r.entries, r.exits, r.counted, d.delays, d.minutes, d.timed,
+                          CAST(greatest(coalesce(d.n, 0), 1) AS DECIMAL(19,0)) AS by_ride,
+                          CAST(greatest(coalesce(r.n, 0), 1) AS DECIMAL(19,0)) AS by_delay
+                   FROM found s LEFT JOIN rides r ON s.station_id = r.station_id LEFT JOIN late d ON s.station_id = d.station_id)
+        SELECT station_name, borough, coalesce(sum(entries * by_ride), 0), coalesce(sum(exits * by_ride), 0),
+               round(try_divide(CAST(sum(entries * by_ride) AS DOUBLE), CAST(sum(counted * by_ride) AS DOUBLE)), 2),
+               coalesce(sum(delays * by_delay), 0),
+               round(coalesce(try_divide(CAST(sum(minutes * by_delay) AS DOUBLE), CAST(sum(timed * by_delay) AS DOUBLE)), 0.0D), 2)
+        FROM joined GROUP BY station_name, borough"""
+
+
 def register(spark: SparkSession, star: Star, views: Sequence[str] | None = None) -> None:
     """Temp views for tables and marts, and the two table functions, so that SQL text can use them."""
     for name, attribute in TABLES.items():
@@ -125,13 +151,11 @@ def register(spark: SparkSession, star: Star, views: Sequence[str] | None = None
         VIEWS[name](star).createOrReplaceTempView(name)
     marts.station_totals(star).createOrReplaceTempView("station_totals")
     marts.line_days(star).createOrReplaceTempView("line_days")
-    spark.sql("""
+    spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION get_station_summary(wanted STRING)
         RETURNS TABLE (station_name STRING, borough STRING, total_entries DECIMAL(38,0), total_exits DECIMAL(38,0),
                        avg_daily_entries DOUBLE, delay_count DECIMAL(38,0), avg_delay_minutes DOUBLE)
-        RETURN SELECT station_name, borough, total_entries, total_exits, avg_daily_entries, delay_count, avg_delay_minutes
-               FROM station_totals
-               WHERE station_name ILIKE concat('%', get_station_summary.wanted, '%')""")
+        RETURN {station_search("stations" in star.small)}""")
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION get_line_performance(wanted STRING, first_day DATE, last_day DATE)
         RETURNS TABLE (line_name STRING, date_val DATE, scheduled_trips BIGINT, on_time_trips BIGINT,

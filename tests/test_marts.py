@@ -166,3 +166,20 @@ def test_marts_of_large_tables_run_nothing_while_planned(spark, large):
         assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("kind", ["star", "large"])
+def test_station_search_in_sql(spark, request, kind):
+    """The SQL name gives the rows of the Python name, wildcards and names that no station has included."""
+    chosen = request.getfixturevalue(kind)
+    exports.register(spark, chosen, views=["vw_line_performance"])
+    for name in ("mer#0000001", "CUSTOMER#00000_1", "none such"):
+        assert bag(spark.sql(f"SELECT * FROM get_station_summary('{name}')")) == bag(marts.station_summary(chosen, name))
+
+
+def test_station_search_drops_other_facts_before_the_sums(spark, star):
+    exports.register(spark, star, views=["vw_line_performance"])
+    plan = planned(spark.sql("SELECT * FROM get_station_summary('mer#0000001')"))
+    sums = [line for line in plan.splitlines() if "partial_sum(entries" in line or "partial_count(delay_id" in line or "partial_sum(delay_duration" in line]
+    assert sums and plan.count("LeftSemi, BuildRight") == 2
+    assert "SortMergeJoin" not in plan
