@@ -58,6 +58,40 @@ def test_token_counts_of_odd_rows(odd_docs, no_docs):
     assert token_counts.counted(no_docs, path).count() == 0
 
 
+def test_token_counts_encode_a_word_once(monkeypatch):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    known, encoded = token_counts.Counter(path), []
+    lengths = known.lengths
+    known.lengths = lambda texts: encoded.extend(texts) or lengths(texts)
+    monkeypatch.setattr(token_counts, "KEPT_WORDS", 40)  # counts must survive the change to a new table
+    rng = random.Random(3)
+    odd = ["a\x1cb", "a\u00a0b", "a\u3000b", "a\u2028b", "a\u0085b", "\u0301x", "don't", "<|endoftext|>x", "<|ENDOFTEXT|>", "\u0130", "x" * 200, "q\u0301\u0323"]
+    words = odd + ["".join(rng.choices("abcde", k=6)) for _ in range(20)]
+    texts = ["".join(w + rng.choice([" ", "\n", "\t ", "\r\n", "\x0b", "\x0c"]) for w in rng.choices(words, k=300)) for _ in range(30)]
+    got = [0] * len(texts)
+    for row, n in known.counts(iter(texts), piece=500, batch=2_000):
+        got[row] += n
+    model = Tokenizer.from_file(path)
+    assert got == [len(model.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert sum(map(len, encoded)) < sum(map(len, texts)) / 5
+
+
+@pytest.mark.parametrize("change", [
+    {"normalizer": {"type": "NFKC"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"pre_tokenizer": None},
+    {"added_tokens": [{"content": "a b", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False}]},
+])
+def test_other_vocabularies_are_not_counted_by_word(change):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    import json
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        rules = json.load(file)
+    assert token_counts.drops_space(rules) and not token_counts.drops_space(rules | change)
+
+
 def one_apart(x, y):
     if abs(len(x) - len(y)) > 1 or x == y:
         return False
