@@ -121,3 +121,15 @@ def test_station_upsert_rewrites_touched_buckets_only(spark, tmp_path):
     got = known.read().collect()
     assert len(got) == 41 == len({r.station_id for r in got}) and {r.station_name: r.borough for r in got}["S7"] == "Queens"
     assert all(r.updated_at >= dt.datetime(2024, 1, 1) for r in got)
+
+
+def test_feeds_are_read_from_what_the_load_stored(spark, tmp_path, monkeypatch):
+    folder, asked = str(tmp_path / "star"), []
+    name = full_load.content_name
+    monkeypatch.setattr(full_load, "content_name", lambda df: asked.append(df) or name(df))
+    raw = spark.createDataFrame([("2024-01-05", "1", "signal", 3)], "start_date string, route string, cause string, delay_minutes int")
+    for loaded in (1, 0):
+        result = full_load.run(spark, {"delays": raw.withColumn("nothing", F.lit(None))}, folder)
+        assert result["status"] == "completed" and result["tables_loaded"] == {"delays": loaded}
+    files = [f for df in asked for f in df.inputFiles()]
+    assert len(asked) == 2 and files and all(f"{folder}/raw/delays" in f for f in files)
