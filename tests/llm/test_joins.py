@@ -192,3 +192,19 @@ def test_a_dense_group_writes_spanning_links_only(spark):
         assert len(links) < cells.count()
     sizes = [{r["root"]: r["n"] for r in ngram_join.components(spark.createDataFrame(x)).groupBy("root").agg(F.count("*").alias("n")).collect()} for x in (all_links, few_links)]
     assert sizes[0] == sizes[1]
+
+
+def test_sorting_a_shard_takes_bounded_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    text = rng.integers(97, 117, 400_000).astype(np.uint8).tobytes()
+    rows = [text[at : at + 430] for at in range(0, len(text) - 430, 290)]
+    tracemalloc.start()
+    try:
+        flags = suffix_dedup.repeated_starts(rows, 120)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert all(f[:21].all() and f[290:].all() and not f[21:290].any() for f in flags[1:-1])
+    assert peak < 37 * sum(map(len, rows))
