@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -208,3 +209,64 @@ def test_sorting_a_shard_takes_bounded_memory():
         tracemalloc.stop()
     assert all(f[:21].all() and f[290:].all() and not f[21:290].any() for f in flags[1:-1])
     assert peak < 37 * sum(map(len, rows))
+
+
+@pytest.mark.parametrize("kind, symbols", [(np.uint8, 256), (np.uint8, 2), (np.int64, 3)])
+def test_common_prefixes_up_to_a_bound_for_each_pair(kind, symbols):
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 7, 8, 9, 20, 300):
+        text = np.tile(rng.integers(0, symbols, max(1, n // 4)), 5)[:n].astype(kind)
+        a, b = np.divmod(np.arange(len(text) ** 2)[:: max(1, n // 20)], len(text))
+        a, b = a[a != b], b[a != b]
+        raw, cap = text.tolist(), rng.integers(0, 70, len(a))
+        plain = [next((k for k in range(c) if raw[i + k : i + k + 1] != raw[j + k : j + k + 1] or max(i, j) + k >= len(raw)), c) for i, j, c in zip(a, b, cap)]
+        assert induced.common_prefix(text, a, b, cap).tolist() == plain
+        assert induced.common_prefix(text, a, b, 70).tolist() >= plain
+
+
+def test_sorting_compares_few_symbols_of_copies(monkeypatch):
+    """Turns are named by their own symbols only, and suffixes that have no equals left are not sorted again."""
+    text = np.tile(np.random.default_rng(4).integers(97, 117, 3_000).astype(np.uint8), 6)
+    compared, sorted_rows, plain, argsort = [0], [0], induced.common_prefix, np.argsort
+
+    def common_prefix(*args):
+        found = plain(*args)
+        compared[0] += int(found.sum())
+        return found
+
+    def counted(key, *args, **kwargs):
+        sorted_rows[0] += len(key)
+        return argsort(key, *args, **kwargs)
+
+    monkeypatch.setattr(induced, "common_prefix", common_prefix)
+    order, _ = induced.suffix_order(text, 256, 20)
+    assert compared[0] < 12 * len(text)
+    names = np.random.default_rng(6).integers(0, 5_000, 20_000)
+    monkeypatch.setattr(np, "argsort", counted)
+    monkeypatch.setattr(np, "lexsort", lambda keys: pytest.fail("all suffixes are sorted anew"))
+    got = induced.doubled(names, 400).tolist()
+    assert sorted_rows[0] < 3 * len(names)
+    raw = names.tolist()
+    assert got == sorted(range(len(raw)), key=lambda i: raw[i : i + 400])
+
+
+def test_contexts_and_cuts_of_many_texts_at_once():
+    """Texts that lie together have the contexts each has alone, and stretches of many texts leave in one batch."""
+    rng = random.Random(2)
+    texts = [bytes(rng.choices(b"abcde", k=n)) for n in (0, 39, 40, 41, 500, 3, 900, 40)]
+    bounds = np.append(0, np.cumsum([len(t) for t in texts]))
+    together = list(zip(*(c.tolist() for c in suffix_dedup.contexts(np.frombuffer(b"".join(texts), np.uint8), bounds, 40))))
+    alone = []
+    for k, t in enumerate(texts):
+        found = suffix_dedup.contexts(np.frombuffer(t, np.uint8), np.array([0, len(t)]), 40)
+        alone += [(k, *row) for _, *row in zip(*(c.tolist() for c in found))]
+        assert sorted(s for _, _, _, lo, hi, _ in zip(*(c.tolist() for c in found)) for s in range(lo, hi + 1)) == list(range(len(t) - 39))
+    assert together == alone
+    want = [[{"anchor": k, "context": -k, "lo": 5 + k, "hi": 7 + k, "place": 1}] * (k % 3) for k in range(12)]
+    columns = [pa.array([bytes([k]) for k in range(12)], pa.binary()), pa.array([bytes(range(60))] * 12, pa.binary()), pa.array([k for k in range(12)])]
+    kind = pa.list_(pa.struct([(n, pa.int64()) for n in ("anchor", "context", "lo", "hi", "place")]))
+    batch = pa.RecordBatch.from_arrays([*columns, pa.array(want, kind)], names=["key", "text", "at", "want"])
+    got = list(suffix_dedup.cut_out(20)(iter([batch, batch.slice(4, 0), batch.slice(3, 3)])))
+    rows = [(bytes([k]), bytes(range(5, 27))) for k in range(12) for _ in range(k % 3)]
+    assert [(r["key"], r["data"]) for b in got for r in b.to_pylist()] == rows + [r for r in rows if 3 <= r[0][0] < 6]
+    assert len(got) == 2
