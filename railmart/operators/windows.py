@@ -1,4 +1,4 @@
-"""Comparisons over time. All inputs are sums per day or month, so their size is the length of the calendar."""
+"""Comparisons over time, and shares of a total. Inputs of the former are sums per day or month, so their size is the length of the calendar."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from railmart.functions.numbers import divide_or_zero, rounded_ratio
 
+SLOTS = 32
+
 
 def change_from_previous_row(df: DataFrame, value: str, order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Adds ``prev_<value>`` from the row before and its percent change (NULL without one or on 0)."""
@@ -49,3 +51,18 @@ def trend_line(df: DataFrame, value: str, day: str, by: Sequence[str] = ()) -> D
     x, y = F.unix_date(day), F.col(value)
     aggs = [F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.count(y).alias("points")]
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+
+
+def with_total(df: DataFrame, value: str, alias: str, by: Sequence[str]) -> DataFrame:
+    """Adds the sum of ``value`` over all rows to each, without reading the input twice and without a task that holds all rows.
+
+    Rows are dealt to SLOTS slots by a hash of ``by``; the sum of each slot is then sent to all slots.
+    """
+    slot = Window.partitionBy("_slot")
+    dealt = df.withColumn("_slot", F.pmod(F.xxhash64(*by), F.lit(SLOTS)).cast("int"))
+    dealt = dealt.withColumn("_part", F.sum(value).over(slot)).withColumn("_nth", F.row_number().over(slot.orderBy(*by)))
+    own, others = F.array(F.lit(None).cast("int")), F.sequence(F.lit(0), F.lit(SLOTS - 1))
+    sent = dealt.withColumn("_to", F.explode(F.when(F.col("_nth") == 1, F.concat(own, others)).otherwise(own)))
+    sent = sent.withColumn("_slot", F.coalesce("_to", "_slot")).withColumn("_part", F.when(F.col("_to").isNotNull(), F.col("_part")))
+    summed = sent.withColumn(alias, F.sum("_part").over(slot)).filter("_to IS NULL")
+    return summed.select(*[F.col(f"`{c}`") for c in df.columns], alias)

@@ -19,7 +19,7 @@ from railmart.operators import fanout
 from railmart.operators.dims import PERIOD_ORDER
 from railmart.operators.fanout import Fact, fan_out
 from railmart.operators.ordered import median_of_counts, rank_desc
-from railmart.operators.windows import change_from_previous_row
+from railmart.operators.windows import change_from_previous_row, with_total
 from railmart.plans.star import Star
 
 Day = dt.date | str | None
@@ -431,11 +431,10 @@ def delay_causes(star: Star) -> DataFrame:
         rounded_mean(F.sum("delay_duration_minutes"), F.count("delay_duration_minutes")).alias("avg_duration"),
         F.sum("passenger_impact_estimate").alias("total_passengers_affected"),
     )
-    # A scalar over the grouped rows: their exchange is reused, and no task holds all causes, however many texts there are.
-    total = causes.agg(F.sum("incident_count")).scalar()
-    return causes.withColumn(
-        "pct_of_all_delays", rounded_ratio(F.col("incident_count"), total, 2, 100)
-    ).orderBy(F.col("incident_count").desc_nulls_first())
+    # The facts are read once, and no task holds all causes, however many texts there are.
+    share = rounded_ratio(F.col("incident_count"), F.col("_all"), 2, 100)
+    causes = with_total(causes, "incident_count", "_all", ["delay_reason"])
+    return causes.withColumn("pct_of_all_delays", share).drop("_all").orderBy(F.col("incident_count").desc_nulls_first())
 
 
 def weekend_vs_weekday(star: Star) -> DataFrame:

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 
 from railmart.operators import windows
-from tests.helpers import rows
+from tests.helpers import bag, planned, rows
 
 
 @pytest.fixture(scope="module")
@@ -57,3 +57,16 @@ def test_trend_line(spark):
     data = [(dt.date(1970, 1, 1) + dt.timedelta(days=i), 5 + 3 * i) for i in range(10)]
     df = spark.createDataFrame(data, "day DATE, v BIGINT")
     assert windows.trend_line(df, "v", "day").first()[:] == pytest.approx((3.0, 5.0, 10))
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 500])
+def test_a_total_beside_each_row(spark, n):
+    """Rows with null and repeated keys and null values count; no task holds all rows and the input is read once."""
+    data = [(None if k % 7 == 3 else f"r{k // 2}", None if k % 5 == 4 else k) for k in range(n)]
+    given = spark.createDataFrame(data, "reason STRING, v BIGINT")
+    out = windows.with_total(given, "v", "total", ["reason"])
+    assert out.columns == ["reason", "v", "total"]
+    whole = sum(v for _, v in data if v is not None) if n else None
+    assert bag(out) == sorted([(*r, whole) for r in data], key=repr)
+    plan = planned(windows.with_total(given, "v", "total", ["reason"]))
+    assert "SinglePartition" not in plan and "Subquery" not in plan and "Join" not in plan
