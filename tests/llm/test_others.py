@@ -57,6 +57,45 @@ def test_repeated_query_rows(spark):
         assert got == sorted((q, k + 1, i) for q, ids in zip((5, 6, 6), one) for k, i in enumerate(ids))
 
 
+def test_parts_meet_groups(spark, monkeypatch):
+    """Queries in several groups, vectors in several parts, both in the floats they came as; equal vectors and repeated ids among them."""
+    monkeypatch.setattr(one_bit_ann, "HELD", 8_000)
+    monkeypatch.setattr(one_bit_ann, "BLOCK", 100)
+    monkeypatch.setattr(one_bit_ann, "PAIRS", 10_000)
+    rng = np.random.default_rng(17)
+    values = rng.standard_normal((2_400, 20)).astype(np.float32)
+    values[300:340] = values[300]
+    rows = [(i % 2_300, v.tolist()) for i, v in enumerate(values)]
+    index, centres = one_bit_ann.indexed(one_bit_ann.usable(spark.createDataFrame(rows, "id long, v array<float>")))
+    assert {r[0] for r in index.selectExpr("length(v)").distinct().collect()} == {80}
+    asked = rows[:360]
+    got = {}
+    for r in one_bit_ann.nearest(index, centres, spark.createDataFrame(asked, "id long, v array<float>")).orderBy("query_id", "query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    want = exact(rows, asked, 10)
+    hits = sum(len(set(got[q]) & set(want[q])) for q in want)
+    assert got.keys() == want.keys() and all(len(x) == 10 for x in got.values()) and hits >= 0.98 * 10 * len(want)
+    assert got[305] == want[305]
+
+
+@pytest.mark.parametrize("kind, scale", [(np.float32, 1.0), (np.float32, 1e15), (np.float64, 1.0), (np.float64, 1e-30)])
+def test_batches_give_the_nearest(kind, scale):
+    rng = np.random.default_rng(18)
+    v = (rng.standard_normal((3_000, 48)) * scale).astype(kind)
+    v[1_000:1_020], ids = v[7], rng.permutation(3_000)
+    held = one_bit_ann.Held(ids[:700], ids[:700], v[:700], 10)
+    centre = v[rng.permutation(3_000)[:5]].astype(np.float64)
+    for at in range(0, 3_000, 600):
+        held.meet(ids[at : at + 600], v[at : at + 600], *one_bit_ann.coded(v[at : at + 600].astype(np.float64), centre), centre)
+    hits = 0
+    for q in range(0, 700, 7):
+        far = np.sqrt(((v.astype(np.float64) - v[q].astype(np.float64)) ** 2).sum(axis=1))
+        far[q] = np.inf
+        order = np.lexsort((ids, far))[:10]
+        hits += len({*zip(ids[order], far[order])} & {*zip(held.near[q], held.score[q])})
+    assert hits >= 0.99 * 1_000
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(10)
     rows, query = rng.standard_normal((400, 64)), rng.standard_normal((20, 64))
