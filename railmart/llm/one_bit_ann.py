@@ -42,6 +42,7 @@ SAMPLE_ROWS, SAMPLE_BYTES = 10_000, 16 << 20
 CONFIDENCE = 3.0
 HELD = 64 << 20
 PAIRS = 1 << 28
+COMPONENTS = 1 << 20
 SEED = 7
 #: Shares of a batch's pairs: above MANY they are measured by one product; above CROWDED the bounds are lowered first.
 MANY, CROWDED = 1 / 200, 1 / 50
@@ -51,9 +52,10 @@ ROUNDING = {np.float32: 1e-5, np.float64: 1e-12}
 def usable(vectors: DataFrame) -> DataFrame:
     """id and v (floats where they come as such, else doubles) of the vectors that take part."""
     kind = "float" if isinstance(vectors.schema["v"].dataType.elementType, T.FloatType) else "double"
-    v = F.transform("v", lambda x: x.cast(kind))
-    ok = F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("v", lambda x: x != 0), F.lit(False))
-    return vectors.select(F.col("id").cast("long").alias("id"), v.alias("v")).filter("id IS NOT NULL").filter(ok)
+    v = F.col("v").cast(f"array<{kind}>")
+    low, high = F.array_min(v), F.array_max(v)  # NaN is above infinity
+    ok = ~F.exists(v, lambda x: x.isNull()) & (low > F.lit(float("-inf"))) & (high < F.lit(float("inf"))) & ((low != 0) | (high != 0))
+    return vectors.select(F.col("id").cast("long").alias("id"), v.alias("v")).filter("id IS NOT NULL").filter(F.coalesce(ok, F.lit(False)))
 
 
 @cache
@@ -116,6 +118,14 @@ def as_rows(column: pa.Array, kind: type | None = None, width: int = 0) -> np.nd
     return np.frombuffer(data.tobytes(), kind).reshape(len(column), -1)
 
 
+def runs(sizes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each length and where it is, at most COMPONENTS numbers at a time."""
+    for dim in np.unique(sizes).tolist():
+        on = np.flatnonzero(sizes == dim)
+        for at in range(0, len(on), step := max(BLOCK, COMPONENTS // dim)):
+            yield dim, on[at : at + step]
+
+
 def laid(vectors: DataFrame, more: Callable[[np.ndarray], list[pa.Array]], ddl: str) -> DataFrame:
     """dim, place (a number of its own), id, v (bytes), and the columns that `more` makes of vectors of one length."""
 
@@ -124,8 +134,7 @@ def laid(vectors: DataFrame, more: Callable[[np.ndarray], list[pa.Array]], ddl:
         for batch in batches:
             ids, lists = batch.column(0), batch.column(1)
             sizes = lists.value_lengths().to_numpy()
-            for dim in np.unique(sizes):
-                on = np.flatnonzero(sizes == dim)
+            for dim, on in runs(sizes):
                 values = lists.take(pa.array(on)).flatten().to_numpy(zero_copy_only=False).reshape(len(on), dim)
                 columns = [pa.array(np.full(len(on), dim, np.int32)), pa.array(place + np.arange(len(on))), ids.take(pa.array(on)), as_binary(values), *more(values)]
                 place += len(on)
@@ -268,7 +277,7 @@ def nearest(index: DataFrame, centres: dict[int, np.ndarray], queries: DataFrame
         at, waiting, held = None, [], None
         for batch in batches:
             task, side = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(task) | np.diff(side)) + 1), len(task)]
+            cuts = [0, *(np.flatnonzero(np.diff(task) | np.diff(side)) + 1).tolist(), len(task)]
             for i, j in zip(cuts[:-1], cuts[1:], strict=True):
                 if task[i] != at:
                     if held:
@@ -282,8 +291,9 @@ def nearest(index: DataFrame, centres: dict[int, np.ndarray], queries: DataFrame
                     continue
                 if waiting:
                     held, waiting = Held(*(np.concatenate(x) for x in zip(*waiting, strict=True)), k), []
-                if held:
-                    held.meet(ids, v, one["cell"].to_numpy(), as_rows(one["code"], np.uint64), one["length"].to_numpy(), one["inner"].to_numpy(), kept.value[dim])
+                own = v, one["cell"].to_numpy(), as_rows(one["code"], np.uint64), one["length"].to_numpy(), one["inner"].to_numpy()
+                for _, on in runs(np.full(len(ids), dim)) if held else ():
+                    held.meet(ids[on], *(x[on] for x in own), kept.value[dim])
         if held:
             yield from held.rows()
 
