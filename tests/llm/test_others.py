@@ -70,7 +70,7 @@ def test_parts_meet_groups(spark, monkeypatch):
     assert {r[0] for r in index.selectExpr("length(v)").distinct().collect()} == {80}
     asked = rows[:360]
     got = {}
-    for r in one_bit_ann.nearest(index, centres, spark.createDataFrame(asked, "id long, v array<float>")).orderBy("query_id", "query_id", "rank").collect():
+    for r in one_bit_ann.nearest(index, centres, spark.createDataFrame(asked, "id long, v array<float>")).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
     want = exact(rows, asked, 10)
     hits = sum(len(set(got[q]) & set(want[q])) for q in want)
